@@ -19,6 +19,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.rolling import LONG, STATISTICS, Roll, with_rolls
+
 Builder = Callable[["PanelView"], Column]
 
 
@@ -119,15 +121,22 @@ def evaluate(
         )
     if view.definitions:
         df = df.select("*", *[c.alias(s) for s, c in view.definitions.items()])
-    if view.rolls:
+    # Costly statistics over long frames leave the JVM; see operators.rolling.
+    costly = {
+        s: Roll(how, (c,), n)
+        for s, (how, c, n) in view.rolls.items()
+        if partition and how in STATISTICS and n is not None and n >= LONG
+    }
+    frames = {s: spec for s, spec in view.rolls.items() if s not in costly}
+    if frames:
         def frame(rows):
             first = Window.unboundedPreceding if rows is None else -(rows - 1)
             return by_key.rowsBetween(first, Window.currentRow)
 
         df = df.select(
-            "*",
-            *[_OVER[how](F.col(c), frame(n)).alias(s) for s, (how, c, n) in view.rolls.items()],
+            "*", *[_OVER[how](F.col(c), frame(n)).alias(s) for s, (how, c, n) in frames.items()]
         )
+    df = with_rolls(df, costly, partition, order)
     names = {n for n, _ in features}
     return df.select(*[F.col(c) for c in keep if c not in names], *results)
 

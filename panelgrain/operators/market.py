@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import ratio
+from .rolling import Roll, with_rolls
 
 BY_SYMBOL = Window.partitionBy("symbol").orderBy("date")
 
@@ -40,7 +41,8 @@ def index_returns(index: DataFrame, long: int = 252) -> DataFrame:
     The series is one row per date, so keying the window by a constant keeps a
     calendar-bounded set in one task.
     """
-    one = index.select(F.lit("index").alias("symbol"), "date", F.col("close").cast("double"))
+    one = index.groupBy("date").agg(F.max(F.col("close").cast("double")).alias("close"))
+    one = one.select(F.lit("index").alias("symbol"), "date", "close")
     return one.select(
         "date",
         _step("close").alias("__mkt"),
@@ -63,20 +65,23 @@ def with_beta_alpha(
     joined = (
         df.withColumn("__ret", _step("close"))
         .withColumn("__ret_long", _step("close", rows))
-        .join(index_returns(index, rows), "date", "left")
+        # One row per date by construction, so its size is bounded by the calendar.
+        .join(F.broadcast(index_returns(index, rows)), "date", "left")
     )
-    frame = BY_SYMBOL.rowsBetween(-(rows - 1), 0)
-    r, m = F.col("__ret"), F.col("__mkt")
-    pairs = F.count(F.when(r.isNotNull() & m.isNotNull(), 1)).over(frame)
-    enough = F.least(pairs, F.count(r).over(frame), F.count(m).over(frame))
-    staged = joined.select(
-        "*",
-        F.corr(r, m).over(frame).alias("__corr"),
-        F.stddev_samp(r).over(frame).alias("__sd_r"),
-        F.stddev_samp(m).over(frame).alias("__sd_m"),
-        enough.alias("__enough"),
+    both, own, market = ("__ret", "__mkt"), ("__ret",), ("__mkt",)
+    staged = with_rolls(joined, {
+        "__corr": Roll("corr", both, rows),
+        "__pairs": Roll("pairs", both, rows),
+        "__sd_r": Roll("stddev", own, rows),
+        "__n_r": Roll("count", own, rows),
+        "__sd_m": Roll("stddev", market, rows),
+        "__n_m": Roll("count", market, rows),
+    })
+    beta = _guarded(
+        ratio(F.col("__corr") * F.col("__sd_r"), F.col("__sd_m")),
+        F.least("__pairs", "__n_r", "__n_m"),
+        least,
     )
-    beta = _guarded(ratio(F.col("__corr") * F.col("__sd_r"), F.col("__sd_m")), F.col("__enough"), least)
     values = {
         "beta_sp500": beta,
         "alpha_jensen": F.col("__ret_long") - beta * F.col("__mkt_long"),

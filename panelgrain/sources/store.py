@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,31 +91,55 @@ class Source:
         empty = [F.lit(None).cast(types[c]).alias(c) for c in absent]
         return df.select(*present, *empty).select(*keys, *wanted)
 
+    def read(self, table: str, symbols=None, start=None, end=None, columns=None) -> DataFrame:
+        """Latest-version scan ordered by key."""
+        spec = self.catalog[table]
+        return self.scan(table, columns, symbols, start, end).orderBy(*spec.keys)
+
+    def read_source_names(self, table: str, symbols=None, start=None, end=None) -> DataFrame:
+        """Latest-version scan under the raw attribute names."""
+        spec = self.catalog[table]
+        rows = self.read(table, symbols, start, end)
+        # Two columns may come from one attribute; the later one wins, as in a dict.
+        names = {f.source: f.name for f in spec.fields.values()}
+        return rows.select(
+            *spec.keys, *[F.col(n).alias(src) for src, n in names.items() if src not in spec.keys]
+        )
+
     def create_views(self, spark: SparkSession, tables: Iterable[str] | None = None) -> None:
         """Latest-version scans as temp views, for ad-hoc SQL."""
         for name in tables if tables is not None else self.catalog.tables:
             self.scan(name).createOrReplaceTempView(name)
 
 
+Given = DataFrame | Callable[[], DataFrame]
+
+
 class FrameSource(Source):
-    """Tables given as DataFrames.
+    """Tables given as DataFrames, or as functions that make one when first needed.
 
     A frame without version columns must be unique per table key.  Tables given
-    the *same* DataFrame object are columns of one wide table: a query scans it
-    once instead of joining it with itself.
+    the *same* object are columns of one wide table: a query scans it once instead
+    of joining it with itself.
     """
 
-    def __init__(self, frames: dict[str, DataFrame], catalog: Catalog | None = None):
+    def __init__(self, frames: dict[str, Given], catalog: Catalog | None = None):
         self.catalog = catalog or default_catalog()
         self.frames = dict(frames)
+        self._made: dict[int, DataFrame] = {}
         for name in self.frames:
             self.catalog[name]
 
     def frame(self, table: str) -> DataFrame:
         try:
-            return self.frames[table]
+            given = self.frames[table]
         except KeyError:
             raise ValueError(f"no data given for table {table!r}") from None
+        if isinstance(given, DataFrame):
+            return given
+        if id(given) not in self._made:
+            self._made[id(given)] = given()
+        return self._made[id(given)]
 
     def same_rows(self, table: str, other: str) -> bool:
         if table == other:
@@ -241,21 +265,6 @@ class VersionedStore(Source):
             table, columns, symbols, start, end, version_as_of
         )
 
-    def read(self, table: str, symbols=None, start=None, end=None, columns=None) -> DataFrame:
-        """Latest-version scan ordered by key."""
-        spec = self.catalog[table]
-        return self.scan(table, columns, symbols, start, end).orderBy(*spec.keys)
-
-    def read_source_names(self, table: str, symbols=None, start=None, end=None) -> DataFrame:
-        """Latest-version scan under the raw attribute names."""
-        spec = self.catalog[table]
-        rows = self.read(table, symbols, start, end)
-        # Two columns may come from one attribute; the later one wins, as in a dict.
-        names = {f.source: f.name for f in spec.fields.values()}
-        return rows.select(
-            *spec.keys, *[F.col(n).alias(src) for src, n in names.items() if src not in spec.keys]
-        )
-
     def revisions(self, table: str, symbol: str | None = None, **equals) -> DataFrame:
         return V.revisions(self.frame(table).drop("date_year"), symbol, **equals)
 

@@ -9,7 +9,7 @@ stepped AS (
     FROM panel WINDOW w AS (PARTITION BY symbol ORDER BY date)
 )
 SELECT symbol, date,
-    floor((operating_cash_flow + capex) * 1e6 + 0.51) / 1e6 AS fcf_derived,
+    operating_cash_flow + capex AS fcf_derived,
     floor((free_cash_flow / nullif(revenue, 0)) * 1e6 + 0.51) / 1e6 AS fcf_margin,
     floor((operating_cash_flow / nullif(net_income, 0)) * 1e6 + 0.51) / 1e6 AS cash_earnings_quality,
     floor((operating_cash_flow / nullif(total_debt, 0)) * 1e6 + 0.51) / 1e6 AS cash_debt_coverage,

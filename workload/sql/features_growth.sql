@@ -50,7 +50,7 @@ SELECT symbol, date,
     floor((((abs(capex)) - (abs(capex_1_ago))) / nullif(abs((abs(capex_1_ago))), 0)) * 1e6 + 0.51) / 1e6 AS capex_growth_rate,
     floor((((rd_expenses) - rd_expenses_1_ago) / nullif(abs(rd_expenses_1_ago), 0)) * 1e6 + 0.51) / 1e6 AS rd_growth,
     floor((((sga_expenses) - sga_expenses_1_ago) / nullif(abs(sga_expenses_1_ago), 0)) * 1e6 + 0.51) / 1e6 AS sga_growth,
-    floor(((total_current_assets - total_current_liabilities) - (total_current_assets_1_ago - total_current_liabilities_1_ago)) * 1e6 + 0.51) / 1e6 AS working_capital_change,
+    (total_current_assets - total_current_liabilities) - (total_current_assets_1_ago - total_current_liabilities_1_ago) AS working_capital_change,
     floor((((weighted_avg_shares_diluted) - weighted_avg_shares_diluted_1_ago) / nullif(abs(weighted_avg_shares_diluted_1_ago), 0)) * 1e6 + 0.51) / 1e6 AS share_count_change,
     floor((pow(revenue / nullif(revenue_3_ago, 0), 1.0 / 3) - 1) * 1e6 + 0.51) / 1e6 AS revenue_cagr_3y,
     floor((pow(revenue / nullif(revenue_5_ago, 0), 1.0 / 5) - 1) * 1e6 + 0.51) / 1e6 AS revenue_cagr_5y,

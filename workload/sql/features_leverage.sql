@@ -23,7 +23,7 @@ SELECT symbol, date,
     floor((CASE WHEN operating_income_1_ago = 0 OR revenue_1_ago = 0 THEN NULL ELSE ((operating_income - operating_income_1_ago) / nullif(abs(operating_income_1_ago), 0)) / nullif((revenue - revenue_1_ago) / nullif(abs(revenue_1_ago), 0), 0) END) * 1e6 + 0.51) / 1e6 AS operating_leverage_dol,
     floor((CASE WHEN net_income_1_ago = 0 OR revenue_1_ago = 0 THEN NULL ELSE ((net_income - net_income_1_ago) / nullif(abs(net_income_1_ago), 0)) / nullif((revenue - revenue_1_ago) / nullif(abs(revenue_1_ago), 0), 0) END) * 1e6 + 0.51) / 1e6 AS combined_leverage_dtl,
     floor(((total_debt - cash_and_equivalents) / nullif(total_stockholders_equity, 0)) * 1e6 + 0.51) / 1e6 AS net_debt_to_equity,
-    floor((total_stockholders_equity - goodwill_and_intangibles) * 1e6 + 0.51) / 1e6 AS tangible_net_worth,
+    total_stockholders_equity - goodwill_and_intangibles AS tangible_net_worth,
     floor((total_debt / nullif(total_stockholders_equity - goodwill_and_intangibles, 0)) * 1e6 + 0.51) / 1e6 AS debt_to_tangible_nw,
     floor((interest_income / nullif(interest_expense, 0)) * 1e6 + 0.51) / 1e6 AS interest_income_to_expense,
     floor(((interest_income - interest_expense) / nullif(total_assets, 0)) * 1e6 + 0.51) / 1e6 AS net_interest_margin

@@ -7,6 +7,8 @@ frame, so a query that touches several of them scans and aggregates once.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -411,14 +413,16 @@ def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- sources -------------------------------------------------------------------
 def source(spark: SparkSession, sf_dir: str) -> FrameSource:
     """Every catalogue table the supplied data can stand in for."""
-    day, quarter, snap = (f(spark, sf_dir) for f in (daily, quarterly, snapshot))
+    day, quarter, snap, month, year, rate, trade = (
+        partial(f, spark, sf_dir)
+        for f in (daily, quarterly, snapshot, monthly, annual, rates, trades)
+    )
     frames = {"daily_price": day, "historical_market_cap": day}
     frames.update({t: quarter for t in QUARTERLY})
     frames.update({t: snap for t in SNAPSHOT})
-    frames["historical_grades"] = monthly(spark, sf_dir)
-    frames["employee_count"] = annual(spark, sf_dir)
-    frames["treasury_rates"] = rates(spark, sf_dir)
-    frames["insider_trades"] = trades(spark, sf_dir)
+    frames.update(
+        historical_grades=month, employee_count=year, treasury_rates=rate, insider_trades=trade
+    )
     return FrameSource(frames)
 
 
