@@ -1 +1,181 @@
-QUERIES = {}
+"""Landing, typed append and scans."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType
+
+from panelgrain import default_catalog
+from panelgrain.sources import landing as L
+
+from .. import oracle as O
+from .. import views as V
+
+CATALOG = default_catalog()
+
+
+def s01_typed_append(spark, sf_dir):
+    """Raw insider trades under their payload names into stored columns."""
+    t = V.events(spark, sf_dir)
+    raw = t.select(
+        F.when(F.col("event_id") % 10 == 0, "").otherwise(F.col("symbol")).alias("symbol"),
+        F.when(F.col("event_id") % 13 == 0, "").otherwise(F.col("date").cast("string")).alias(
+            "transactionDate"
+        ),
+        F.col("value").alias("price"),
+        F.get_json_object("props", "$.k").alias("securitiesTransacted"),
+        # The misspelt attribute on one part of the rows, the proper one on the rest.
+        F.when(F.col("event_id") % 2 == 0, "A").alias("acquistionOrDisposition"),
+        F.when(F.col("event_id") % 2 == 1, "D").alias("acquisitionOrDisposition"),
+        F.col("event_type").alias("unknownAttribute"),
+        F.col("event_id").alias("_seq"),
+    )
+    rows = L.stamp_version(L.conform(raw, CATALOG["insider_trades"]), "2024-02-01 00:00:00", 7)
+    return rows.select(
+        "symbol", "date", "insider_price", "securities_transacted", "acquisition_or_disposition",
+        "reporting_name", "_batch_id", "_seq",
+    )
+
+
+S01 = """
+SELECT symbol, CASE WHEN event_id % 13 = 0 THEN NULL ELSE date END AS date,
+       value AS insider_price, CAST(json_extract(props, '$.k') AS BIGINT) AS securities_transacted,
+       CASE WHEN event_id % 2 = 0 THEN 'A' ELSE 'D' END AS acquisition_or_disposition,
+       CAST(NULL AS VARCHAR) AS reporting_name, '7' AS _batch_id, event_id AS _seq
+FROM ev WHERE event_id % 10 <> 0"""
+
+
+def s03_latest_scan(spark, sf_dir):
+    columns = ["securities_transacted", "insider_price", "acquisition_or_disposition"]
+    return V.source(spark, sf_dir).read("insider_trades", None, "2024-01-05", "2024-01-20", columns)
+
+
+S03 = """
+SELECT symbol, date, securities_transacted, insider_price, acquisition_or_disposition
+FROM insider_trades WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"""
+
+
+def s04_source_names(spark, sf_dir):
+    rows = V.source(spark, sf_dir).read_source_names("insider_trades")
+    return rows.select(
+        "symbol", "date", "reportingName", "typeOfOwner", "acquisitionOrDisposition",
+        "securitiesTransacted", "price", "formType",
+    )
+
+
+S04 = """
+SELECT symbol, date, reporting_name AS reportingName, type_of_owner AS typeOfOwner,
+       acquisition_or_disposition AS acquisitionOrDisposition,
+       securities_transacted AS securitiesTransacted, insider_price AS price,
+       CAST(NULL AS VARCHAR) AS formType
+FROM insider_trades"""
+
+
+def s05_csv_cleanup(spark, sf_dir):
+    """Text cells with every null token, parsed into the catalogue's types."""
+    k = F.col("event_id") % 8
+    text = (
+        F.when(k == 0, "").when(k == 1, "None").when(k == 2, "NaN").when(k == 3, "Infinity")
+        .when(k == 4, "inf").when(k == 5, F.concat(F.lit(" "), F.col("value").cast("string")))
+        .when(k == 6, F.col("user_id").cast("string")).otherwise(F.col("event_type"))
+    )
+    cell = L.clean_token(text)
+    return V.events(spark, sf_dir).select(
+        "event_id",
+        cell.alias("as_text"),
+        V.r6(L.parse_as(cell, DoubleType())).alias("as_double"),
+        L.parse_as(cell, LongType()).alias("as_bigint"),
+    )
+
+
+S05 = f"""
+SELECT event_id, cell AS as_text, {O.r6("TRY_CAST(cell AS DOUBLE)")} AS as_double,
+       CAST(floor(TRY_CAST(cell AS DOUBLE)) AS BIGINT) AS as_bigint
+FROM (SELECT event_id, CASE event_id % 8 WHEN 5 THEN CAST(value AS VARCHAR)
+             WHEN 6 THEN CAST(user_id AS VARCHAR) WHEN 7 THEN event_type END AS cell FROM ev)"""
+
+
+def _responses(spark, sf_dir):
+    """Raw responses: one JSON object, or a list of two, per event."""
+    one = F.to_json(F.struct(F.col("symbol"), F.col("value").alias("price"),
+                             F.col("user_id").alias("volume"), F.col("event_type").alias("other")))
+    two = F.concat(F.lit(" ["), one, F.lit(","), one, F.lit("]"))
+    return V.events(spark, sf_dir).select(
+        "event_id", F.when(F.col("event_id") % 2 == 0, one).otherwise(two).alias("body")
+    )
+
+
+def s06_x16_json_payloads(spark, sf_dir):
+    rows = L.parse_payload(_responses(spark, sf_dir), "body", CATALOG["quote"])
+    return rows.select("event_id", "symbol", "price", "volume", "dayHigh")
+
+
+S06 = """
+SELECT event_id, symbol, value AS price, user_id AS volume, CAST(NULL AS DOUBLE) AS dayHigh FROM ev
+UNION ALL
+SELECT event_id, symbol, value, user_id, NULL FROM ev WHERE event_id % 2 = 1"""
+
+
+def s07_default_symbol(spark, sf_dir):
+    rows = V.events(spark, sf_dir).select(
+        F.when(F.col("event_type") != "view", F.col("symbol")).alias("symbol"),
+        F.concat(F.lit("asked-"), "symbol").alias("_requested_symbol"), "event_id",
+    )
+    return L.stamp_symbol(rows).select("event_id", "symbol")
+
+
+S07 = """
+SELECT event_id, CASE WHEN event_type <> 'view' THEN symbol ELSE 'asked-' || symbol END AS symbol
+FROM ev"""
+
+
+def s08_unexpired_responses(spark, sf_dir):
+    raw = V.events(spark, sf_dir).select(
+        "user_id", "event_type", F.col("ts").cast("timestamp").alias("fetched_at"),
+        (F.col("event_id") % 4 * 86400).cast("int").alias("ttl_seconds"), "props", "event_id",
+        L.response_key(F.col("event_type"), F.create_map(F.lit("user"), F.col("symbol"))).alias(
+            "cache_key"
+        ),
+    )
+    live = L.unexpired(raw, "2024-01-31 00:00:00")
+    return live.select("user_id", "event_type", "event_id", "props")
+
+
+S08 = """
+SELECT user_id, event_type, event_id, props
+FROM (SELECT * FROM ev
+      QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) = 1)
+WHERE ts + to_seconds(event_id % 4 * 86400) > TIMESTAMP '2024-01-31 00:00:00'"""
+
+
+def s09_adhoc_sql(spark, sf_dir):
+    V.source(spark, sf_dir).create_views(spark, ["daily_price", "income_statement"])
+    return V.rounded(spark.sql(
+        """
+        SELECT p.symbol, p.days, p.volume, s.quarters, s.revenue, p.top
+        FROM (SELECT symbol, count(*) AS days, sum(volume) AS volume, max(high) AS top
+              FROM daily_price WHERE date >= :since GROUP BY symbol) p
+        JOIN (SELECT symbol, count(*) AS quarters, sum(revenue) AS revenue
+              FROM income_statement GROUP BY symbol) s USING (symbol)
+        """,
+        args={"since": "1996-01-01"},
+    ))
+
+
+S09 = f"""
+SELECT p.symbol, days, volume, quarters, revenue, {O.r6("top")} AS top
+FROM (SELECT symbol, count(*) AS days, CAST(sum(volume) AS BIGINT) AS volume, max(high) AS top
+      FROM daily WHERE date >= DATE '1996-01-01' GROUP BY 1) p
+JOIN (SELECT symbol, count(*) AS quarters, CAST(sum(revenue) AS BIGINT) AS revenue
+      FROM quarterly GROUP BY 1) s USING (symbol)"""
+
+QUERIES = {
+    "s01_typed_append": (s01_typed_append, O.sql(S01)),
+    "s03_latest_scan": (s03_latest_scan, O.sql(S03)),
+    "s04_source_names": (s04_source_names, O.sql(S04)),
+    "s05_csv_cleanup": (s05_csv_cleanup, O.sql(S05)),
+    "s06_x16_json_payloads": (s06_x16_json_payloads, O.sql(S06)),
+    "s07_default_symbol": (s07_default_symbol, O.sql(S07)),
+    "s08_unexpired_responses": (s08_unexpired_responses, O.sql(S08)),
+    "s09_adhoc_sql": (s09_adhoc_sql, O.sql(S09)),
+}
