@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 
 TRADING_DAYS = 252
@@ -47,3 +47,8 @@ def weighted(*terms: tuple[float, Column]) -> Column:
 
 def per_day(annual: Column) -> Column:
     return annual / F.lit(365.0)
+
+
+def by_symbol() -> WindowSpec:
+    """The window of a panel: one symbol in date order."""
+    return Window.partitionBy("symbol").orderBy("date")

@@ -7,14 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import ratio
+from ..functions.expr import by_symbol, ratio
 from .rolling import Roll, with_rolls
 
-BY_SYMBOL = Window.partitionBy("symbol").orderBy("date")
 
-
-def _step(column: str, k: int = 1, window=BY_SYMBOL) -> Column:
-    return ratio(F.col(column), F.lag(column, k).over(window)) - 1
+def _step(column: str, k: int = 1) -> Column:
+    return ratio(F.col(column), F.lag(column, k).over(by_symbol())) - 1
 
 
 def _guarded(value: Column, count: Column, least: int) -> Column:
@@ -26,8 +24,8 @@ def with_autocorrelation(
 ) -> DataFrame:
     """Rolling correlation of the one-row return with its predecessor."""
     r = df.withColumn("__ret", _step("close"))
-    r = r.withColumn("__ret_before", F.lag("__ret").over(BY_SYMBOL))
-    frame = BY_SYMBOL.rowsBetween(-(rows - 1), 0)
+    r = r.withColumn("__ret_before", F.lag("__ret").over(by_symbol()))
+    frame = by_symbol().rowsBetween(-(rows - 1), 0)
     both = F.when(F.col("__ret").isNotNull() & F.col("__ret_before").isNotNull(), 1)
     corr = _guarded(
         F.corr("__ret", "__ret_before").over(frame), F.count(both).over(frame), least
@@ -94,8 +92,8 @@ def with_rise_streak(df: DataFrame, column: str, name: str) -> DataFrame:
 
     Row number minus the row number of the latest reset: two passes over one sort.
     """
-    upto = BY_SYMBOL.rowsBetween(Window.unboundedPreceding, 0)
-    rises = F.coalesce(F.col(column) > F.lag(column).over(BY_SYMBOL), F.lit(False))
-    marked = df.withColumn("__row", F.row_number().over(BY_SYMBOL)).withColumn("__rises", rises)
+    upto = by_symbol().rowsBetween(Window.unboundedPreceding, 0)
+    rises = F.coalesce(F.col(column) > F.lag(column).over(by_symbol()), F.lit(False))
+    marked = df.withColumn("__row", F.row_number().over(by_symbol())).withColumn("__rises", rises)
     reset = F.max(F.when(~F.col("__rises"), F.col("__row"))).over(upto)
     return marked.withColumn(name, (F.col("__row") - reset).cast("bigint")).drop("__row", "__rises")

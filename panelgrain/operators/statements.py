@@ -4,19 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import growth, ratio
+from ..functions.expr import by_symbol, growth, ratio
 from .asof import carry_forward_rows
 
-BY_SYMBOL = Window.partitionBy("symbol").orderBy("date")
-
 
 def trailing_sums(df: DataFrame, columns: Sequence[str], rows: int = 4, prefix: str = "ttm_") -> DataFrame:
     """Sums over the last ``rows`` periods, NULL until there are that many."""
-    frame = BY_SYMBOL.rowsBetween(-(rows - 1), 0)
-    full = F.row_number().over(BY_SYMBOL) >= rows
+    frame = by_symbol().rowsBetween(-(rows - 1), 0)
+    full = F.row_number().over(by_symbol()) >= rows
     return df.select(
         "symbol", "date",
         *[F.when(full, F.sum(c).over(frame)).alias(prefix + c) for c in columns],
@@ -27,7 +25,7 @@ def growth_table(df: DataFrame, columns: Sequence[str], k: int = 1, prefix: str
     """Growth of each column against the row ``k`` periods earlier."""
     return df.select(
         "symbol", "date",
-        *[growth(F.col(c), F.lag(c, k).over(BY_SYMBOL)).alias(prefix + c) for c in columns],
+        *[growth(F.col(c), F.lag(c, k).over(by_symbol())).alias(prefix + c) for c in columns],
     )
 
 

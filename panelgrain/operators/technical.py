@@ -4,22 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import ratio
+from ..functions.expr import by_symbol, ratio
 from . import recursive as R
 
-BY_SYMBOL = Window.partitionBy("symbol").orderBy("date")
-
 
 def _frame(n: int):
-    return BY_SYMBOL.rowsBetween(-(n - 1), 0)
+    return by_symbol().rowsBetween(-(n - 1), 0)
 
 
 def _full(value: Column, n: int) -> Column:
     """NULL until ``n`` rows are there."""
-    return F.when(F.row_number().over(BY_SYMBOL) >= n, value)
+    return F.when(F.row_number().over(by_symbol()) >= n, value)
 
 
 def sma(n: int) -> Column:
@@ -30,7 +28,7 @@ def wma(n: int) -> Column:
     """Linearly weighted mean, newest row heaviest."""
     total = F.lit(0.0)
     for age in range(n):
-        total = total + F.lag("close", age).over(BY_SYMBOL) * float(n - age)
+        total = total + F.lag("close", age).over(by_symbol()) * float(n - age)
     return total / F.lit(n * (n + 1) / 2.0)
 
 
