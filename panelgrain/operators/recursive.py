@@ -81,7 +81,10 @@ def adx(high: Series, low: Series, close: Series, n: int) -> Series:
     minus = np.where(missing, np.nan, np.where((down > up) & (down > 0), down, 0.0))
     base = wilder(spread, n)
     plus_di, minus_di = _share(wilder(plus, n), base), _share(wilder(minus, n), base)
-    return wilder(_share(np.abs(plus_di - minus_di), plus_di + minus_di), n)
+    # No movement either way counts as no direction.
+    total = plus_di + minus_di
+    direction = np.where(total == 0, 0.0, _share(np.abs(plus_di - minus_di), total))
+    return wilder(direction, n)
 
 
 # -- indicators by name -------------------------------------------------------
