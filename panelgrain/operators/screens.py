@@ -44,18 +44,25 @@ def search(df: DataFrame, text: str, columns: Sequence[str]) -> DataFrame:
 
 def movers(
     df: DataFrame,
-    by: str,
+    lists: Mapping[str, tuple[str, bool]],
     k: int,
-    largest: bool = True,
     per: Sequence[str] = ("date",),
     tie: Sequence[str] = ("symbol",),
 ) -> DataFrame:
-    """Top ``k`` per day by one measure.
+    """Top ``k`` per day for several lists, each ``name: (measure, largest first)``.
 
-    ``row_number() <= k`` lets Spark drop all but k rows per day and partition
-    before the shuffle, so a busy day does not pile up in one task.
+    A row becomes one candidate per list, so the input is read and shuffled once;
+    ``row_number() <= k`` lets Spark drop all but k candidates per day, list and
+    partition before that shuffle, so a busy day does not pile up in one task.
     """
-    measure = F.col(by).desc_nulls_last() if largest else F.col(by).asc_nulls_last()
-    w = Window.partitionBy(*per).orderBy(measure, *tie)
-    ranked = df.filter(F.col(by).isNotNull()).withColumn("rank", F.row_number().over(w))
-    return ranked.filter(F.col("rank") <= k)
+    candidates = F.array(*[
+        F.struct(
+            F.lit(name).alias("list"),
+            (F.col(by) if largest else -F.col(by)).cast("double").alias("__score"),
+        )
+        for name, (by, largest) in lists.items()
+    ])
+    spread = df.select("*", F.inline(candidates)).filter(F.col("__score").isNotNull())
+    w = Window.partitionBy(*per, "list").orderBy(F.col("__score").desc(), *tie)
+    ranked = spread.withColumn("rank", F.row_number().over(w))
+    return ranked.filter(F.col("rank") <= k).drop("__score")

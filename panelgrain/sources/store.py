@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import versions as V
 from .catalog import Catalog, TableSpec, default_catalog
@@ -249,7 +250,7 @@ class VersionedStore(Source):
             return self.spark.createDataFrame([], schema)
         # The stored year is kept in the read schema so that filters on date can
         # be turned into directory pruning by in_range below.
-        read_schema = schema.add("date_year", "int") if spec.by_date else schema
+        read_schema = schema.add("date_year", T.IntegerType()) if spec.by_date else schema
         return self.spark.read.schema(read_schema).parquet(path)
 
     def scan(self, table, columns=None, symbols=None, start=None, end=None, version_as_of=None):

@@ -67,11 +67,7 @@ def r03_movers(spark, sf_dir):
     daily = V.daily(spark, sf_dir).select("symbol", "date", "change_pct", "volume")
     lists = {"gainers": ("change_pct", True), "losers": ("change_pct", False),
              "active": ("volume", True)}
-    out = None
-    for name, (by, largest) in lists.items():
-        top = SC.movers(daily, by, 3, largest).withColumn("list", F.lit(name))
-        out = top if out is None else out.unionByName(top)
-    return V.rounded(out)
+    return V.rounded(SC.movers(daily, lists, 3))
 
 
 R03 = "\nUNION ALL\n".join(
