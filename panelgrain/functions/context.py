@@ -99,46 +99,57 @@ class PanelView:
         return k + max(lengths, default=0)
 
 
-def evaluate(
-    df: DataFrame,
-    features: Sequence[tuple[str, Builder]],
-    keep: Sequence[str],
-    partition: Sequence[str] = ("symbol",),
-    order: str = "date",
-    as_of: Column | None = None,
-) -> DataFrame:
-    """Evaluate features on an aligned panel; returns ``keep`` plus one column each.
-
-    The panel is unique per (symbol, date), so a window partition is bounded by
-    the calendar: at most 366 rows a year whatever the data volume.
-    """
-    view = PanelView(as_of)
-    results = [build(view).alias(name) for name, build in features]
-    by_key = Window.partitionBy(*partition).orderBy(order)
-    if view.lags:
-        df = df.select(
-            "*", *[F.lag(c, k).over(by_key).alias(s) for s, (c, k) in view.lags.items()]
-        )
-    if view.definitions:
-        df = df.select("*", *[c.alias(s) for s, c in view.definitions.items()])
-    # Costly statistics over long frames leave the JVM; see operators.rolling.
-    costly = {
-        s: Roll(how, (c,), n)
-        for s, (how, c, n) in view.rolls.items()
-        if partition and how in STATISTICS and n is not None and n >= LONG
-    }
-    frames = {s: spec for s, spec in view.rolls.items() if s not in costly}
-    if frames:
-        def frame(rows):
-            first = Window.unboundedPreceding if rows is None else -(rows - 1)
-            return by_key.rowsBetween(first, Window.currentRow)
-
-        df = df.select(
-            "*", *[_OVER[how](F.col(c), frame(n)).alias(s) for s, (how, c, n) in frames.items()]
-        )
-    df = with_rolls(df, costly, partition, order)
-    names = {n for n, _ in features}
-    return df.select(*[F.col(c) for c in keep if c not in names], *results)
+class FeatureSet:
+    """Features built once against one view: what they read, and how to evaluate them."""
+
+    def __init__(self, features: Sequence[tuple[str, Builder]], as_of: Column | None = None):
+        self.view = PanelView(as_of)
+        self.columns = {name: build(self.view) for name, build in features}
+
+    @property
+    def fields(self) -> list[str]:
+        return list(self.view.fields)
+
+    def evaluate(
+        self,
+        df: DataFrame,
+        partition: Sequence[str] = ("symbol",),
+        order: str = "date",
+        names: dict[str, str] | None = None,
+    ) -> DataFrame:
+        """Add the features to an aligned panel; ``names`` renames some of them.
+
+        The panel is unique per (symbol, date), so a window partition is bounded by
+        the calendar: at most 366 rows a year whatever the data volume.
+        """
+        view, keep = self.view, df.columns
+        by_key = Window.partitionBy(*partition).orderBy(order)
+        if view.lags:
+            df = df.select(
+                "*", *[F.lag(c, k).over(by_key).alias(s) for s, (c, k) in view.lags.items()]
+            )
+        if view.definitions:
+            df = df.select("*", *[c.alias(s) for s, c in view.definitions.items()])
+        # Costly statistics over long frames leave the JVM; see operators.rolling.
+        costly = {
+            s: Roll(how, (c,), n)
+            for s, (how, c, n) in view.rolls.items()
+            if partition and how in STATISTICS and n is not None and n >= LONG
+        }
+        frames = {s: spec for s, spec in view.rolls.items() if s not in costly}
+        if frames:
+            def frame(rows):
+                first = Window.unboundedPreceding if rows is None else -(rows - 1)
+                return by_key.rowsBetween(first, Window.currentRow)
+
+            df = df.select(
+                "*",
+                *[_OVER[how](F.col(c), frame(n)).alias(s) for s, (how, c, n) in frames.items()],
+            )
+        df = with_rolls(df, costly, partition, order)
+        names = names or {}
+        results = [c.alias(names.get(n, n)) for n, c in self.columns.items()]
+        return df.select(*keep, *results)
 
 
 def dependencies(build: Builder) -> list[str]:

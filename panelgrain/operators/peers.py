@@ -39,13 +39,13 @@ def peer_statistics(
 
     The exact percentile rank (rows below / (rows − 1)) is counted in two levels:
     distinct values are counted first, values are cut into ranges of equal width,
-    and running counts are taken over ranges and inside each range.
+    and running counts are taken over ranges and inside each range.  The exact median
+    is the value or pair of values whose counts cover the middle row.
     """
     keys = list(group)
     stats = df.groupBy(*keys).agg(
         F.avg(value).alias("peer_mean"),
         F.stddev_samp(value).alias("peer_sd"),
-        F.median(value).alias("peer_median"),
         F.min(value).alias("__low"),
         F.max(value).alias("__high"),
         F.count(value).alias("__n"),
@@ -54,7 +54,7 @@ def peer_statistics(
         F.count(F.lit(1)).alias("__c")
     )
     place = ratio(F.col(value) - F.col("__low"), F.col("__high") - F.col("__low"))
-    ranged = counts.join(stats.select(*keys, "__low", "__high"), keys).withColumn(
+    ranged = counts.join(stats.select(*keys, "__low", "__high", "__n"), keys).withColumn(
         "__range", F.coalesce(F.floor(place * RANK_RANGES), F.lit(0))
     )
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
@@ -66,10 +66,23 @@ def peer_statistics(
         Window.unboundedPreceding, -1
     )
     below = ranged.join(ranges, [*keys, "__range"]).select(
-        *keys, value,
+        *keys, value, "__c", "__n",
         (F.col("__ahead") + F.coalesce(F.sum("__c").over(inside), F.lit(0))).alias("__below"),
     )
-    joined = df.join(stats, keys, "left").join(below, [*keys, value], "left")
+
+    def at(position):
+        covered = (F.col("__below") <= position) & (position < F.col("__below") + F.col("__c"))
+        return F.max(F.when(covered, F.col(value)))
+
+    middle = below.groupBy(*keys).agg(
+        ((at(F.floor((F.col("__n") - 1) / 2)) + at(F.ceil((F.col("__n") - 1) / 2))) / 2).alias(
+            "peer_median"
+        )
+    )
+    joined = (
+        df.join(stats.join(middle, keys, "left"), keys, "left")
+        .join(below.select(*keys, value, "__below"), [*keys, value], "left")
+    )
     return joined.select(
         *df.columns,
         "peer_median",

@@ -17,7 +17,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.context import evaluate
+from ..functions.context import FeatureSet
 from ..functions.features import default_registry
 from ..functions.registry import FeatureRegistry
 from ..operators.align import join_exact, join_period, join_snapshot
@@ -212,9 +212,8 @@ class PanelQuery:
         native = self._native_groups(derived) if self._native else {}
         row_level = [d for d in derived if not any(d in names for names in native.values())]
 
-        needed = list(base)
-        for name in row_level:
-            needed += features[name].deps
+        built = FeatureSet([(n, features[n].build) for n in row_level], self._as_of_day())
+        needed = base + built.fields
         for name in panel:
             needed += self.registry.panel_features[name].deps
         grouped = self._group(needed)
@@ -230,7 +229,12 @@ class PanelQuery:
 
         df, keys = self._aligned(grouped, target, native)
         stored = [c for cols in grouped.values() for c in cols]
-        df = self._with_features(df, keys, row_level, panel)
+        # A feature may bear the name of the stored field it was computed from.
+        slots = {n: f"__feature_{n}" for n in row_level if n in stored}
+        if row_level:
+            partition = [k for k in keys if k == "symbol"]
+            order = "date" if "date" in keys else "symbol"
+            df = built.evaluate(df, partition, order, slots)
         df = self._with_panel_features(df, panel)
         if self._warm_up and self._start is not None and "date" in keys:
             first = target.period_start(F.lit(self._start).cast("date"))
@@ -240,9 +244,7 @@ class PanelQuery:
         for name in self._fields:
             computed = name in self.registry
             stored_name = name if computed else self.catalog.resolve(name)[1].name
-            # A feature may bear the name of the stored field it was computed from.
-            slot = f"__feature_{name}" if name in row_level and name in stored else stored_name
-            out[name] = F.col(slot).alias(name)
+            out[name] = F.col(slots.get(name, stored_name)).alias(name)
         if self._keep_inputs:
             for c in stored:
                 out.setdefault(c, F.col(c))
@@ -370,18 +372,6 @@ class PanelQuery:
         day = self._as_of if self._as_of is not None else self._end
         return F.current_date() if day is None else F.lit(day).cast("date")
 
-    def _with_features(self, df, keys, row_level, panel) -> DataFrame:
-        if not row_level:
-            return df
-        present = set(df.columns)
-        named = [
-            (f"__feature_{n}" if n in present else n, self.registry.features[n].build)
-            for n in row_level
-        ]
-        partition = [k for k in keys if k == "symbol"]
-        order = "date" if "date" in keys else "symbol"
-        return evaluate(df, named, df.columns, partition, order, self._as_of_day())
-
     def _with_panel_features(self, df: DataFrame, panel: Sequence[str]) -> DataFrame:
         families: dict[str, list[str]] = {}
         for name in panel:

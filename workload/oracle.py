@@ -133,14 +133,16 @@ VIEWS = {
                last(px ORDER BY date, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS price,
                max(px) AS year_high, min(px) AS year_low,
                CAST(sum(l_quantity) AS BIGINT) AS q, count(*) AS n, sum(net) AS r,
-               min(date) AS ipo_date, min(p_type) AS sector, max(p_type) AS industry,
+               min(date) AS ipo_date,
                CAST(sum(p_size) AS BIGINT) AS sizes,
                CAST(max(p_size) AS DOUBLE) AS esg_social,
                CAST(min(p_size) AS DOUBLE) AS esg_governance,
                {_grade_counts()}
         FROM lines GROUP BY 1""",
     "snapshot": f"""
-        SELECT symbol, price, year_high, year_low, ipo_date, sector, industry,
+        SELECT symbol, price, year_high, year_low, ipo_date,
+               (SELECT min(p_type) FROM part WHERE p_brand = symbol) AS sector,
+               (SELECT max(p_type) FROM part WHERE p_brand = symbol) AS industry,
                CAST(round(r, 0) AS BIGINT) AS quote_market_cap,
                CAST(round(r, 0) AS BIGINT) AS profile_market_cap,
                q // n AS quote_volume,
