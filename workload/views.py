@@ -349,9 +349,8 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index constituents: brands traded more often than the average brand."""
     per_brand = lines(spark, sf_dir).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
-    mean = per_brand.agg(F.avg("n").alias("mean_n"))
-    # One aggregate row against one row per brand.
-    return per_brand.join(F.broadcast(mean), F.col("n") > F.col("mean_n")).select("symbol")
+    mean = per_brand.agg(F.avg("n")).scalar()
+    return per_brand.filter(F.col("n") > mean).select("symbol")
 
 
 def index_px(spark: SparkSession, sf_dir: str) -> DataFrame:
