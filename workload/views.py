@@ -77,13 +77,9 @@ def exact_sum(value: Column, scale: int = 4) -> Column:
     return F.sum(units).cast("decimal(28,0)") * F.lit(one).cast(f"decimal({scale + 1},{scale})")
 
 
-def whole(value: Column) -> Column:
-    return F.round(value, 0).cast("bigint")
-
-
-def part_of(share: str, amount: str) -> Column:
-    """Exact decimal share of an aggregated amount, as whole units."""
-    return whole(F.lit(share).cast("decimal(6,2)") * F.col(amount))
+def part_of(share: str, amount: str) -> str:
+    """SQL text: an exact decimal share of an aggregated amount, as whole units."""
+    return f"CAST(round(CAST({share} AS DECIMAL(6,2)) * {amount}, 0) AS BIGINT)"
 
 
 # -- line level ----------------------------------------------------------------
@@ -169,86 +165,58 @@ def quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.col("l_quantity").cast("bigint")).alias("q"),
         F.count(F.lit(1)).alias("n"),
     )
-    c = F.col
-    first = sums.select(
-        "symbol", "date", F.concat(F.lit("Q"), F.quarter("date")).alias("period"),
-        "r", "p", "d", "q", "n",
-        part_of("1", "r").alias("revenue"),
-        part_of("0.5", "p").alias("cost_of_revenue"),
-        part_of("0.1", "r").alias("sga_expenses"),
-        part_of("0.05", "p").alias("rd_expenses"),
-        part_of("0.2", "d").alias("interest_expense"),
-        part_of("0.05", "d").alias("interest_income"),
-        part_of("1", "t").alias("income_tax_expense"),
-        part_of("0.03", "p").alias("depreciation_and_amortization"),
-        (1000 * c("q")).alias("weighted_avg_shares_diluted"),
-        (990 * c("q")).alias("weighted_avg_shares"),
-        part_of("0.1", "r").alias("cash_and_equivalents"),
-        part_of("0.05", "r").alias("short_term_investments"),
-        part_of("0.15", "r").alias("net_receivables"),
-        part_of("0.2", "p").alias("inventory"),
-        part_of("0.03", "p").alias("other_current_assets"),
-        whole(F.lit("0.5").cast("decimal(6,2)") * c("r")
-              + F.lit("0.2").cast("decimal(6,2)") * c("p")).alias("total_current_assets"),
-        part_of("0.8", "p").alias("property_plant_equipment"),
-        part_of("0.05", "p").alias("goodwill"),
-        part_of("0.08", "p").alias("goodwill_and_intangibles"),
-        whole(F.lit("2").cast("decimal(6,2)") * c("r") + c("p")).alias("total_assets"),
-        part_of("0.12", "p").alias("accounts_payable"),
-        part_of("0.3", "p").alias("total_current_liabilities"),
-        part_of("0.3", "r").alias("long_term_debt"),
-        part_of("0.4", "r").alias("total_debt"),
-        whole(F.lit("0.4").cast("decimal(6,2)") * c("r")
-              + F.lit("0.5").cast("decimal(6,2)") * c("p")).alias("total_liabilities"),
-        part_of("0.3", "r").alias("retained_earnings"),
-        part_of("0.02", "r").alias("deferred_revenue"),
-        part_of("-0.04", "p").alias("capex"),
-        part_of("-0.1", "r").alias("dividends_paid"),
-        part_of("-0.1", "d").alias("share_repurchase"),
-        part_of("0.1", "d").alias("debt_repayment"),
-        part_of("12", "r").alias("market_cap"),
-        part_of("0.9", "p").alias("revenue_estimated"),
-        part_of("1.05", "r").alias("est_revenue_avg"),
-        (c("n") % 20).cast("int").alias("num_analysts_eps"),
-        (2 + c("q") % 3).cast("int").alias("split_numerator"),
-        (1 + c("q") % 2).cast("int").alias("split_denominator"),
-        c("n").cast("int").alias("hist_inst_holders"),
-        (c("n") % 7 - 3).cast("int").alias("hist_inst_holders_change"),
-        part_of("1", "p").alias("hist_inst_invested"),
-        part_of("0.1", "d").alias("hist_inst_invested_change"),
-    )
-    second = first.select(
-        "*",
-        (c("revenue") - c("cost_of_revenue")).alias("gross_profit"),
-        (c("sga_expenses") + c("rd_expenses")).alias("operating_expenses"),
-        (c("total_assets") - c("total_liabilities")).alias("total_stockholders_equity"),
-        (c("market_cap") + c("total_debt") - c("cash_and_equivalents")).alias("enterprise_value"),
-        c("revenue").alias("earnings_revenue"),
-        (-c("dividends_paid") / c("weighted_avg_shares_diluted")).alias("adj_dividend"),
-    )
-    third = second.select(
-        "*", (c("gross_profit") - c("operating_expenses")).alias("operating_income")
+    # One projection; later columns refer to earlier ones by name.
+    shares = {
+        "revenue": ("1", "r"), "cost_of_revenue": ("0.5", "p"), "sga_expenses": ("0.1", "r"),
+        "rd_expenses": ("0.05", "p"), "interest_expense": ("0.2", "d"),
+        "interest_income": ("0.05", "d"), "income_tax_expense": ("1", "t"),
+        "depreciation_and_amortization": ("0.03", "p"), "cash_and_equivalents": ("0.1", "r"),
+        "short_term_investments": ("0.05", "r"), "net_receivables": ("0.15", "r"),
+        "inventory": ("0.2", "p"), "other_current_assets": ("0.03", "p"),
+        "property_plant_equipment": ("0.8", "p"), "goodwill": ("0.05", "p"),
+        "goodwill_and_intangibles": ("0.08", "p"), "accounts_payable": ("0.12", "p"),
+        "total_current_liabilities": ("0.3", "p"), "long_term_debt": ("0.3", "r"),
+        "total_debt": ("0.4", "r"), "retained_earnings": ("0.3", "r"),
+        "deferred_revenue": ("0.02", "r"), "capex": ("-0.04", "p"), "dividends_paid": ("-0.1", "r"),
+        "share_repurchase": ("-0.1", "d"), "debt_repayment": ("0.1", "d"), "market_cap": ("12", "r"),
+        "revenue_estimated": ("0.9", "p"), "est_revenue_avg": ("1.05", "r"),
+        "hist_inst_invested": ("1", "p"), "hist_inst_invested_change": ("0.1", "d"),
+    }
+    derived = {
+        "total_current_assets":
+            "CAST(round(CAST(0.5 AS DECIMAL(6,2)) * r + CAST(0.2 AS DECIMAL(6,2)) * p, 0) AS BIGINT)",
+        "total_assets": "CAST(round(CAST(2 AS DECIMAL(6,2)) * r + p, 0) AS BIGINT)",
+        "total_liabilities":
+            "CAST(round(CAST(0.4 AS DECIMAL(6,2)) * r + CAST(0.5 AS DECIMAL(6,2)) * p, 0) AS BIGINT)",
+        "weighted_avg_shares_diluted": "1000 * q",
+        "weighted_avg_shares": "990 * q",
+        "num_analysts_eps": "CAST(n % 20 AS INT)",
+        "split_numerator": "CAST(2 + q % 3 AS INT)",
+        "split_denominator": "CAST(1 + q % 2 AS INT)",
+        "hist_inst_holders": "CAST(n AS INT)",
+        "hist_inst_holders_change": "CAST(n % 7 - 3 AS INT)",
+        "gross_profit": "revenue - cost_of_revenue",
+        "operating_expenses": "sga_expenses + rd_expenses",
+        "total_stockholders_equity": "total_assets - total_liabilities",
+        "enterprise_value": "market_cap + total_debt - cash_and_equivalents",
+        "earnings_revenue": "revenue",
+        "adj_dividend": "-dividends_paid / weighted_avg_shares_diluted",
+        "operating_income": "gross_profit - operating_expenses",
+        "income_before_tax": "operating_income - interest_expense",
+        "ebitda": "operating_income + depreciation_and_amortization",
+        "net_income": "income_before_tax - income_tax_expense",
+        "eps_diluted": "net_income / weighted_avg_shares_diluted",
+        "earnings_eps": "eps_diluted",
+        "eps_estimated": "operating_income * 0.8D / weighted_avg_shares_diluted",
+        "est_eps_avg": "income_before_tax * 1.1D / weighted_avg_shares_diluted",
+        "operating_cash_flow": "net_income + depreciation_and_amortization",
+        "free_cash_flow": "operating_cash_flow + capex",
+    }
+    return sums.selectExpr(
+        "symbol", "date", "concat('Q', quarter(date)) AS period",
+        *[f"{part_of(*v)} AS {k}" for k, v in shares.items()],
+        *[f"{v} AS {k}" for k, v in derived.items()],
     )
-    fourth = third.select(
-        "*",
-        (c("operating_income") - c("interest_expense")).alias("income_before_tax"),
-        (c("operating_income") + c("depreciation_and_amortization")).alias("ebitda"),
-    )
-    fifth = fourth.select(
-        "*", (c("income_before_tax") - c("income_tax_expense")).alias("net_income")
-    )
-    shares = c("weighted_avg_shares_diluted")
-    sixth = fifth.select(
-        "*",
-        (c("net_income") / shares).alias("eps_diluted"),
-        (c("net_income") / shares).alias("earnings_eps"),
-        (c("operating_income") * 0.8 / shares).alias("eps_estimated"),
-        (c("income_before_tax") * 1.1 / shares).alias("est_eps_avg"),
-        (c("net_income") + c("depreciation_and_amortization")).alias("operating_cash_flow"),
-    )
-    return sixth.select(
-        "*", (c("operating_cash_flow") + c("capex")).alias("free_cash_flow")
-    ).drop("r", "p", "d", "q", "n")
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,42 +276,40 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("p_type").alias("sector"), F.max("p_type").alias("industry")
     )
     agg = agg.join(types, "symbol", "left")
-    brand = F.regexp_extract("symbol", r"(\d+)$", 1).cast("int")
     spans = ("1d", "5d", "1m", "3m", "6m", "ytd", "1y", "3y", "5y")
-    return agg.select(
+    return agg.selectExpr(
         "symbol", "price", "year_high", "year_low", "ipo_date", "sector", "industry",
-        whole(c("r")).alias("quote_market_cap"),
-        whole(c("r")).alias("profile_market_cap"),
-        F.floor(c("q") / c("n")).alias("quote_volume"),
-        F.element_at(F.array(*[F.lit(x) for x in ("NYSE", "NASDAQ", "LSE", "AMEX")]),
-                     brand % 4 + 1).alias("exchange_short"),
-        F.when(brand % 4 == 2, "GB").otherwise("US").alias("country"),
-        (brand % 7 == 0).alias("is_etf"),
-        (brand % 11 == 0).alias("is_fund"),
-        (brand % 5 != 0).alias("is_actively_trading"),
-        ((brand % 30 + 5) / 10.0).alias("beta"),
-        (c("year_high") * 1.1).alias("target_high"),
-        (c("year_low") * 0.9).alias("target_low"),
-        (c("price") * 1.2).alias("target_consensus"),
-        (c("price") * 1.1).alias("target_median"),
-        "strong_buy", "buy", "hold", "sell", "strong_sell",
-        (brand % 5 + 1).alias("provider_rating_score"),
-        (800 * c("q")).alias("float_shares"),
-        (1000 * c("q")).alias("outstanding_shares"),
-        (c("price") * 1.05).alias("dcf_val"),
-        (c("sizes") / c("n")).alias("esg_environmental"),
+        "CAST(regexp_extract(symbol, '([0-9]+)$', 1) AS INT) AS brand",
+        "CAST(round(r, 0) AS BIGINT) AS quote_market_cap",
+        "quote_market_cap AS profile_market_cap",
+        "floor(q / n) AS quote_volume",
+        "element_at(array('NYSE', 'NASDAQ', 'LSE', 'AMEX'), brand % 4 + 1) AS exchange_short",
+        "CASE WHEN brand % 4 = 2 THEN 'GB' ELSE 'US' END AS country",
+        "brand % 7 = 0 AS is_etf",
+        "brand % 11 = 0 AS is_fund",
+        "brand % 5 <> 0 AS is_actively_trading",
+        "(brand % 30 + 5) / 10.0D AS beta",
+        "year_high * 1.1D AS target_high",
+        "year_low * 0.9D AS target_low",
+        "price * 1.2D AS target_consensus",
+        "price * 1.1D AS target_median",
+        *grades,
+        "brand % 5 + 1 AS provider_rating_score",
+        "800 * q AS float_shares",
+        "1000 * q AS outstanding_shares",
+        "price * 1.05D AS dcf_val",
+        "sizes / n AS esg_environmental",
         "esg_social", "esg_governance",
-        (c("sizes") / c("n") + c("esg_social")).alias("esg_score"),
-        *[(c("price") / c("year_low") - (i + 1) / 10.0).alias(f"provider_return_{s}")
-          for i, s in enumerate(spans)],
-        c("n").cast("int").alias("inst_holders_count"),
-        (c("n") - 3).cast("int").alias("inst_holders_prev"),
-        F.lit(3).alias("inst_holders_change"),
-        whole(c("r")).alias("inst_total_invested"),
-        (whole(c("r")) - 1000 * c("n")).alias("inst_invested_prev"),
-        (1000 * c("n")).alias("inst_invested_change"),
-        (c("q") / c("n")).alias("inst_put_call_ratio"),
-    )
+        "sizes / n + esg_social AS esg_score",
+        *[f"price / year_low - {i + 1} / 10.0D AS provider_return_{s}" for i, s in enumerate(spans)],
+        "CAST(n AS INT) AS inst_holders_count",
+        "CAST(n - 3 AS INT) AS inst_holders_prev",
+        "3 AS inst_holders_change",
+        "quote_market_cap AS inst_total_invested",
+        "quote_market_cap - 1000 * n AS inst_invested_prev",
+        "1000 * n AS inst_invested_change",
+        "q / n AS inst_put_call_ratio",
+    ).drop("brand")
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
