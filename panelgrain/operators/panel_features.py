@@ -8,6 +8,7 @@ Inputs a family may need, by name:
 ``senate_events``   senate trades (symbol, date, type)
 ``grade_events``    analyst grade changes (symbol, date, action)
 ``as_of``           the day recent windows end on (Column)
+``trailing``        whether they end on each row's own date instead
 """
 
 from __future__ import annotations
@@ -73,4 +74,7 @@ def register(registry: FeatureRegistry) -> None:
     ):
         @registry.panel(family, category, [], names_of, needs=[table])
         def signals(df, names, inputs, table=table, build=build):
-            return S.with_signals(df, inputs[table], S.pick(build(inputs["as_of"]), names))
+            wanted = S.pick(build(), names)
+            if inputs["trailing"]:
+                return S.with_trailing_signals(df, inputs[table], wanted)
+            return S.with_signals(df, inputs[table], wanted, inputs["as_of"])

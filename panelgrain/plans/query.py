@@ -48,6 +48,7 @@ class PanelQuery:
         self._warm_up = False
         self._inputs: dict[str, DataFrame] = {}
         self._keep_inputs = False
+        self._trailing = False
         self._as_of = None
         self._version_as_of = None
         self._benchmark = BENCHMARK
@@ -128,6 +129,11 @@ class PanelQuery:
         self._as_of = day
         return self
 
+    def trailing(self) -> "PanelQuery":
+        """Recent-event signals count back from each row's own date."""
+        self._trailing = True
+        return self
+
     def version_as_of(self, when: datetime | str) -> "PanelQuery":
         """Read the versions that were newest at ``when``."""
         self._version_as_of = when
@@ -378,8 +384,8 @@ class PanelQuery:
             families.setdefault(self.registry.panel_features[name].family, []).append(name)
         for family, names in families.items():
             needs = self.registry.panel_features[names[0]].needs
-            inputs = {n: self._input(n) for n in needs}
-            inputs["as_of"] = self._as_of_day()
+            inputs: dict = {n: self._input(n) for n in needs}
+            inputs.update(as_of=self._as_of_day(), trailing=self._trailing)
             df = self.registry.families[family](df, names, inputs)
         return df
 

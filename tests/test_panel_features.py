@@ -3,7 +3,7 @@ import math
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as hs
 from pyspark.sql import functions as F
 
@@ -175,3 +175,40 @@ def test_other_columns_pass_through_smoothing(spark):
     df = series(spark, [1.0, None, 3.0]).withColumn("note", F.lit("x"))
     out = R.with_indicators(df, {"e": R.indicator_ema(5)}, ["close"]).orderBy("date").collect()
     assert [r["note"] for r in out] == ["x"] * 3 and out[1]["e"] is None and out[1]["close"] is None
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(hs.lists(hs.tuples(hs.integers(0, 40), hs.sampled_from("xyz")), max_size=20))
+def test_trailing_signals_against_brute_force(spark, buys):
+    from panelgrain.operators import signals as S
+
+    def day(n):
+        return START + dt.timedelta(days=n)
+
+    events = spark.createDataFrame(
+        [("A", day(d), "A", 1, 2.0, who, "o") for d, who in buys],
+        "symbol string, date date, acquisition_or_disposition string, securities_transacted bigint, "
+        "insider_price double, reporting_name string, type_of_owner string")
+    wanted = S.pick(S.insider_signals(10, 4), ["insider_total_bought_90d", "insider_buy_count_30d",
+                                               "insider_buying_cluster"])
+    spine = series(spark, [0.0] * 45)
+    for r in S.with_trailing_signals(spine, events, wanted).collect():
+        n = (r["date"] - START).days
+        assert r["insider_total_bought_90d"] == 2.0 * sum(n - 10 <= d <= n for d, _ in buys)
+        assert r["insider_buy_count_30d"] == sum(n - 4 <= d <= n for d, _ in buys)
+        assert r["insider_buying_cluster"] == (len({w for d, w in buys if n - 4 <= d <= n}) >= 3)
+
+
+def test_trailing_through_the_query(spark):
+    src = FrameSource({"daily_price": series(spark, [1.0, 1.0, 1.0])})
+    grades = spark.createDataFrame([("A", START + dt.timedelta(days=1), "upgrade")],
+                                   "symbol string, date date, action string")
+    rows = query(src, "upgrades_90d").trailing().using(grade_events=grades).ordered().collect()
+    assert [r["upgrades_90d"] for r in rows] == [0, 1, 1]
+
+
+def test_worker_code_travels_with_the_tasks():
+    from pyspark import cloudpickle
+
+    assert {"panelgrain.operators.rolling", "panelgrain.operators.recursive", "panelgrain.streaming.ema"} \
+        <= cloudpickle.list_registry_pickle_by_value()

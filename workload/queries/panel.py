@@ -124,10 +124,57 @@ def _signals(table, build, names, days):
         as_of = F.lit(V.EVENTS_AS_OF).cast("date")
         spine = V.event_days(spark, sf_dir)
         events = getattr(V, table)(spark, sf_dir)
-        return V.rounded(S.with_signals(spine, events, S.pick(build(as_of, *days), names)))
+        return V.rounded(S.with_signals(spine, events, S.pick(build(*days), names), as_of))
     return run
 
 
+def _trailing(table, build, names, days):
+    """The same signals counted back from each row's own date."""
+    def run(spark, sf_dir):
+        spine, events = V.event_days(spark, sf_dir), getattr(V, table)(spark, sf_dir)
+        return V.rounded(S.with_trailing_signals(spine, events, S.pick(build(*days), names)))
+    return run
+
+
+def _back(n):
+    return f"e.date >= s.date - {n}"
+
+
+def _trailing_insider_sql(long, short):
+    a, d = "acquisition_or_disposition = 'A'", "acquisition_or_disposition = 'D'"
+    value = "securities_transacted * insider_price"
+    return O.sql(f"""
+SELECT symbol, date, {_r("close")}, {O.r6("bought - sold")} AS insider_net_buying_90d,
+       buys_short AS insider_buy_count_30d, sells_short AS insider_sell_count_30d,
+       {O.r6("buys / nullif(sells, 0)")} AS insider_buy_sell_ratio_90d,
+       CAST(traders >= 3 AS INTEGER) AS insider_buying_cluster,
+       {O.r6("bought")} AS insider_total_bought_90d, {O.r6("sold")} AS insider_total_sold_90d,
+       CAST(senior > 0 AS INTEGER) AS insider_officer_buying
+FROM (SELECT s.symbol, s.date, s.close,
+             coalesce(sum({value}) FILTER ({a} AND {_back(long)}), 0) AS bought,
+             coalesce(sum({value}) FILTER ({d} AND {_back(long)}), 0) AS sold,
+             count(*) FILTER ({a} AND {_back(long)}) AS buys,
+             count(*) FILTER ({d} AND {_back(long)}) AS sells,
+             count(*) FILTER ({a} AND {_back(short)}) AS buys_short,
+             count(*) FILTER ({d} AND {_back(short)}) AS sells_short,
+             count(DISTINCT reporting_name) FILTER ({a} AND {_back(short)}) AS traders,
+             count(*) FILTER ({a} AND {_back(long)} AND event_id % 3 = 0) AS senior
+      FROM event_days s LEFT JOIN trades e ON e.symbol = s.symbol AND e.date <= s.date
+      GROUP BY 1, 2, 3)""")
+
+
+def _trailing_senate_sql(long, short):
+    return O.sql(f"""
+SELECT s.symbol, s.date, {O.r6("s.close")} AS close,
+       count(*) FILTER (event_type = 'purchase' AND {_back(long)}) AS senate_buy_count_90d,
+       count(*) FILTER (event_type = 'click' AND {_back(long)}) AS senate_sell_count_90d,
+       count(*) FILTER (event_type = 'purchase' AND {_back(long)})
+           - count(*) FILTER (event_type = 'click' AND {_back(long)}) AS senate_net_flow_90d,
+       CAST(count(*) FILTER ({_back(short)}) > 0 AS INTEGER) AS senate_activity_flag
+FROM event_days s LEFT JOIN ev e ON e.symbol = s.symbol AND e.date <= s.date
+GROUP BY s.symbol, s.date, s.close""")
+
+
 def _insider_sql(long, short):
     def since(n):
         return f"date >= DATE '{V.EVENTS_AS_OF}' - {n}"
@@ -193,6 +240,10 @@ QUERIES = {
         _signals("senate_events", S.senate_signals, PF.SENATE, (90, 30)), _senate_sql(90, 30)),
     "p24_p27_senate_signals_14_7": (
         _signals("senate_events", S.senate_signals, PF.SENATE, (14, 7)), _senate_sql(14, 7)),
+    "p16_p23_insider_signals_trailing": (
+        _trailing("insider_events", S.insider_signals, PF.INSIDER, (9, 4)), _trailing_insider_sql(9, 4)),
+    "p24_p27_senate_signals_trailing": (
+        _trailing("senate_events", S.senate_signals, PF.SENATE, (9, 4)), _trailing_senate_sql(9, 4)),
     "p28_p30_grade_signals": (
         _signals("grade_events", S.grade_signals, PF.GRADES, (90,)), _grades_sql(90)),
     "p28_p30_grade_signals_14": (
