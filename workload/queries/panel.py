@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from panelgrain.functions.registry import FeatureRegistry
 from panelgrain.operators import panel_features as PF
 from panelgrain.operators import signals as S
 
@@ -226,7 +228,73 @@ FROM event_days LEFT JOIN
       FROM ev WHERE date >= DATE '{V.EVENTS_AS_OF}' - {long} GROUP BY 1) USING (symbol)""")
 
 
+def u01_u02_registered_features(spark, sf_dir):
+    """A user's own scalar feature, one built on a built-in one, and a panel feature."""
+    registry = FeatureRegistry()
+    built_in = V.registry().features["return_5d"].build
+
+    @registry.feature("range_share", "mine")
+    def range_share(p):
+        return F.try_divide(p["high"] - p["low"], p["close"])
+
+    @registry.feature("week_gain", "mine")
+    def week_gain(p):
+        return F.greatest(built_in(p), F.lit(0.0))
+
+    @registry.panel("ranks", "mine", ["volume"], ["volume_rank"])
+    def ranks(df, names, inputs):
+        w = Window.partitionBy("symbol").orderBy(F.col("volume").desc(), "date")
+        return df.withColumn(names[0], F.row_number().over(w))
+
+    q = V.PanelQuery(V.source(spark, sf_dir), registry).all_symbols()
+    return V.rounded(q.select("range_share", "week_gain", "volume_rank").execute())
+
+
+U01 = f"""
+SELECT symbol, date, {O.r6("(high - low) / nullif(close, 0)")} AS range_share,
+       {O.r6(f"greatest(close / lag(close, 5) OVER ({W}) - 1, 0)")} AS week_gain,
+       CAST(row_number() OVER (PARTITION BY symbol ORDER BY volume DESC, date) AS INTEGER) AS volume_rank
+FROM daily"""
+
+
+def u03_reference_symbol(spark, sf_dir):
+    """One symbol of the price table is the market of all others."""
+    q = V.query(spark, sf_dir).select("close", "beta_sp500").benchmark("Brand#1")
+    return V.rounded(q.execute())
+
+
+U03 = f"""
+WITH market AS (
+    SELECT date, close / lag(close) OVER (ORDER BY date) - 1 AS m FROM daily WHERE symbol = 'Brand#1'
+), joined AS (
+    SELECT symbol, date, close, r, m
+    FROM (SELECT *, close / lag(close) OVER ({W}) - 1 AS r FROM daily) LEFT JOIN market USING (date)
+)
+SELECT symbol, date, {_r("close")}, {O.r6("beta")} AS beta_sp500
+FROM (SELECT *, CASE WHEN least(count(CASE WHEN r IS NOT NULL AND m IS NOT NULL THEN 1 END) OVER f,
+                                count(r) OVER f, count(m) OVER f) >= 60
+                     THEN corr(r, m) OVER f * stddev_samp(r) OVER f / nullif(stddev_samp(m) OVER f, 0)
+                END AS beta
+      FROM joined WINDOW f AS ({W} ROWS BETWEEN 251 PRECEDING AND CURRENT ROW))"""
+
+
+def q08_dependency_closure(spark, sf_dir):
+    """The stored fields behind two features come along."""
+    q = V.query(spark, sf_dir).select("net_debt_to_ebitda", "gmi").with_inputs()
+    return V.rounded(q.execute())
+
+
+Q08 = f"""
+SELECT symbol, date, {O.r6("(total_debt - cash_and_equivalents) / nullif(ebitda, 0)")}
+           AS net_debt_to_ebitda,
+       {O.r6(f"lag(gross_profit / revenue) OVER ({W}) / nullif(gross_profit / revenue, 0)")} AS gmi,
+       total_debt, cash_and_equivalents, ebitda, gross_profit, revenue
+FROM quarterly"""
+
 QUERIES = {
+    "q08_dependency_closure": (q08_dependency_closure, O.sql(Q08)),
+    "u01_u02_registered_features": (u01_u02_registered_features, O.sql(U01)),
+    "u03_reference_symbol": (u03_reference_symbol, O.sql(U03)),
     "p01_p08_w12_smoothing": (p01_p08_smoothing, O.sql(P01)),
     "p09_autocorrelation": (p09_autocorrelation, O.sql(P09)),
     "p10_w13_dividend_streak": (p10_dividend_streak, O.sql(P10)),

@@ -45,6 +45,32 @@ SELECT symbol, CASE WHEN event_id % 13 = 0 THEN NULL ELSE date END AS date,
 FROM ev WHERE event_id % 10 <> 0"""
 
 
+def s02_typed_table(spark, sf_dir):
+    """Order lines as raw price rows: every column of the table, typed, absent ones NULL."""
+    line = V.table(spark, sf_dir, "lineitem")
+    raw = line.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("symbol"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
+        F.col("l_extendedprice").alias("close"), F.col("l_quantity").alias("volume"),
+        F.col("l_discount").alias("changePercent"), F.col("l_returnflag").alias("unknown"),
+    )
+    spec = CATALOG["daily_price"]
+    out = L.conform(raw, spec)
+    if [(f.name, f.dataType) for f in out.schema] != [(f.name, f.dataType) for f in spec.schema()]:
+        raise ValueError("conformed rows do not have the declared schema")
+    return V.rounded(out)
+
+
+S02 = f"""
+SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS symbol,
+       CAST(l_shipdate AS DATE) AS date, CAST(NULL AS DOUBLE) AS open, CAST(NULL AS DOUBLE) AS high,
+       CAST(NULL AS DOUBLE) AS low, {O.r6("l_extendedprice")} AS close,
+       CAST(NULL AS DOUBLE) AS adj_close, CAST(l_quantity AS BIGINT) AS volume,
+       CAST(NULL AS DOUBLE) AS vwap, CAST(NULL AS DOUBLE) AS change,
+       {O.r6("l_discount")} AS change_pct
+FROM lineitem"""
+
+
 def s03_latest_scan(spark, sf_dir):
     columns = ["securities_transacted", "insider_price", "acquisition_or_disposition"]
     return V.source(spark, sf_dir).read("insider_trades", None, "2024-01-05", "2024-01-20", columns)
@@ -171,6 +197,7 @@ JOIN (SELECT symbol, count(*) AS quarters, CAST(sum(revenue) AS BIGINT) AS reven
 
 QUERIES = {
     "s01_typed_append": (s01_typed_append, O.sql(S01)),
+    "s02_typed_table": (s02_typed_table, O.sql(S02)),
     "s03_latest_scan": (s03_latest_scan, O.sql(S03)),
     "s04_source_names": (s04_source_names, O.sql(S04)),
     "s05_csv_cleanup": (s05_csv_cleanup, O.sql(S05)),
