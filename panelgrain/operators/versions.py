@@ -20,7 +20,7 @@ FETCHED_AT, BATCH, SEQ = "_fetched_at", "_batch_id", "_seq"
 
 def _newest_first(df: DataFrame, fetched_at: str, seq: str | Sequence[str]) -> list[Column]:
     ties = [seq] if isinstance(seq, str) else list(seq)
-    return [F.col(fetched_at).desc()] + [F.col(c).desc() for c in ties if c in df.columns]
+    return [F.col(c).desc() for c in [fetched_at, *ties] if c in df.columns]
 
 
 def keep_newest(
@@ -29,9 +29,14 @@ def keep_newest(
     n: int = 1,
     fetched_at: str = FETCHED_AT,
     seq: str | Sequence[str] = (BATCH, SEQ),
+    prefer: Sequence[Column] = (),
 ) -> DataFrame:
-    """The newest ``n`` versions of each key."""
-    w = Window.partitionBy(*keys).orderBy(*_newest_first(df, fetched_at, seq))
+    """The newest ``n`` versions of each key.
+
+    ``prefer`` orders rows before their age does: with it, ``keys`` may be fewer than
+    the table's own, and one shuffle both collapses them and picks the version.
+    """
+    w = Window.partitionBy(*keys).orderBy(*prefer, *_newest_first(df, fetched_at, seq))
     return df.withColumn("__rank", F.row_number().over(w)).filter(F.col("__rank") <= n).drop("__rank")
 
 

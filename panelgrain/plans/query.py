@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.context import FeatureSet
@@ -267,27 +267,17 @@ class PanelQuery:
 
     def _scan(self, spec: TableSpec, columns: Sequence[str], lower: bool) -> DataFrame:
         start = self._start if lower and not self._warm_up else None
-        df = self.source.scan(
-            spec.name, columns, self._symbol_filter(), start, self._end, self._version_as_of
-        )
-        return self._one_period_kind(df, spec)
-
-    def _one_period_kind(self, df: DataFrame, spec: TableSpec) -> DataFrame:
-        """Statements are keyed by period too; make them unique per (symbol, date).
-
-        Where a full-year and a quarterly row share a date, the quarterly one wins.
-        """
-        if "period" not in spec.keys:
-            return df
+        args = (spec.name, columns, self._symbol_filter(), start, self._end, self._version_as_of)
+        if "period" not in spec.keys or "period" not in self.source.frame(spec.name).columns:
+            return self.source.scan(*args).select(*[k for k in spec.keys if k != "period"], *columns)
+        # Statements are keyed by period too; make them unique per (symbol, date).
+        # Where a full-year and a quarterly row share a date, the quarterly one wins.
         annual = F.coalesce(F.col("period") == "FY", F.lit(False))
-        if self._period is not None:
-            df = df.filter(annual if self._period == "annual" else ~annual)
-        w = Window.partitionBy("symbol", "date").orderBy(annual, F.col("period"))
-        return (
-            df.withColumn("__n", F.row_number().over(w))
-            .filter(F.col("__n") == 1)
-            .drop("__n", "period")
+        where = {None: None, "annual": annual, "quarter": ~annual}[self._period]
+        df = self.source.scan(
+            *args, where=where, collapse=("symbol", "date"), prefer=(annual, F.col("period"))
         )
+        return df.drop("period")
 
     def _roll(self, df: DataFrame, spec: TableSpec, columns: Sequence[str], target: Grain) -> DataFrame:
         how = {c: self._rollups.get(c, self.catalog.resolve(c)[1].rollup) for c in columns}

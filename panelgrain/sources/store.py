@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,11 +65,16 @@ class Source:
         start: date | str | None = None,
         end: date | str | None = None,
         version_as_of: datetime | str | None = None,
+        where: Column | None = None,
+        collapse: Sequence[str] = (),
+        prefer: Sequence[Column] = (),
     ) -> DataFrame:
         """Newest version of each key, projected and filtered.
 
-        Filters are on key columns, so they commute with the version choice and
-        Catalyst pushes them and the projection down to the scan.
+        Filters (``where`` included) are on key columns, so they commute with the
+        version choice and Catalyst pushes them and the projection down to the scan.
+        ``collapse`` makes rows unique on those keys instead of the table's own,
+        taking the first by ``prefer`` and then the newest, in one shuffle.
         """
         spec = self.catalog[table]
         keys = list(spec.keys)
@@ -81,12 +86,14 @@ class Source:
         stamps = [c for c in (V.FETCHED_AT, V.BATCH, V.SEQ) if c in df.columns]
         df = df.select(*present, *stamps)
         df = in_range(only_symbols(df, symbols), start, end)
-        if versioned:
-            live_keys = [k for k in keys if k in df.columns]
-            if version_as_of is not None:
-                df = V.as_of_version(df, live_keys, version_as_of)
+        if where is not None:
+            df = df.filter(where)
+        if versioned or collapse:
+            live_keys = [k for k in collapse or keys if k in df.columns]
+            if versioned and version_as_of is not None:
+                df = V.as_of_version(df, live_keys, version_as_of, prefer=prefer)
             else:
-                df = V.latest(df, live_keys)
+                df = V.latest(df, live_keys, prefer=prefer)
         types = {f.name: f.dataType for f in spec.key_fields()}
         types.update({c: self.catalog.resolve(c)[1].spark_type for c in wanted})
         empty = [F.lit(None).cast(types[c]).alias(c) for c in absent]
@@ -254,17 +261,17 @@ class VersionedStore(Source):
         read_schema = schema.add("date_year", T.IntegerType()) if spec.by_date else schema
         return self.spark.read.schema(read_schema).parquet(path)
 
-    def scan(self, table, columns=None, symbols=None, start=None, end=None, version_as_of=None):
+    def scan(self, table, columns=None, symbols=None, start=None, end=None, version_as_of=None, **kw):
         spec = self.catalog[table]
         if not (spec.by_date and (start is not None or end is not None)):
-            return super().scan(table, columns, symbols, start, end, version_as_of)
+            return super().scan(table, columns, symbols, start, end, version_as_of, **kw)
         pruned = self.frame(table)
         if start is not None:
             pruned = pruned.filter(F.col("date_year") >= F.year(F.lit(start).cast("date")))
         if end is not None:
             pruned = pruned.filter(F.col("date_year") <= F.year(F.lit(end).cast("date")))
         return FrameSource({table: pruned}, self.catalog).scan(
-            table, columns, symbols, start, end, version_as_of
+            table, columns, symbols, start, end, version_as_of, **kw
         )
 
     def revisions(self, table: str, symbol: str | None = None, **equals) -> DataFrame:

@@ -112,3 +112,23 @@ def test_hot_key_is_limited_before_the_shuffle(spark):
     assert [r["_seq"] for r in out.collect()] == [9_999]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Partial" in plan and "WindowGroupLimit" in plan
+
+
+def test_statement_read_collapses_periods_and_versions_in_one_shuffle(spark, store):
+    from panelgrain import PanelQuery
+
+    def put(period, revenue, hour):
+        rows = spark.createDataFrame([("A", "2023-12-31", period, revenue)],
+                                     "symbol string, date string, period string, revenue bigint")
+        store.append("income_statement", rows, f"2024-02-01 {hour}:00:00", hour)
+
+    put("Q4", 100, "10")
+    put("Q4", 110, "11")
+    put("FY", 400, "12")
+    query = PanelQuery(store).symbols("A").select("revenue")
+    df = query.execute()
+    assert [r["revenue"] for r in df.collect()] == [110]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+    assert PanelQuery(store).symbols("A").select("revenue").period("annual").execute().first()[2] == 400
+    early = PanelQuery(store).symbols("A").select("revenue").version_as_of("2024-02-01 10:30:00")
+    assert early.execute().first()["revenue"] == 100
