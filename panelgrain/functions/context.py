@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.rolling import LONG, STATISTICS, Roll, with_rolls
+from ..sources.grain import Grain
 
 Builder = Callable[["PanelView"], Column]
 
@@ -99,6 +100,20 @@ class PanelView:
         return k + max(lengths, default=0)
 
 
+def _years_ago(partition: Sequence[str], order: str, grain: Grain) -> Callable[[str, int], Column]:
+    """Value in the same period k years earlier: a RANGE frame of exactly that period."""
+    per_year = {Grain.MONTHLY: 12, Grain.QUARTERLY: 4, Grain.ANNUAL: 1}[grain]
+    date = F.col(order)
+    within = {12: F.month(date), 4: F.quarter(date), 1: F.lit(1)}[per_year]
+    by_period = Window.partitionBy(*partition).orderBy(F.year(date) * per_year + within)
+
+    def lagged(name: str, k: int) -> Column:
+        frame = by_period.rangeBetween(-per_year * k, -per_year * k)
+        return F.max_by(F.col(name), date).over(frame)
+
+    return lagged
+
+
 class FeatureSet:
     """Features built once against one view: what they read, and how to evaluate them."""
 
@@ -116,18 +131,23 @@ class FeatureSet:
         partition: Sequence[str] = ("symbol",),
         order: str = "date",
         names: dict[str, str] | None = None,
+        calendar: Grain | None = None,
     ) -> DataFrame:
         """Add the features to an aligned panel; ``names`` renames some of them.
 
+        With ``calendar`` (monthly grain or coarser) a lag of k is the row k years
+        earlier rather than k rows earlier.
+
         The panel is unique per (symbol, date), so a window partition is bounded by
         the calendar: at most 366 rows a year whatever the data volume.
         """
         view, keep = self.view, df.columns
         by_key = Window.partitionBy(*partition).orderBy(order)
         if view.lags:
-            df = df.select(
-                "*", *[F.lag(c, k).over(by_key).alias(s) for s, (c, k) in view.lags.items()]
+            lagged = _years_ago(partition, order, calendar) if calendar else (
+                lambda c, k: F.lag(c, k).over(by_key)
             )
+            df = df.select("*", *[lagged(c, k).alias(s) for s, (c, k) in view.lags.items()])
         if view.definitions:
             df = df.select("*", *[c.alias(s) for s, c in view.definitions.items()])
         # Costly statistics over long frames leave the JVM; see operators.rolling.

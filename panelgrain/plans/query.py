@@ -46,6 +46,7 @@ class PanelQuery:
         self._period: str | None = None
         self._native = False
         self._warm_up = False
+        self._calendar_lags = False
         self._inputs: dict[str, DataFrame] = {}
         self._keep_inputs = False
         self._trailing = False
@@ -124,6 +125,13 @@ class PanelQuery:
         self._warm_up = True
         return self
 
+    def lag_by(self, kind: str) -> "PanelQuery":
+        """``rows`` (default), or ``calendar``: a lag of k means k years, from monthly grain up."""
+        if kind not in ("rows", "calendar"):
+            raise ValueError(f"lag_by must be 'rows' or 'calendar', not {kind!r}")
+        self._calendar_lags = kind == "calendar"
+        return self
+
     def as_of(self, day: date | str) -> "PanelQuery":
         """Day that ages and recent-event windows are measured from; default today."""
         self._as_of = day
@@ -240,7 +248,12 @@ class PanelQuery:
         if row_level:
             partition = [k for k in keys if k == "symbol"]
             order = "date" if "date" in keys else "symbol"
-            df = built.evaluate(df, partition, order, slots)
+            calendar = None
+            if self._calendar_lags:
+                if target < Grain.MONTHLY or not target.timed:
+                    raise ValueError("calendar lags need a monthly, quarterly or annual grain")
+                calendar = target
+            df = built.evaluate(df, partition, order, slots, calendar)
         df = self._with_panel_features(df, panel)
         if self._warm_up and self._start is not None and "date" in keys:
             first = target.period_start(F.lit(self._start).cast("date"))
@@ -360,7 +373,7 @@ class PanelQuery:
         sub = PanelQuery(self.source, self.registry)
         sub.__dict__.update(
             _symbols=self._symbols, _end=self._end, _period=self._period, _as_of=self._as_of,
-            _version_as_of=self._version_as_of,
+            _version_as_of=self._version_as_of, _calendar_lags=self._calendar_lags,
         )
         return sub.select(*names).execute()
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -25,10 +27,12 @@ def local_session(cpus: int | str = "*", memory: str = "8g", app: str = "panelgr
     )
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
-    """The cluster's shared checkpoint folder; ``fallback`` is set only where there is none."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    folder = configured or fallback
-    if folder:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+def shared_folder(spark: SparkSession, prefix: str) -> str:
+    """A new folder for a stream's sink and checkpoints.
+
+    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``; only
+    where none is named, as in tests, is a new temporary folder made.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="run-")
+    return f"{base}/{prefix}-{uuid.uuid4().hex}"

@@ -197,3 +197,14 @@ def test_one_exchange_by_symbol_serves_carry_windows_and_smoothing(source):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(symbol#") - plan.count("symbol#, date#") <= 3
     assert plan.count("FlatMapGroupsInArrow") == 1
+
+
+def test_calendar_lags(spark, source):
+    income = frame(spark, "symbol string, date date, period string, revenue bigint",
+                   [("A", "2022-03-31", "Q1", 100), ("A", "2022-12-31", "Q4", 70), ("A", "2023-03-28", "Q1", 120),
+                    ("A", "2024-03-31", "Q1", 90)])
+    src = FrameSource({"income_statement": income})
+    df = PanelQuery(src, REGISTRY).symbols("A").select("revenue_growth_yoy").lag_by("calendar")
+    assert [r[2] for r in df.ordered().collect()] == [None, None, pytest.approx(0.2), pytest.approx(-0.25)]
+    with pytest.raises(ValueError, match="calendar"):
+        q(source, "return_1d").lag_by("calendar").execute()

@@ -149,6 +149,21 @@ SELECT symbol, CAST(date_trunc('month', date) AS DATE) AS date, {O.r6("avg(close
 FROM daily GROUP BY 1, 2"""
 
 
+def q06_calendar_lags(spark, sf_dir):
+    """Growth against the same quarter of earlier years instead of earlier rows."""
+    q = V.query(spark, sf_dir).select("revenue_growth_yoy", "revenue_cagr_3y", "net_margin_change")
+    return V.rounded(q.lag_by("calendar").execute())
+
+
+Q06_CALENDAR = f"""
+SELECT a.symbol, a.date, {O.r6("(a.revenue - b.revenue) / nullif(abs(b.revenue), 0)")} AS revenue_growth_yoy,
+       {O.r6("pow(a.revenue / nullif(c.revenue, 0), 1.0 / 3) - 1")} AS revenue_cagr_3y,
+       {O.r6("a.net_income / a.revenue - b.net_income / b.revenue")} AS net_margin_change
+FROM quarterly a
+LEFT JOIN quarterly b ON a.symbol = b.symbol AND date_diff('quarter', b.date, a.date) = 4
+LEFT JOIN quarterly c ON a.symbol = c.symbol AND date_diff('quarter', c.date, a.date) = 12"""
+
+
 # -- J01, J03–J05 --------------------------------------------------------------
 def j01_explicit_spine(spark, sf_dir):
     """Quarters as rows although daily prices are selected at a coarser grain."""
@@ -307,6 +322,7 @@ QUERIES = {
     "q03_date_range": (q03_date_range, O.sql(Q03)),
     "q03_warm_up": (q03_warm_up, O.sql(Q03_WARM)),
     "q04_q06_agg_override": (q06_agg_override, O.sql(Q06)),
+    "q06_calendar_lags": (q06_calendar_lags, O.sql(Q06_CALENDAR)),
     "q05_default_grain": (q05_default_grain, O.sql(Q05)),
     "j01_explicit_spine": (j01_explicit_spine, O.sql(J01)),
     "j03_rolled_and_native": (j03_rolled_and_native, O.sql(J03)),

@@ -8,13 +8,11 @@ temporary folder.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from panelgrain import FieldSpec, Grain, TableSpec, VersionedStore, default_catalog
 from panelgrain.operators.bars import bars
+from panelgrain.plans.session import shared_folder
 from panelgrain.streaming import ema as SE
 from panelgrain.streaming import ingest as SI
 
@@ -31,9 +29,7 @@ EVENT_TABLE = TableSpec(
 
 
 def _folder(spark):
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="run-")
-    return f"{base}/stream-{uuid.uuid4().hex}"
+    return shared_folder(spark, "stream")
 
 
 def _stream(spark, sf_dir):
