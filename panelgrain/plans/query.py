@@ -198,6 +198,8 @@ class PanelQuery:
     def _target(self, tables: Sequence[str]) -> Grain:
         if self._grain is not None:
             return self._grain
+        if self._spine is not None:
+            return self.catalog[self._spine].grain
         timed = [self.catalog[t].grain for t in tables if self.catalog[t].grain.timed]
         return min(timed) if timed else Grain.SNAPSHOT
 
@@ -254,7 +256,7 @@ class PanelQuery:
                     raise ValueError("calendar lags need a monthly, quarterly or annual grain")
                 calendar = target
             df = built.evaluate(df, partition, order, slots, calendar)
-        df = self._with_panel_features(df, panel)
+        df = self._with_panel_features(df, panel, target)
         if self._warm_up and self._start is not None and "date" in keys:
             first = target.period_start(F.lit(self._start).cast("date"))
             df = df.filter(F.col("date") >= first)
@@ -308,6 +310,9 @@ class PanelQuery:
                     df = join_snapshot(df, self._scan(self.catalog[name], cols, lower=True))
             return df, ["symbol"]
 
+        for name in grouped:
+            if self.catalog[name].by_symbol and not spec.by_symbol:
+                raise ValueError(f"{name} needs a symbol, which the spine {spine_name} lacks")
         rolled = spec.grain < target
         if rolled:
             df = self._roll(df, spec, columns, target)
@@ -346,10 +351,7 @@ class PanelQuery:
         if carried:
             df = carry_forward(df, carried, how=self._carry)
         for other, cols in snapshots:
-            if spec.by_symbol:
-                df = join_snapshot(df, self._scan(other, cols, lower=True))
-            else:
-                raise ValueError(f"{other.name} needs a symbol, which {spine_name} lacks")
+            df = join_snapshot(df, self._scan(other, cols, lower=True))
         return df, keys
 
     def _native_groups(self, derived: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
@@ -381,24 +383,28 @@ class PanelQuery:
         day = self._as_of if self._as_of is not None else self._end
         return F.current_date() if day is None else F.lit(day).cast("date")
 
-    def _with_panel_features(self, df: DataFrame, panel: Sequence[str]) -> DataFrame:
+    def _with_panel_features(self, df: DataFrame, panel: Sequence[str], target: Grain) -> DataFrame:
         families: dict[str, list[str]] = {}
         for name in panel:
             families.setdefault(self.registry.panel_features[name].family, []).append(name)
         for family, names in families.items():
             needs = self.registry.panel_features[names[0]].needs
-            inputs: dict = {n: self._input(n) for n in needs}
+            inputs: dict = {n: self._input(n, target) for n in needs}
             inputs.update(as_of=self._as_of_day(), trailing=self._trailing)
             df = self.registry.families[family](df, names, inputs)
         return df
 
-    def _input(self, name: str) -> DataFrame:
+    def _input(self, name: str, target: Grain) -> DataFrame:
         if name in self._inputs:
             return self._inputs[name]
         if name == "benchmark":
             prices = self.source.scan("daily_price", ["close"], [self._benchmark])
             start = None if self._warm_up else self._start
-            return in_range(prices, start, self._end).select("date", "close")
+            prices = in_range(prices, start, self._end)
+            spec = self.catalog["daily_price"]
+            if spec.grain < target and target.timed:
+                prices = self._roll(prices, spec, ["close"], target)
+            return prices.select("date", "close")
         if name == "insider_events":
             # One row per trade: the stored key (symbol, date) would merge a day's trades.
             rows = self.source.frame("insider_trades")

@@ -208,3 +208,18 @@ def test_calendar_lags(spark, source):
     assert [r[2] for r in df.ordered().collect()] == [None, None, pytest.approx(0.2), pytest.approx(-0.25)]
     with pytest.raises(ValueError, match="calendar"):
         q(source, "return_1d").lag_by("calendar").execute()
+
+
+def test_spine_sets_the_default_grain(source):
+    got = q(source, "volume", "revenue").spine("income_statement").ordered().collect()
+    assert [(r["date"], r["volume"]) for r in got] == [(D("2023-09-30"), None), (D("2024-01-16"), 98_000_000)]
+    with pytest.raises(ValueError, match="lacks"):
+        q(source, "close").spine("treasury_rates").execute()
+
+
+def test_benchmark_is_rolled_with_the_panel(spark):
+    closes = [100 + (i * 37 % 11) + i * 0.1 for i in range(600)]
+    rows = [(s, dt.date(2020, 1, 1) + dt.timedelta(days=i), c) for s in ("A", "^GSPC") for i, c in enumerate(closes)]
+    src = FrameSource({"daily_price": spark.createDataFrame(rows, "symbol string, date date, close double")})
+    df = PanelQuery(src, REGISTRY).symbols("A").select("beta_sp500").grain("weekly")
+    assert df.ordered().collect()[-1]["beta_sp500"] == pytest.approx(1.0)
