@@ -43,18 +43,18 @@ def peer_statistics(
     is the value or pair of values whose counts cover the middle row.
     """
     keys = list(group)
-    stats = df.groupBy(*keys).agg(
-        F.avg(value).alias("peer_mean"),
-        F.stddev_samp(value).alias("peer_sd"),
+    v, c = F.col(value), F.col("__c")
+    # Everything below works on distinct values per group; the rows are read once for
+    # them and once more for the final joins.
+    counts = df.filter(v.isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
+    totals = counts.groupBy(*keys).agg(
+        ratio(F.sum(v * c), F.sum(c)).alias("__mean"),
         F.min(value).alias("__low"),
         F.max(value).alias("__high"),
-        F.count(value).alias("__n"),
+        F.sum(c).alias("__n"),
     )
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
-        F.count(F.lit(1)).alias("__c")
-    )
-    place = ratio(F.col(value) - F.col("__low"), F.col("__high") - F.col("__low"))
-    ranged = counts.join(stats.select(*keys, "__low", "__high", "__n"), keys).withColumn(
+    place = ratio(v - F.col("__low"), F.col("__high") - F.col("__low"))
+    ranged = counts.join(totals, keys).withColumn(
         "__range", F.coalesce(F.floor(place * RANK_RANGES), F.lit(0))
     )
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
@@ -66,27 +66,28 @@ def peer_statistics(
         Window.unboundedPreceding, -1
     )
     below = ranged.join(ranges, [*keys, "__range"]).select(
-        *keys, value, "__c", "__n",
+        *keys, value, "__c", "__n", "__mean",
         (F.col("__ahead") + F.coalesce(F.sum("__c").over(inside), F.lit(0))).alias("__below"),
     )
 
     def at(position):
-        covered = (F.col("__below") <= position) & (position < F.col("__below") + F.col("__c"))
-        return F.max(F.when(covered, F.col(value)))
-
-    middle = below.groupBy(*keys).agg(
-        ((at(F.floor((F.col("__n") - 1) / 2)) + at(F.ceil((F.col("__n") - 1) / 2))) / 2).alias(
-            "peer_median"
-        )
+        covered = (F.col("__below") <= position) & (position < F.col("__below") + c)
+        return F.max(F.when(covered, v))
+
+    half = (F.col("__n") - 1) / 2
+    peers = below.groupBy(*keys).agg(
+        ((at(F.floor(half)) + at(F.ceil(half))) / 2).alias("peer_median"),
+        F.max("__mean").alias("__peer_mean"),
+        F.sqrt(ratio(F.sum(c * F.pow(v - F.col("__mean"), 2)), F.max("__n") - 1)).alias("__peer_sd"),
+        F.max("__n").alias("__peers"),
     )
-    joined = (
-        df.join(stats.join(middle, keys, "left"), keys, "left")
-        .join(below.select(*keys, value, "__below"), [*keys, value], "left")
+    joined = df.join(peers, keys, "left").join(
+        below.select(*keys, value, "__below"), [*keys, value], "left"
     )
     return joined.select(
         *df.columns,
         "peer_median",
-        (F.col(value) - F.col("peer_median")).alias("to_peer_median"),
-        ratio(F.col(value) - F.col("peer_mean"), F.col("peer_sd")).alias("peer_z"),
-        ratio(F.col("__below"), F.col("__n") - 1).alias("peer_percentile"),
+        (v - F.col("peer_median")).alias("to_peer_median"),
+        ratio(v - F.col("__peer_mean"), F.col("__peer_sd")).alias("peer_z"),
+        ratio(F.col("__below"), F.col("__peers") - 1).alias("peer_percentile"),
     )
