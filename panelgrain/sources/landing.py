@@ -32,8 +32,8 @@ def parse_as(value: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return value
     if isinstance(dtype, (T.LongType, T.IntegerType)):
-        # Whole numbers may be written with a decimal point ("12.0").
-        return F.coalesce(value.try_cast(dtype), F.floor(value.try_cast("double")).try_cast(dtype))
+        # Whole numbers may be written with a decimal point; fractions are rounded.
+        return F.coalesce(value.try_cast(dtype), F.rint(value.try_cast("double")).try_cast(dtype))
     return value.try_cast(dtype)
 
 
@@ -119,6 +119,11 @@ def conform(raw: DataFrame, spec: TableSpec) -> DataFrame:
         if not names:
             return F.lit(None).cast(dtype)
         value = F.coalesce(*[F.col(f"`{n}`") for n in names])
+        fractional = (T.DoubleType, T.FloatType, T.DecimalType)
+        if isinstance(dtype, (T.LongType, T.IntegerType)) and isinstance(
+            raw.schema[names[0]].dataType, fractional
+        ):
+            value = F.rint(value)  # a bare cast would cut the fraction off
         if isinstance(dtype, T.DateType):
             value = F.to_date(F.nullif(value.cast("string").substr(1, 10), F.lit("")))
         return value.cast(dtype)

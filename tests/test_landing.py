@@ -21,6 +21,11 @@ def test_conform_renames_drops_and_fills(spark):
     assert rows["MSFT"]["date"] is None and rows["MSFT"]["close"] is None
 
 
+def test_fractions_of_whole_number_columns_are_rounded(spark):
+    raw = spark.createDataFrame([("A", 2.6), ("B", 2.4)], "symbol string, volume double")
+    assert [r["volume"] for r in L.conform(raw, CATALOG["daily_price"]).collect()] == [3, 2]
+
+
 def test_both_spellings_of_an_attribute(spark):
     raw = spark.createDataFrame(
         [("A1", "2024-01-02", "A", None), ("A2", "2024-01-02", None, "D")],

@@ -51,7 +51,7 @@ def s02_typed_table(spark, sf_dir):
     raw = line.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("symbol"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
-        F.col("l_extendedprice").alias("close"), F.col("l_quantity").alias("volume"),
+        F.col("l_extendedprice").alias("close"), (F.col("l_quantity") / 4).alias("volume"),
         F.col("l_discount").alias("changePercent"), F.col("l_returnflag").alias("unknown"),
     )
     spec = CATALOG["daily_price"]
@@ -65,7 +65,7 @@ S02 = f"""
 SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS symbol,
        CAST(l_shipdate AS DATE) AS date, CAST(NULL AS DOUBLE) AS open, CAST(NULL AS DOUBLE) AS high,
        CAST(NULL AS DOUBLE) AS low, {O.r6("l_extendedprice")} AS close,
-       CAST(NULL AS DOUBLE) AS adj_close, CAST(l_quantity AS BIGINT) AS volume,
+       CAST(NULL AS DOUBLE) AS adj_close, CAST(l_quantity / 4 AS BIGINT) AS volume,
        CAST(NULL AS DOUBLE) AS vwap, CAST(NULL AS DOUBLE) AS change,
        {O.r6("l_discount")} AS change_pct
 FROM lineitem"""
@@ -116,7 +116,7 @@ def s05_csv_cleanup(spark, sf_dir):
 
 S05 = f"""
 SELECT event_id, cell AS as_text, {O.r6("TRY_CAST(cell AS DOUBLE)")} AS as_double,
-       CAST(floor(TRY_CAST(cell AS DOUBLE)) AS BIGINT) AS as_bigint
+       CAST(TRY_CAST(cell AS DOUBLE) AS BIGINT) AS as_bigint
 FROM (SELECT event_id, CASE event_id % 8 WHEN 5 THEN CAST(value AS VARCHAR)
              WHEN 6 THEN CAST(user_id AS VARCHAR) WHEN 7 THEN event_type END AS cell FROM ev)"""
 
