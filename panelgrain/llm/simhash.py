@@ -59,13 +59,15 @@ def _fingerprints(size: int):
         for batch in chunks(batches):
             marks = [_fingerprint(_shingle_hashes(t, size)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.array(marks, np.uint64).view(np.int64))], names=["doc_id", "mark"])
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(np.array(marks, np.uint64).view(np.int64))],
+                names=["doc_id", "text_hash", "mark"])
     return run
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, mark): the 64-bit fingerprint as a signed long."""
-    return with_text(docs).mapInArrow(_fingerprints(size), "doc_id long, mark long")
+    """(doc_id, text_hash, mark): the 64-bit fingerprint as a signed long."""
+    return (with_text(docs).withColumn("text_hash", F.xxhash64("text"))
+            .mapInArrow(_fingerprints(size), "doc_id long, text_hash long, mark long"))
 
 
 def grid(marks: DataFrame) -> DataFrame:
@@ -188,14 +190,15 @@ def near_links(marks: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> Da
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, mark, component_id) for every row of ``docs``."""
+    """(doc_id, text_hash, mark, root, component_id) for every row of ``docs``; ``root`` names the component too."""
     marked = settled(fingerprints(docs, size))
     distinct = settled(marked.groupBy("mark").agg(F.min("doc_id").alias("least")))
     roots = components(near_links(distinct.select("mark"), radius))
     members = distinct.join(roots.withColumnRenamed("node", "mark"), "mark", "left").select(
         "mark", "least", F.coalesce("root", "mark").alias("root"))
     ids = members.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.join(members.join(ids, "root").select("mark", "component_id"), "mark").select("doc_id", "mark", "component_id")
+    found = members.join(ids, "root").select("mark", "root", "component_id")
+    return marked.join(found, "mark").select("doc_id", "text_hash", "mark", "root", "component_id")
 
 
 def op5_simhash(spark, sf_dir):
