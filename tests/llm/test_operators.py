@@ -1,0 +1,488 @@
+"""Each operator against a brute-force version, on odd rows and on the small tables."""
+
+import base64
+import collections
+import hashlib
+import math
+import os
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from conftest_llm import odd_texts
+from pyspark.sql import functions as F
+
+from panelgrain.llm import (
+    byte_bpe,
+    components,
+    decontamination,
+    language_id,
+    line_dedup,
+    pii,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    simhash,
+    substring_dedup,
+)
+
+SF = "/root/testdata/sf0.001"
+needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def documents(spark):
+    return [(r[0], r[1]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+
+
+def every_text(spark):
+    return odd_texts() + (documents(spark) if os.path.isdir(SF) else [])
+
+
+def sha(data):
+    return hashlib.sha256(data if isinstance(data, bytes) else data.encode()).hexdigest()
+
+
+def counted(rows):
+    return collections.Counter(map(tuple, rows))
+
+
+# --- line dedup
+
+def lines_expected(pairs, min_chars=40, min_docs=5):
+    def key(line):
+        return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
+    holders = collections.defaultdict(set)
+    for i, t in pairs:
+        for line in (t or "").split("\n"):
+            if len(key(line)) >= min_chars:
+                holders[key(line)].add(i)
+    out = []
+    for i, t in pairs:
+        lines = (t or "").split("\n")
+        lost = [len(holders.get(key(x), ())) >= min_docs and i != max((d for d in holders[key(x)] if d is not None), default=None) for x in lines]
+        kept = "\n".join(x for x, gone in zip(lines, lost) if not gone)
+        out.append((i, kept, len(lines), sum(lost)))
+    return out
+
+
+def test_line_dedup(spark, make):
+    pairs = every_text(spark)
+    got = line_dedup.line_dedup(make(pairs), carry=("h1", "text")).select("doc_id", "text", "n_lines", "n_dropped")
+    assert counted(got.collect()) == counted(lines_expected(pairs))
+    assert line_dedup.line_dedup(make([])).count() == 0
+
+
+# --- sharding
+
+def test_sharding_is_even_gapless_and_repeatable(spark, make):
+    docs = make(every_text(spark) + [(5, "copy")] * 50)
+    rows = docs.select("doc_id", "n_chars")
+    a = sharding.shard(rows, 24).collect()
+    b = sharding.shard(rows.repartition(7), 24).collect()
+    assert counted(a) == counted(b) and len(a) == docs.count()
+    slots = collections.defaultdict(list)
+    for r in a:
+        slots[r["shard"]].append(r["slot"])
+        assert r["position"] == r["slot"] * 24 + r["shard"]
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    assert sorted(r["row_number"] for r in a) == list(range(len(a)))
+    assert sharding.shard(make([]).select("doc_id", "n_chars")).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 10, 17, 100, 1000, 4097])
+def test_permutation_is_a_bijection(spark, n):
+    got = [r[0] for r in spark.range(n).select(sharding.permuted(F.col("id"), n)).collect()]
+    assert sorted(got) == list(range(n))
+
+
+# --- quality rules
+
+def rules_expected(text):
+    words = WORD.findall(text or "")
+    windows = collections.Counter(zip(words, words[1:], words[2:]))
+    covered = {k + j for k in range(len(words) - 2) if windows[tuple(words[k:k + 3])] > 1 for j in range(3)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    n = len(words)
+    return (n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered),
+            n < 50 or 100 * len(covered) > 50 * n)
+
+
+def test_quality_rules(spark, make):
+    pairs = every_text(spark) + [(900, "a b c a b c d e f a b"), (901, "x\nx\n \n \n# $ %<"), (902, "b c b c b c b")]
+    docs = make(pairs)
+    labels = spark.createDataFrame([(i, 1, 0) for i, t in pairs if t and len(t) > 400], "doc_id long, quality int, toxic int")
+    ratios, low = quality_rules.fit(docs, labels, m=512)
+    got = quality_rules.quality_rules(docs, ratios, low)
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    assert counted((r.doc_id, *(r[c] for c in names)) for r in got.collect()) == counted((i, *rules_expected(t)) for i, t in pairs)
+    assert not any(r.kept and r.base_failed for r in got.collect())
+    none = quality_rules.fit(docs, labels.limit(0), m=64)
+    assert none == ([0.0] * 64, -math.inf)
+    assert quality_rules.quality_rules(make([]), *none).count() == 0
+
+
+def test_log_ratios():
+    r = quality_rules.log_ratios([3, 1], [5, 5], 1.0)
+    assert r == [math.log(4 / 6) - math.log(6 / 12), math.log(2 / 6) - math.log(6 / 12)]
+
+
+# --- SimHash
+
+def fingerprint(text):
+    words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    units = [" ".join(words[i:i + 3]) for i in range(len(words) - 2)] if len(words) > 2 else [" ".join(words)] if words else []
+    h = [xxhash.xxh64_intdigest(u.encode(), 42) for u in units]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)) if h else 0
+
+
+def roots(nodes, edges):
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in edges:
+        a, b = find(a), find(b)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def close_pairs(marks):
+    marks = sorted(marks)
+    return [(a, b) for k, a in enumerate(marks) for b in marks[k + 1:] if (a ^ b).bit_count() <= 3]
+
+
+def test_simhash(spark, make):
+    pairs = every_text(spark)
+    marks = {t: fingerprint(t) for _, t in pairs}
+    group = roots(set(marks.values()), close_pairs(set(marks.values())))
+    least = {}
+    for i, t in pairs:
+        g = group[marks[t]]
+        least[g] = min((x for x in (least.get(g), i) if x is not None), default=None)
+    got = simhash.near_duplicates(make(pairs))
+    assert (counted((r.doc_id, r.mark & (2 ** 64 - 1), r.component_id) for r in got.collect())
+            == counted((i, marks[t], least[group[marks[t]]]) for i, t in pairs))
+    assert simhash.near_duplicates(make([])).count() == 0
+
+
+@pytest.mark.parametrize("block", [8, 2048])
+def test_links_of_dense_groups(spark, block):
+    """Many fingerprints within a few bits of each other, so that cells are cut into blocks."""
+    rng = random.Random(3)
+    marks = set()
+    for centre in (rng.getrandbits(64) for _ in range(6)):
+        for _ in range(90):
+            marks.add(centre ^ sum(1 << b for b in {rng.randrange(64) for _ in range(rng.randrange(5))}))
+    signed = {m: m - (1 << 64) if m >> 63 else m for m in marks}
+    frame = spark.createDataFrame([(s,) for s in signed.values()], "mark long")
+    links = simhash.near_links(frame, block=block)
+    found = {r.node: r.root for r in components.components(links).collect()}
+    want = roots(marks, close_pairs(marks))
+    groups = collections.defaultdict(set)
+    for m in marks:
+        groups[want[m]].add(found.get(signed[m], signed[m]))
+    assert all(len(g) == 1 for g in groups.values())
+    assert len({next(iter(g)) for g in groups.values()}) == len(groups)
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 1001), (5, 5)], "u long, v long")
+    got = collections.defaultdict(set)
+    for r in components.components(edges).collect():
+        got[r.root].add(r.node)
+    assert sorted(map(sorted, got.values())) == [list(range(201)), [1000, 1001]]
+
+
+# --- byte-level BPE
+
+@pytest.fixture(scope="module")
+def library():
+    import public_tokenizers as P
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(byte_bpe.rank_file(), "rb"))}
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_bpe_equals_the_library(spark, make, library):
+    rng = random.Random(2)
+    parts = [" ", "  ", "\n", "\t", "a", "B", "'s", "'re", "'lx", "''", "1", "٣", "é", "!", "　", "'ve ", "漢", "😀"]
+    pairs = every_text(spark) + [(5000 + k, "".join(rng.choice(parts) for _ in range(rng.randrange(25)))) for k in range(300)]
+    pairs.append((6000, "".join(rng.choice("abcdefgh") for _ in range(3000))))
+    docs, path = make(pairs), byte_bpe.rank_file()
+    want = [(i, np.array(library.encode_ordinary(t or ""), "<u4"), t or "") for i, t in pairs]
+    got = byte_bpe.round_trip(docs, path)
+    assert counted(got.collect()) == counted((i, len(x), sha(x.tobytes()), sha(t)) for i, x, t in want)
+    encoded = byte_bpe.encode(docs, path)
+    assert counted((r.doc_id, tuple(r.ids)) for r in encoded.collect()) == counted((i, tuple(x.tolist())) for i, x, _ in want)
+    decoded = byte_bpe.decode(encoded, path)
+    assert counted((r.doc_id, bytes(r.bytes)) for r in decoded.collect()) == counted((i, t.encode()) for i, _, t in want)
+    assert byte_bpe.round_trip(make([]), path).count() == 0
+
+
+# --- personal data
+
+def spans_expected(text):
+    def digits(x):
+        return re.sub("[^0-9]", "", x)
+    out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))]
+    out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text) if 14 <= len(digits(m[0])) <= 19 and pii.luhn(digits(m[0]))]
+    out += [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 10 <= len(digits(m[0])) <= 15]
+    return sorted(out)
+
+
+def test_pii(spark, make):
+    rng = random.Random(5)
+    parts = ["a", "Z", "@", "@x.y", ".", "-", "+", "1", "23", "256", "4111111111111111", "+1 555", " ", "\n", "(", ")", "é", "%"]
+    pairs = every_text(spark) + [(5000 + k, "".join(rng.choice(parts) for _ in range(rng.randrange(22)))) for k in range(3000)]
+    pairs.append((9001, "1" * 6000 + "." + "0" * 5000 + ".1.1"))
+    field = pii.train()
+    got = {(r.doc_id, r.base_sha256, r.n_email, r.n_ip, r.n_card, r.n_phone): r for r in pii.personal_data(make(pairs), field).collect()}
+    for i, t in pairs:
+        if i == 9001:
+            continue
+        base = spans_expected(t or "")
+        written = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in base)
+        row = got[(i, sha(written), *(sum(k == kind for _, k, _ in base) for kind in range(4)))]
+        assert set(filter(None, written.split(","))) <= set(row.spans.split(","))
+    assert pii.personal_data(make([]), field).count() == 0
+
+
+def test_field_adds_spellings_that_patterns_miss():
+    field = pii.train()
+
+    def added(text):
+        return [(pii.KINDS[k], text[a:b]) for a, k, b in pii.added_spans(field, [text], [pii.base_spans(text)])[0]]
+    assert added("please call (212) 555-0187 now") == [("phone", "(212) 555-0187")]
+    assert added("mail kim (at) corp.example.org now") == [("email", "kim (at) corp.example.org")]
+    assert added("on 2024-01-02 10:11:12 we had 1234567890123 of them") == []
+
+
+# --- language
+
+def test_language_id(spark, make):
+    texts = {"en": "the cat sat on the mat and then it went to the house with them ", "de": "der hund und die katze sind nicht in dem haus das ist schön ",
+             "fr": "le chat est dans la maison avec les enfants où être élève "}
+    rows = [(i, t * (1 + i % 5), lang) for lang, t in texts.items() for i in range(30)]
+    docs = make([(k, t) for k, (_, t, _) in enumerate(rows)], None).drop("lang")
+    langs = spark.createDataFrame([(k, lang) for k, (_, _, lang) in enumerate(rows)], "doc_id long, lang string")
+    model = language_id.fit(docs.join(langs, "doc_id"))
+    got = {r.doc_id: r for r in language_id.identify(docs, model).collect()}
+    assert all(got[k].lang_pred == lang and 0 <= got[k].score <= 1 for k, (_, _, lang) in enumerate(rows))
+    assert all(got[k].held_out == (zlib.crc32(str(k).encode()) % 5 == 0) for k in got)
+    odd = language_id.identify(make(odd_texts()), model).collect()
+    letters = {t: t is not None and any(c.isalpha() for c in t) for _, t in odd_texts()}
+    assert len(odd) == len(odd_texts())
+    assert sum(r.lang_pred == "und" for r in odd) == sum(not letters[t] for _, t in odd_texts())
+    assert {r.lang_pred for r in language_id.identify(docs, None).collect()} == {"und"}
+    assert language_id.fit(docs.join(langs, "doc_id").limit(0)) is None
+    assert language_id.with_language(make(odd_texts()), model).columns[-2:] == ["lang_pred", "lang_score"]
+
+
+def test_code_lengths_against_a_plain_tree():
+    import pyarrow as pa
+
+    train = {"a": ["abracadabra abra", "abc abd"], "b": ["banana bandana", "ban"]}
+    model_rows = []
+    for k, (lang, texts) in enumerate(train.items()):
+        gram, _, _ = language_id._stream(pa.array(texts))
+        for g in gram:
+            model_rows.append((k, int(g)))
+    count = collections.Counter(model_rows)
+    keys = sorted(count)
+    model = language_id.Model(list(train), np.array([k for k, _ in keys]), np.array([g for _, g in keys], np.uint64), np.array([count[k] for k in keys]))
+    text = "abra ban xyz é"
+    got = model.bits(pa.array([text, ""]), model.lookup())
+    stream = b"   " + text.encode()
+    for k, texts in enumerate(train.values()):
+        seen = collections.defaultdict(collections.Counter)
+        for t in texts:
+            s = b"   " + t.encode()
+            for i in range(3, len(s)):
+                for n in range(4):
+                    seen[s[i - n:i]][s[i]] += 1
+        bits = 0.0
+        for i in range(3, len(stream)):
+            for n in (3, 2, 1, 0, -1):
+                if n < 0:
+                    bits += 8
+                    break
+                c = seen.get(stream[i - n:i])
+                if c is None:
+                    continue
+                if c[stream[i]]:
+                    bits -= math.log2(c[stream[i]] / (sum(c.values()) + len([x for x in c.values() if x])))
+                    break
+                bits -= math.log2(len([x for x in c.values() if x]) / (sum(c.values()) + len([x for x in c.values() if x])))
+        assert got[0, k] == pytest.approx(bits, rel=1e-5)
+    assert got[1].tolist() == [0, 0]
+
+
+# --- quality classifier
+
+def test_quality_classifier(spark, make):
+    rng = random.Random(1)
+    good, bad = ["fine", "clear", "useful", "sound"], ["junk", "spam", "awful", "broken"]
+    rows = []
+    for i in range(400):
+        g = i % 3
+        rows.append((i, g, " ".join(rng.choice(good if rng.random() < (0.05, 0.5, 0.95)[g] else bad) for _ in range(30))))
+    docs = make([(i, t) for i, _, t in rows] + [(None, "x"), (1000, None), (1001, "")])
+    ratings = spark.createDataFrame([(i, g) for i, g, _ in rows if i < 300] + [(None, 1), (5, 0), (9, 77)], "doc_id long, grade int")
+    model = quality_classifier.fit(docs, ratings, 3)
+    got = {r.doc_id: r for r in quality_classifier.rate(docs, model).collect()}
+    assert len(got) == 403
+    mean = [np.mean([got[i].grade for i, g, _ in rows if g == k and i >= 300]) for k in range(3)]
+    assert mean[0] + 0.3 < mean[1] < mean[2] - 0.3
+    assert all(r.tails[0] >= r.tails[1] and abs(sum(r.tails) - r.grade) < 1e-9 for r in got.values())
+    assert quality_classifier.fit(docs, ratings.limit(0), 3) is None
+    assert {r.grade for r in quality_classifier.rate(docs, None).collect()} == {None}
+    assert quality_classifier.rate(make([]), model).count() == 0
+
+
+# --- decontamination
+
+def test_default_masks_meet_every_window_with_four_substitutions():
+    import itertools
+
+    for gone in itertools.combinations(range(20), 4):
+        assert any(all(s + o not in gone for o in mask) for mask in decontamination.MASKS for s in range(20 - mask[-1]))
+
+
+def contamination_expected(pairs, items):
+    def words(t):
+        return re.findall(r"[a-z0-9\u0080-\U0010ffff]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+    out = set()
+    for i, t in pairs:
+        d = words(t)
+        for j, x in items:
+            b = words(x)
+            n = len(b)
+            if not n:
+                continue
+            for shift in range(-n + 1, len(d)):
+                same = [0 <= k + shift < len(d) and d[k + shift] == b[k] for k in range(n)]
+                size = min(20, n)
+                for k in range(n - size + 1):
+                    inside = 0 <= k + shift and k + size + shift <= len(d)
+                    if inside and sum(same[k:k + size]) >= 0.8 * size and (n >= 7 or all(same)):
+                        out.add((i, j))
+    return out
+
+
+def test_decontamination(spark, make):
+    rng = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(400)]
+    items = [(k, " ".join(rng.choice(vocabulary) for _ in range(n))) for k, n in enumerate((45, 30, 20, 12, 5, 1))] + [(7, None), (8, ""), (0, "w1 w2")]
+    pairs = [p for p in odd_texts() if p[1] is None or len(p[1]) < 1000]
+    for k in range(60):
+        filler = [rng.choice(vocabulary) for _ in range(60)]
+        part = items[k % 6][1].split()
+        for s in rng.sample(range(len(part)), min(len(part), rng.choice((0, 2, 4, 9)))):
+            part[s] = "changed"
+        pairs.append((2000 + k, " ".join(filler[:30]) + ", " + " ".join(part).upper() + ". " + " ".join(filler[30:])))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.contaminated(make(pairs), bench)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == contamination_expected(pairs, items)
+    assert decontamination.contaminated(make([]), bench).count() == 0
+    assert decontamination.contaminated(make(pairs), bench.limit(0)).count() == 0
+
+
+# --- substring dedup
+
+def test_substring_dedup(spark, make):
+    passage = "One long sentence of a passage that is repeated here. Another sentence that follows it closely and is long. " \
+              "A third sentence with many more words than the others had before. And the last one of this passage comes now."
+    pairs = odd_texts() + [
+        (201, "Own words come first in this text. " + passage + " Tail of the first."),
+        (202, "Quite another beginning here, mid-line é. " + passage.upper() + " Some different tail follows."),
+        (203, "Only one long sentence of a passage that is repeated here."), (None, passage), (204, passage), (204, passage)]
+    docs = make(pairs)
+    spans = substring_dedup.repeated_spans(docs)
+    got = collections.defaultdict(list)
+    for r in spans.collect():
+        got[r.doc_id].append((r.start, r.end, r.keep_doc_id))
+    text = dict(pairs)
+    assert 201 not in got and 203 not in got
+    (a, b, keep), = got[202]
+    assert text[202][a:b] == passage.upper()[:-1] and keep == 201
+    assert got[204] == [(0, len(passage) - 1, 201)] and got[None] == [(0, len(passage) - 1, 201)]
+    left = {r.doc_id: r.text for r in substring_dedup.remove_spans(docs, spans).collect()}
+    assert left[202] == "Quite another beginning here, mid-line é. . Some different tail follows." and left[201] == text[201]
+    assert substring_dedup.repeated_spans(make([])).count() == 0
+
+
+# --- registered queries
+
+@needs_tables
+def test_line_dedup_query_equals_sql(spark):
+    import __spark_entry__ as entry
+    from workload.check import compare, duck, rows_of
+
+    df = entry.queries()["op3_line_dedup"](spark, SF)
+    cur = duck(SF).execute(entry.oracle_sql()["op3_line_dedup"])
+    columns = [d[0] for d in cur.description]
+    assert compare(rows_of(df.columns, df.collect()), rows_of(columns, cur.fetchall())) is None
+
+
+@needs_tables
+@pytest.mark.parametrize("number", [1, 2, 4, 5, 6, 7, 8, 9, 10])
+def test_query_covers_its_table(spark, number):
+    import __spark_entry__ as entry
+
+    name, = (n for n in entry.queries() if n.startswith(f"op{number}_"))
+    rows = entry.queries()[name](spark, SF).collect()
+    ids = {i for i, _ in documents(spark)}
+    if number in (1, 2):
+        assert {r.doc_id for r in rows} <= ids
+    else:
+        assert sorted(r.doc_id for r in rows) == sorted(ids)
+
+
+@needs_tables
+def test_pipeline_equals_its_stages_by_brute_force(spark, library):
+    import corpus_pipeline
+
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    rows = [(i, t) for i, t in rows if t and any(c.isalpha() for c in t)]
+    rows = [(i, t) for i, t, _, _ in lines_expected(rows)]
+    marks = {i: fingerprint(t) for i, t in rows}
+    group = roots(set(marks.values()), close_pairs(set(marks.values())))
+    first = {}
+    for i, _ in rows:
+        first[group[marks[i]]] = min(i, first.get(group[marks[i]], i))
+    rows = [(i, t) for i, t in rows if first[group[marks[i]]] == i]
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+
+    def words(t):
+        return re.findall(r"[a-z0-9\u0080-\U0010ffff]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t))
+    bench = [(j, words(t)) for j, t in items]
+    gone = set()
+    for i, t in rows:
+        place = collections.defaultdict(list)
+        d = words(t)
+        for k, w in enumerate(d):
+            place[w].append(k)
+        for _, b in bench:
+            size = min(20, len(b))
+            for shift in {k - p for p, w in enumerate(b) for k in place.get(w, ())}:
+                same = [0 <= k + shift < len(d) and d[k + shift] == b[k] for k in range(len(b))]
+                for k in range(len(b) - size + 1):
+                    if 0 <= k + shift and k + size + shift <= len(d) and sum(same[k:k + size]) >= 0.8 * size:
+                        gone.add(i)
+    want = []
+    for i, t in rows:
+        if i not in gone:
+            ids = np.array(library.encode_ordinary(t), "<u4")
+            want.append((i, len(ids), sha(ids.tobytes()), sha(t)))
+    got = corpus_pipeline.run(spark, SF).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    assert counted(got.collect()) == counted(want)
