@@ -18,8 +18,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import sys
-import types
 
 import duckdb
 import numpy as np
@@ -28,12 +26,13 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, flat, table, with_text
+from .common import chunks, flat, table, with_text, worker_memo
 
 LONG = 512
 LETTER, NUMBER, OTHER, BLANK = 1, 2, 3, 4
-REMEMBERED = 250_000
-CHUNK = 4 << 20
+#: What bounds a worker's memory: pieces of a generation, bytes of text at a time, squared piece lengths
+#: of one recursive query, pieces of one decoding query.
+REMEMBERED, CHUNK, GROUP, DECODED = 100_000, 1 << 20, 500_000, 10_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -110,7 +109,7 @@ class Coder:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
         merges = [(ranks[t[:k]] * 65536 + ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t))
                   if t[:k] in ranks and t[k:] in ranks]
         pair, merged = np.array(merges, np.int64).T
@@ -185,7 +184,7 @@ class Coder:
         new = [i for i, k in enumerate(known) if k is None]
         group, cost = [], 0
         for i in (*new, None):
-            if group and (i is None or cost + len(words[i]) ** 2 > 3_000_000):
+            if group and (i is None or cost + len(words[i]) ** 2 > GROUP):
                 for g, ids in zip(group, self._merged([words[g] for g in group])):
                     known[g] = ids
                 group, cost = [], 0
@@ -198,8 +197,8 @@ class Coder:
             else:
                 group.append(i)
                 cost += len(words[i]) ** 2
-        for a in range(0, len(new), 50_000):
-            part = new[a:a + 50_000]
+        for a in range(0, len(new), DECODED):
+            part = new[a:a + DECODED]
             for i, text in zip(part, self.decode([known[i] for i in part])):
                 if text != words[i]:
                     self.odd[words[i]] = text
@@ -226,10 +225,12 @@ class Coder:
             yield b"".join(map(ids.__getitem__, mine)), b"".join(map(decoded.__getitem__, mine))
 
 
+OWNER = "byte_bpe"
+
+
 def coder(ranks: dict[bytes, int]) -> Coder:
-    """This worker process's coder: later tasks of the process go on with what earlier ones have met."""
-    key = (len(ranks), hash(frozenset(ranks.items())))
-    kept = sys.modules.setdefault("_panelgrain_coders", types.ModuleType("_panelgrain_coders")).__dict__
+    """This worker process's coder: later tasks of this operator go on with what earlier ones have met."""
+    kept, key = worker_memo(OWNER), hash(frozenset(ranks.items()))
     if kept.get("key") != key:
         kept["key"], kept["coder"] = key, Coder(ranks)
     return kept["coder"]
@@ -239,7 +240,7 @@ def _digests(shared):
     def run(batches):
         ranks, classes = shared.value
         own = coder(ranks)
-        for batch in chunks(batches, CHUNK):
+        for batch in chunks(batches, CHUNK, OWNER):
             n, a, b = [], [], []
             for ids, text in own.texts(batch.column("text"), classes):
                 n.append(len(ids) // 4)
@@ -254,7 +255,7 @@ def _encode(shared):
     def run(batches):
         ranks, classes = shared.value
         own = coder(ranks)
-        for batch in chunks(batches, CHUNK):
+        for batch in chunks(batches, CHUNK, OWNER):
             ids = [np.frombuffer(x, "<i4") for x, _ in own.texts(batch.column("text"), classes)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
     return run

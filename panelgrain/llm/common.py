@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
+import sys
 import tempfile
+import types
 
 import numpy as np
 import pyarrow as pa
@@ -43,11 +46,25 @@ def with_text(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
-def chunks(batches, size: int = CHUNK_BYTES):
+def worker_memo(owner: str | None) -> dict:
+    """What this worker process keeps for later tasks of ``owner``; work of anyone else empties it."""
+    kept = sys.modules.setdefault("_panelgrain_memo", types.ModuleType("_panelgrain_memo")).__dict__
+    if kept.get("owner") != owner:
+        memo = kept.pop("memo", None)
+        if memo:
+            memo.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+        kept["owner"] = owner
+    return kept.setdefault("memo", {})
+
+
+def chunks(batches, size: int = CHUNK_BYTES, owner: str | None = None):
     """Slices of Arrow batches with about ``size`` bytes of ``text`` (one row at least)."""
+    worker_memo(owner)
     for batch in batches:
         if not batch.num_rows:
             continue

@@ -14,13 +14,15 @@ is its smallest doc_id (null only if all its ids are null); every row gets a res
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, settled, table, with_text
+from .common import chunks, settled, table, with_text, worker_memo
 from .components import components
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
@@ -128,8 +130,9 @@ def _links(radius: int):
         return np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
 
     def run(batches):
+        worker_memo(None)
         rest = None
-        for batch in (*_read(batches), None):
+        for batch in itertools.chain(_read(batches), [None]):
             if batch is not None:
                 rest = batch if rest is None else [np.concatenate([a, b]) for a, b in zip(rest, batch)]
             if rest is None or not len(rest[0]):
