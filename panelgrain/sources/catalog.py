@@ -1,8 +1,6 @@
 """Declarative table catalogue: which table owns a field, its type, grain and roll-up.
 
-A table lists its columns by type.  The attribute a column is read from in a raw
-payload follows from the column name (snake_case to camelCase, minus the table's
-own prefix or suffix); only exceptions are written out as ``column=attribute``.
+The layouts themselves are in :mod:`.layouts`.
 """
 
 from __future__ import annotations
@@ -13,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 from .grain import Grain
+from .layouts import LAYOUTS
 
 SPARK_TYPES = {
     "double": T.DoubleType(),
@@ -112,299 +111,15 @@ VERSION_COLUMNS = [f.name for f in VERSION_FIELDS]
 
 
 def camel(name: str) -> str:
+    """The attribute that a raw payload usually has for a column name."""
     head, *rest = name.split("_")
     return head + "".join(part[:1].upper() + part[1:] for part in rest)
 
 
-def table(
-    name: str,
-    grain: Grain,
-    keys: str,
-    freshness: str,
-    *,
-    prefix: str = "",
-    suffix: str = "",
-    source_suffix: str = "",
-    date_source: str = "date",
-    default_rollup: str = "last",
-    rollup: dict[str, str] | None = None,
-    **columns: str,
-) -> TableSpec:
-    """Build a TableSpec from per-type column lists.
-
-    ``prefix``/``suffix`` are the parts of our column names that the raw attribute
-    lacks; ``source_suffix`` is what the raw attribute has in addition.
-    """
-    special = {c: how for how, cols in (rollup or {}).items() for c in cols.split()}
-    fields: dict[str, FieldSpec] = {}
-    for dtype, words in columns.items():
-        for word in words.split():
-            col, _, source = word.partition("=")
-            if not source:
-                bare = col.removeprefix(prefix).removesuffix(suffix)
-                source = camel(bare) + source_suffix
-            numeric = dtype in ("double", "bigint")
-            how = special.get(col, default_rollup if numeric else "last")
-            fields[col] = FieldSpec(col, source.replace("~", " "), dtype, how)
-    return TableSpec(name, grain, tuple(keys.split()), fields, freshness, date_source)
-
-
-_D, _M, _Q, _A, _S = (
-    Grain.DAILY, Grain.MONTHLY, Grain.QUARTERLY, Grain.ANNUAL, Grain.SNAPSHOT,
-)
-_STATEMENT = "symbol date period"
-
-# Table layouts.  Order matters: the first table listing a name owns it.
-_TABLES: list[TableSpec] = [
-    table("daily_price", _D, "symbol date", "daily_historical",
-          double="open high low close adj_close vwap change change_pct=changePercent",
-          bigint="volume",
-          rollup={"first": "open", "max": "high", "min": "low", "mean": "vwap",
-                  "sum": "volume change change_pct"}),
-    table("income_statement", _Q, _STATEMENT, "financial_statements", default_rollup="sum",
-          string="reported_currency cik accepted_date calendar_year=fiscalYear",
-          date="filling_date=filingDate",
-          bigint="revenue cost_of_revenue gross_profit rd_expenses=researchAndDevelopmentExpenses "
-                 "sga_expenses=sellingGeneralAndAdministrativeExpenses operating_expenses "
-                 "operating_income interest_income interest_expense ebitda net_income "
-                 "weighted_avg_shares=weightedAverageShsOut "
-                 "weighted_avg_shares_diluted=weightedAverageShsOutDil income_before_tax "
-                 "income_tax_expense depreciation_and_amortization cost_and_expenses "
-                 "other_expenses total_other_income=totalOtherIncomeExpensesNet",
-          double="eps eps_diluted",
-          rollup={"last": "weighted_avg_shares weighted_avg_shares_diluted"}),
-    table("balance_sheet", _Q, _STATEMENT, "financial_statements",
-          string="reported_currency cik calendar_year=fiscalYear",
-          date="filling_date=filingDate",
-          bigint="cash_and_equivalents=cashAndCashEquivalents short_term_investments "
-                 "net_receivables inventory total_current_assets "
-                 "property_plant_equipment=propertyPlantEquipmentNet goodwill intangible_assets "
-                 "total_non_current_assets total_assets accounts_payable=accountPayables "
-                 "short_term_debt total_current_liabilities long_term_debt "
-                 "total_non_current_liabilities total_liabilities total_stockholders_equity "
-                 "total_equity total_liabilities_and_equity=totalLiabilitiesAndTotalEquity "
-                 "total_debt net_debt retained_earnings common_stock other_current_assets "
-                 "other_non_current_assets deferred_revenue tax_payables minority_interest "
-                 "goodwill_and_intangibles=goodwillAndIntangibleAssets other_assets "
-                 "other_liabilities total_investments capital_lease_obligations"),
-    table("cash_flow", _Q, _STATEMENT, "financial_statements", default_rollup="sum",
-          string="reported_currency cik calendar_year=fiscalYear",
-          date="filling_date=filingDate",
-          bigint="net_income_cf=netIncome depreciation=depreciationAndAmortization "
-                 "stock_based_compensation operating_cash_flow capex=capitalExpenditure "
-                 "acquisitions=acquisitionsNet "
-                 "investing_cash_flow=netCashProvidedByInvestingActivities "
-                 "debt_repayment=netDebtIssuance share_repurchase=commonStockRepurchased "
-                 "dividends_paid=commonDividendsPaid "
-                 "financing_cash_flow=netCashProvidedByFinancingActivities "
-                 "free_cash_flow net_change_in_cash"),
-    table("key_metrics", _Q, _STATEMENT, "key_metrics", suffix="_km",
-          string="calendar_year=fiscalYear",
-          bigint="market_cap enterprise_value invested_capital working_capital_km",
-          double="ev_to_sales ev_to_ebitda=evToEBITDA ev_to_fcf=evToFreeCashFlow earnings_yield "
-                 "fcf_yield=freeCashFlowYield current_ratio roic=returnOnInvestedCapital "
-                 "roe=returnOnEquity roa=returnOnAssets tax_burden_km interest_burden_km "
-                 "operating_return_on_assets_km return_on_capital_employed_km "
-                 "return_on_tangible_assets_km net_debt_to_ebitda_km=netDebtToEBITDA "
-                 "graham_number_km income_quality"),
-    table("ratios", _Q, _STATEMENT, "key_metrics", suffix="_r",
-          double="gross_profit_margin operating_profit_margin net_profit_margin "
-                 "debt_ratio=debtToAssetsRatio debt_equity_ratio=debtToEquityRatio "
-                 "interest_coverage=interestCoverageRatio cash_flow_to_debt=cashFlowToDebtRatio "
-                 "current_ratio_r quick_ratio cash_ratio asset_turnover inventory_turnover "
-                 "receivables_turnover dividend_yield_r price_earnings_ratio=priceToEarningsRatio "
-                 "price_to_book=priceToBookRatio price_to_sales_r=priceToSalesRatio "
-                 "price_to_fcf=priceToFreeCashFlowRatio ev_to_sales_r=enterpriseValueMultiple "
-                 "revenue_per_share_r net_income_per_share_r book_value_per_share_r "
-                 "fcf_per_share_r=freeCashFlowPerShare "
-                 "operating_cf_per_share_r=operatingCashFlowPerShare cash_per_share_r "
-                 "tangible_bvps_r=tangibleBookValuePerShare dividend_per_share_r "
-                 "ebitda_margin_r effective_tax_rate_r"),
-    table("quote", _S, "symbol", "realtime_quotes", prefix="quote_",
-          string="quote_name exchange",
-          double="price quote_change quote_change_pct=changePercentage day_low day_high year_low "
-                 "year_high price_avg_50 price_avg_200 quote_open previous_close",
-          bigint="quote_market_cap quote_volume"),
-    table("profile", _S, "symbol", "company_profiles", prefix="profile_",
-          string="company_name currency cik isin exchange_short=exchange "
-                 "exchange_full=exchangeFullName industry sector country "
-                 "employees=fullTimeEmployees description ceo website",
-          date="ipo_date",
-          double="beta profile_price",
-          bigint="profile_market_cap profile_volume",
-          boolean="is_etf is_fund is_adr is_actively_trading default_image"),
-    table("earnings_data", _Q, "symbol date", "earnings_calendar",
-          double="earnings_eps=epsActual eps_estimated",
-          bigint="earnings_revenue=revenueActual revenue_estimated",
-          date="earnings_last_updated=lastUpdated",
-          rollup={"sum": "earnings_revenue revenue_estimated"}),
-    table("dividends_data", _Q, "symbol date", "earnings_calendar",
-          double="dividend adj_dividend", date="record_date payment_date declaration_date"),
-    table("enterprise_values", _Q, "symbol date", "financial_statements",
-          double="stock_price_ev=stockPrice",
-          bigint="shares_outstanding_ev=numberOfShares ev_market_cap=marketCapitalization "
-                 "minus_cash=minusCashAndCashEquivalents plus_debt=addTotalDebt enterprise_value"),
-    table("dcf_data", _S, "symbol", "dcf", double="dcf_val=dcf dcf_stock_price=Stock~Price"),
-    table("esg_data", _S, "symbol", "esg",
-          double="esg_total=environmentalScore esg_environmental=environmentalScore "
-                 "esg_social=socialScore esg_governance=governanceScore esg_score=ESGScore"),
-    table("price_change", _S, "symbol", "realtime_quotes",
-          double="provider_return_1d=1D provider_return_5d=5D provider_return_1m=1M "
-                 "provider_return_3m=3M provider_return_6m=6M provider_return_ytd=ytd "
-                 "provider_return_1y=1Y provider_return_3y=3Y provider_return_5y=5Y"),
-    table("splits_data", _Q, "symbol date", "earnings_calendar", prefix="split_",
-          string="split_label", int="split_numerator split_denominator"),
-    table("institutional_summary", _S, "symbol", "sec_filings",
-          int="inst_holders_count=investorsHolding inst_holders_prev=lastInvestorsHolding "
-              "inst_holders_change=investorsHoldingChange",
-          bigint="inst_total_invested=totalInvested inst_invested_prev=lastTotalInvested "
-                 "inst_invested_change=totalInvestedChange",
-          double="inst_put_call_ratio=putCallRatio"),
-    table("financial_scores", _S, "symbol", "key_metrics", suffix="_score",
-          double="altman_z_score_provider=altmanZScore piotroski_score_provider=piotroskiScore "
-                 "working_capital_score retained_earnings_score operating_cash_flow_score "
-                 "total_assets_score"),
-    table("treasury_rates", _D, "date", "economic_indicators",
-          double="rate_1m=month1 rate_2m=month2 rate_3m=month3 rate_6m=month6 rate_1y=year1 "
-                 "rate_2y=year2 rate_3y=year3 rate_5y=year5 rate_7y=year7 rate_10y=year10 "
-                 "rate_20y=year20 rate_30y=year30"),
-    table("analyst_estimates", _Q, "symbol date", "analyst", prefix="est_",
-          bigint="est_revenue_low est_revenue_high est_revenue_avg est_ebitda_low "
-                 "est_ebitda_high est_ebitda_avg est_net_income_low est_net_income_high "
-                 "est_net_income_avg est_sga_avg=sgaExpenseAvg",
-          double="est_eps_low est_eps_high est_eps_avg",
-          int="num_analysts_revenue num_analysts_eps"),
-    table("price_target", _S, "symbol", "analyst",
-          double="target_high target_low target_consensus target_median"),
-    table("grades_consensus", _S, "symbol", "analyst",
-          int="strong_buy buy hold sell strong_sell", string="consensus"),
-    table("ratings", _S, "symbol", "analyst",
-          string="provider_rating=rating",
-          int="provider_rating_score=overallScore provider_dcf_score=discountedCashFlowScore "
-              "provider_roe_score=returnOnEquityScore provider_roa_score=returnOnAssetsScore "
-              "provider_de_score=debtToEquityScore provider_pe_score=priceToEarningsScore "
-              "provider_pb_score=priceToBookScore"),
-    table("employee_count", _A, "symbol date", "company_profiles",
-          int="employee_count_val=employeeCount", string="company_name_emp=companyName"),
-    table("shares_float_data", _S, "symbol", "company_profiles",
-          double="free_float", bigint="float_shares outstanding_shares"),
-    table("historical_market_cap", _D, "symbol date", "daily_historical", prefix="hist_",
-          bigint="hist_market_cap"),
-    table("historical_grades", _M, "symbol date", "analyst",
-          int="hist_strong_buy=analystRatingsStrongBuy hist_buy=analystRatingsBuy "
-              "hist_hold=analystRatingsHold hist_sell=analystRatingsSell "
-              "hist_strong_sell=analystRatingsStrongSell"),
-    table("historical_ratings", _M, "symbol date", "analyst", prefix="hist_",
-          string="hist_rating",
-          int="hist_overall_score hist_dcf_score=discountedCashFlowScore "
-              "hist_roe_score=returnOnEquityScore hist_roa_score=returnOnAssetsScore "
-              "hist_de_score=debtToEquityScore hist_pe_score=priceToEarningsScore "
-              "hist_pb_score=priceToBookScore"),
-    table("historical_institutional", _Q, "symbol date", "sec_filings",
-          int="hist_inst_holders=investorsHolding "
-              "hist_inst_holders_change=investorsHoldingChange "
-              "hist_inst_new_positions=newPositions hist_inst_closed_positions=closedPositions",
-          bigint="hist_inst_invested=totalInvested "
-                 "hist_inst_invested_change=totalInvestedChange",
-          double="hist_inst_ownership_pct=ownershipPercent "
-                 "hist_inst_put_call_ratio=putCallRatio"),
-    table("delisted_companies", _S, "symbol", "static_lists", prefix="delisted_",
-          string="company_name delisted_exchange",
-          date="ipo_date delisted_date=delistedDate"),
-    table("insider_trades", _D, "symbol date", "insider_trades", prefix="insider_",
-          date_source="transactionDate",
-          date="insider_filing_date",
-          string="reporting_cik company_cik transaction_type reporting_name type_of_owner "
-                 "acquisition_or_disposition direct_or_indirect form_type security_name "
-                 "insider_url",
-          bigint="securities_owned securities_transacted",
-          double="insider_price"),
-    table("mergers_acquisitions", _D, "symbol date", "sec_filings", prefix="ma_",
-          date_source="transactionDate",
-          string="ma_company_name ma_cik targeted_company_name targeted_cik targeted_symbol "
-                 "ma_accepted_date ma_link"),
-    table("earnings_calendar", _D, "symbol date", "earnings_calendar", prefix="ec_",
-          double="ec_eps_actual ec_eps_estimated", bigint="ec_revenue_actual ec_revenue_estimated",
-          date="ec_last_updated"),
-    table("dividends_calendar", _D, "symbol date", "earnings_calendar", prefix="dc_",
-          date="dc_record_date dc_payment_date dc_declaration_date",
-          double="dc_adj_dividend dc_dividend dc_yield", string="dc_frequency"),
-    table("splits_calendar", _D, "symbol date", "earnings_calendar",
-          int="split_numerator=numerator split_denominator=denominator", string="split_type"),
-    table("ipos_calendar", _D, "symbol date", "earnings_calendar", prefix="ipo_",
-          string="ipo_company ipo_exchange ipo_actions ipo_price_range",
-          bigint="ipo_shares ipo_market_cap"),
-    table("economic_calendar", _D, "date", "daily_historical", prefix="econ_",
-          string="econ_country econ_event econ_currency econ_impact econ_unit",
-          double="econ_previous econ_estimate econ_actual econ_change "
-                 "econ_change_pct=changePercentage"),
-    table("income_statement_ttm", _S, "symbol", "financial_statements", prefix="ttm_",
-          bigint="ttm_revenue ttm_cost_of_revenue ttm_gross_profit "
-                 "ttm_rd_expenses=researchAndDevelopmentExpenses "
-                 "ttm_sga_expenses=sellingGeneralAndAdministrativeExpenses "
-                 "ttm_operating_expenses ttm_operating_income ttm_interest_income "
-                 "ttm_interest_expense ttm_ebitda ttm_ebit ttm_net_income "
-                 "ttm_income_before_tax ttm_income_tax_expense "
-                 "ttm_da=depreciationAndAmortization",
-          double="ttm_eps ttm_eps_diluted"),
-    table("key_metrics_ttm", _S, "symbol", "financial_statements", prefix="ttm_",
-          source_suffix="TTM",
-          bigint="ttm_market_cap=marketCap ttm_ev=enterpriseValueTTM ttm_working_capital "
-                 "ttm_invested_capital ttm_tangible_asset_value",
-          double="ttm_ev_to_sales ttm_ev_to_ocf=evToOperatingCashFlowTTM "
-                 "ttm_ev_to_fcf=evToFreeCashFlowTTM ttm_ev_to_ebitda=evToEBITDATTM "
-                 "ttm_net_debt_to_ebitda=netDebtToEBITDATTM ttm_current_ratio "
-                 "ttm_roa=returnOnAssetsTTM ttm_roe=returnOnEquityTTM "
-                 "ttm_roic=returnOnInvestedCapitalTTM ttm_roce=returnOnCapitalEmployedTTM "
-                 "ttm_earnings_yield ttm_fcf_yield=freeCashFlowYieldTTM "
-                 "ttm_capex_to_ocf=capexToOperatingCashFlowTTM ttm_capex_to_revenue "
-                 "ttm_rd_to_revenue=researchAndDevelopementToRevenueTTM "
-                 "ttm_sbc_to_revenue=stockBasedCompensationToRevenueTTM "
-                 "ttm_dso=daysOfSalesOutstandingTTM ttm_dpo=daysOfPayablesOutstandingTTM "
-                 "ttm_dio=daysOfInventoryOutstandingTTM ttm_ccc=cashConversionCycleTTM "
-                 "ttm_graham_number"),
-    table("ratios_ttm", _S, "symbol", "financial_statements", prefix="ttm_",
-          source_suffix="TTM",
-          double="ttm_gross_margin=grossProfitMarginTTM ttm_ebitda_margin "
-                 "ttm_operating_margin=operatingProfitMarginTTM "
-                 "ttm_net_margin=netProfitMarginTTM ttm_pe_ratio=priceToEarningsRatioTTM "
-                 "ttm_peg_ratio=priceToEarningsGrowthRatioTTM ttm_pb_ratio=priceToBookRatioTTM "
-                 "ttm_ps_ratio=priceToSalesRatioTTM ttm_p_to_fcf=priceToFreeCashFlowRatioTTM "
-                 "ttm_p_to_ocf=priceToOperatingCashFlowRatioTTM "
-                 "ttm_debt_to_assets=debtToAssetsRatioTTM ttm_debt_to_equity=debtToEquityRatioTTM "
-                 "ttm_debt_to_capital=debtToCapitalRatioTTM "
-                 "ttm_financial_leverage=financialLeverageRatioTTM ttm_quick_ratio "
-                 "ttm_cash_ratio ttm_receivables_turnover ttm_inventory_turnover "
-                 "ttm_asset_turnover ttm_ocf_ratio=operatingCashFlowRatioTTM "
-                 "ttm_ocf_to_sales=operatingCashFlowSalesRatioTTM "
-                 "ttm_fcf_to_ocf=freeCashFlowOperatingCashFlowRatioTTM ttm_interest_coverage "
-                 "ttm_dividend_payout=dividendPayoutRatioTTM "
-                 "ttm_dividend_yield_r=dividendYieldTTM ttm_effective_tax_rate "
-                 "ttm_revenue_per_share ttm_ni_per_share=netIncomePerShareTTM "
-                 "ttm_book_value_per_share ttm_ocf_per_share=operatingCashFlowPerShareTTM "
-                 "ttm_fcf_per_share=freeCashFlowPerShareTTM ttm_cash_per_share "
-                 "ttm_ev_multiple=enterpriseValueMultipleTTM ttm_dividend_per_share"),
-    table("income_growth", _Q, _STATEMENT, "financial_statements",
-          double="growth_revenue growth_gross_profit growth_gross_profit_ratio "
-                 "growth_rd_expenses=growthResearchAndDevelopmentExpenses "
-                 "growth_operating_expenses growth_operating_income growth_ebitda=growthEBITDA "
-                 "growth_net_income growth_eps=growthEPS growth_eps_diluted=growthEPSDiluted"),
-    table("balance_sheet_growth", _Q, _STATEMENT, "financial_statements",
-          double="growth_cash=growthCashAndCashEquivalents growth_receivables=growthNetReceivables "
-                 "growth_inventory growth_total_current_assets growth_total_assets "
-                 "growth_short_term_debt growth_long_term_debt growth_total_liabilities "
-                 "growth_retained_earnings growth_total_equity=growthTotalStockholdersEquity "
-                 "growth_total_debt growth_net_debt"),
-    table("cash_flow_growth", _Q, _STATEMENT, "financial_statements",
-          double="growth_operating_cf=growthNetCashProvidedByOperatingActivites "
-                 "growth_investing_cf=growthNetCashUsedForInvestingActivites "
-                 "growth_financing_cf=growthNetCashUsedProvidedByFinancingActivities "
-                 "growth_capex=growthCapitalExpenditure growth_fcf=growthFreeCashFlow "
-                 "growth_dividends_paid growth_stock_repurchased=growthCommonStockRepurchased "
-                 "growth_sbc=growthStockBasedCompensation "
-                 "growth_da=growthDepreciationAndAmortization "
-                 "growth_net_change_cash=growthNetChangeInCash"),
-]
+def table(name: str, grain: str, keys: tuple[str, ...], freshness: str, date_source: str, columns: Iterable[tuple]) -> TableSpec:
+    """A TableSpec from a written-out layout."""
+    return TableSpec(name, Grain[grain], keys, {c[0]: FieldSpec(*c) for c in columns}, freshness, date_source)
+
 
 # Further names a field may be asked for by.
 ALIASES = {
@@ -480,4 +195,4 @@ class Catalog:
 
 
 def default_catalog() -> Catalog:
-    return Catalog(_TABLES, ALIASES)
+    return Catalog((table(*layout) for layout in LAYOUTS), ALIASES)
