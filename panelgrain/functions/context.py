@@ -19,7 +19,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.rolling import LONG, STATISTICS, Roll, with_rolls
+from ..operators.rolling import STATISTICS, Roll, with_rolls
 from ..sources.grain import Grain
 
 Builder = Callable[["PanelView"], Column]
@@ -150,11 +150,12 @@ class FeatureSet:
             df = df.select("*", *[lagged(c, k).alias(s) for s, (c, k) in view.lags.items()])
         if view.definitions:
             df = df.select("*", *[c.alias(s) for s, c in view.definitions.items()])
-        # Costly statistics over long frames leave the JVM; see operators.rolling.
+        # Costly statistics over frames of fixed length leave the JVM, whatever the length;
+        # see operators.rolling.  There and in running frames a NaN counts as missing.
         costly = {
             s: Roll(how, (c,), n)
             for s, (how, c, n) in view.rolls.items()
-            if partition and how in STATISTICS and n is not None and n >= LONG
+            if partition and how in STATISTICS and n is not None
         }
         frames = {s: spec for s, spec in view.rolls.items() if s not in costly}
         if frames:
@@ -164,7 +165,8 @@ class FeatureSet:
 
             df = df.select(
                 "*",
-                *[_OVER[how](F.col(c), frame(n)).alias(s) for s, (how, c, n) in frames.items()],
+                *[_OVER[how](_known(c) if how in STATISTICS else F.col(c), frame(n)).alias(s)
+                  for s, (how, c, n) in frames.items()],
             )
         df = with_rolls(df, costly, partition, order)
         names = names or {}
@@ -172,6 +174,11 @@ class FeatureSet:
         return df.select(*keep, *results)
 
 
+def _known(name: str) -> Column:
+    value = F.col(name).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def dependencies(build: Builder) -> list[str]:
     """Base fields a feature reads (Q08), found by asking it."""
     view = PanelView()

@@ -24,9 +24,6 @@ from pyspark.sql import types as T
 
 STATISTICS = ("stddev", "p05", "skew", "kurt")
 
-# Frames at least this long go through numpy; shorter ones stay in the JVM.
-LONG = 100
-
 # Frames reduced at a time: 2048 × 252 doubles are 4 MB.
 BLOCK = 2048
 

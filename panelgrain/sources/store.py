@@ -13,9 +13,6 @@ from ..operators import versions as V
 from .catalog import Catalog, TableSpec, default_catalog
 from .landing import conform, stamp_version
 
-# Longest symbol list written into the plan as a literal IN; longer ones are joined.
-INLINE_SYMBOLS = 200
-
 
 def only_symbols(df: DataFrame, symbols: Sequence[str] | DataFrame | None) -> DataFrame:
     """Keep the given symbols; ``None`` keeps all (Q01)."""
@@ -23,8 +20,6 @@ def only_symbols(df: DataFrame, symbols: Sequence[str] | DataFrame | None) -> Da
         return df
     if isinstance(symbols, DataFrame):
         wanted = symbols.select("symbol").distinct()
-    elif len(symbols) <= INLINE_SYMBOLS:
-        return df.filter(F.col("symbol").isin(list(symbols)))
     else:
         wanted = df.sparkSession.createDataFrame([(s,) for s in set(symbols)], "symbol string")
     return df.join(wanted, "symbol", "left_semi")
