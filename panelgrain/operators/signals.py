@@ -63,10 +63,10 @@ def _aggregate(term: Term, when: Column) -> Column:
 def with_signals(
     df: DataFrame, events: DataFrame, signals: Mapping[str, Signal], as_of: Column
 ) -> DataFrame:
-    """Left join of per-symbol aggregates of the events since ``as_of`` minus the days."""
+    """Left join of per-symbol aggregates of the events from ``as_of`` minus the days to ``as_of``."""
     terms = _all_terms(signals)
     per_symbol = events.groupBy("symbol").agg(*[
-        _aggregate(t, _holds(t, F.col("date") >= F.date_sub(as_of, t.days))).alias(n)
+        _aggregate(t, _holds(t, F.col("date").between(F.date_sub(as_of, t.days), as_of))).alias(n)
         for n, t in terms.items()
     ])
     joined = df.join(per_symbol.withColumn("__seen", F.lit(True)), "symbol", "left")

@@ -179,7 +179,7 @@ GROUP BY s.symbol, s.date, s.close""")
 
 def _insider_sql(long, short):
     def since(n):
-        return f"date >= DATE '{V.EVENTS_AS_OF}' - {n}"
+        return f"date BETWEEN DATE '{V.EVENTS_AS_OF}' - {n} AND DATE '{V.EVENTS_AS_OF}'"
     a, d = "acquisition_or_disposition = 'A'", "acquisition_or_disposition = 'D'"
     value = "securities_transacted * insider_price"
     return O.sql(f"""
@@ -207,7 +207,7 @@ FROM event_days LEFT JOIN per_symbol USING (symbol)""")
 
 def _senate_sql(long, short):
     def since(n):
-        return f"date >= DATE '{V.EVENTS_AS_OF}' - {n}"
+        return f"date BETWEEN DATE '{V.EVENTS_AS_OF}' - {n} AND DATE '{V.EVENTS_AS_OF}'"
     return O.sql(f"""
 SELECT symbol, date, {_r("close")}, p AS senate_buy_count_90d, s AS senate_sell_count_90d,
        p - s AS senate_net_flow_90d, CAST(n > 0 AS INTEGER) AS senate_activity_flag
@@ -225,7 +225,7 @@ SELECT symbol, date, {_r("close")}, u AS upgrades_90d, d AS downgrades_90d,
 FROM event_days LEFT JOIN
      (SELECT symbol, count(*) FILTER (event_type = 'signup') AS u,
              count(*) FILTER (event_type = 'error') AS d
-      FROM ev WHERE date >= DATE '{V.EVENTS_AS_OF}' - {long} GROUP BY 1) USING (symbol)""")
+      FROM ev WHERE date BETWEEN DATE '{V.EVENTS_AS_OF}' - {long} AND DATE '{V.EVENTS_AS_OF}' GROUP BY 1) USING (symbol)""")
 
 
 def u01_u02_registered_features(spark, sf_dir):
