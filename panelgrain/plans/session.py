@@ -34,5 +34,7 @@ def shared_folder(spark: SparkSession, prefix: str) -> str:
     where none is named, as in tests, is a new temporary folder made.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="run-")
     return f"{base}/{prefix}-{uuid.uuid4().hex}"

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,8 @@ from pyspark.sql import types as T
 
 from .catalog import TableSpec
 
+CORRUPT = "_corrupt_record"
+
 # CSV tokens that stand for "no value".
 NULL_TOKENS = ["", "None", "Infinity", "-Infinity", "NaN", "nan", "inf", "-inf"]
 
@@ -38,8 +42,12 @@ def parse_as(value: Column, dtype: T.DataType) -> Column:
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], spec: TableSpec) -> DataFrame:
-    """CSV files of one table: cleaned tokens, registry types, source attribute names."""
-    raw = spark.read.option("header", True).csv(paths)
+    """CSV files of one table: cleaned tokens, registry types, source attribute names.
+
+    All files must have the same header; files that order or name columns otherwise raise when read.
+    """
+    header = spark.read.option("header", True).csv(paths).schema
+    raw = spark.read.option("header", True).option("enforceSchema", False).schema(header).csv(paths)
     types = {f.source: f.spark_type for f in spec.fields.values()}
     types[spec.date_source] = T.DateType()
     return raw.select(
@@ -56,14 +64,19 @@ def read_json(
 ) -> DataFrame:
     """JSON payloads: a list or a single object per file both become rows.
 
-    Payloads holding ``error_field`` raise when the rows are consumed.
+    Payloads holding ``error_field``, and files that are no JSON, raise when the rows are consumed.
     """
     schema = payload_schema(spec)
     for extra in ("symbol", error_field):
         if extra not in schema.fieldNames():
             schema = schema.add(extra, T.StringType())
-    df = spark.read.schema(schema).option("multiLine", True).json(paths)
-    return check_errors(df, error_field)
+    wanted = schema.fieldNames()
+    df = (spark.read.schema(schema.add(CORRUPT, T.StringType())).option("multiLine", True)
+          .option("columnNameOfCorruptRecord", CORRUPT).json(paths))
+    empty = reduce(and_, [F.col(f"`{c}`").isNull() for c in wanted])
+    df = df.filter(F.when(F.col(CORRUPT).isNotNull() & empty,
+                          F.raise_error(F.concat(F.lit("no JSON: "), F.left(F.col(CORRUPT), F.lit(200)))).isNull()).otherwise(True))
+    return check_errors(df.select(*[f"`{c}`" for c in wanted]), error_field)
 
 
 def check_errors(df: DataFrame, error_field: str) -> DataFrame:
@@ -96,6 +109,7 @@ def parse_payload(raw: DataFrame, column: str, spec: TableSpec) -> DataFrame:
     as_list = F.when(F.ltrim(body).startswith("["), body).otherwise(F.concat(F.lit("["), body, F.lit("]")))
     rows = F.from_json(as_list, T.ArrayType(payload_schema(spec)))
     carry = [c for c in raw.columns if c != column]
+    rows = F.when((F.trim(body) == "") | (body.isNotNull() & rows.isNull()), F.raise_error(F.concat(F.lit("no JSON: "), body))).otherwise(rows)
     return raw.select(*carry, F.explode(rows).alias("__row")).select(*carry, "__row.*")
 
 
@@ -162,7 +176,9 @@ def unexpired(
     from ..operators.versions import latest
 
     now = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
-    newest = latest(responses, list(keys), fetched_at="fetched_at", seq=())
+    # Responses of one instant are told apart by the rest of their columns.
+    rest = tuple(f.name for f in responses.schema if f.name not in ("fetched_at", *keys) and not isinstance(f.dataType, T.MapType))
+    newest = latest(responses, list(keys), fetched_at="fetched_at", seq=rest)
     return newest.filter(
         F.col("fetched_at") + F.make_dt_interval(secs=F.col("ttl_seconds")) > now
     )

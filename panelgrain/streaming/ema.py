@@ -28,11 +28,14 @@ class RunningEma(StatefulProcessor):
         top, weight = self.state.get() if self.state.exists() else (0.0, 0.0)
         batch = pd.concat(list(rows)).sort_values(self.order)
         out = []
-        for x in batch[self.value]:
-            top, weight = x + self.decay * top, 1.0 + self.decay * weight
-            out.append(top / weight)
+        for x in batch[self.value].astype("float64"):
+            top, weight = self.decay * top, self.decay * weight
+            known = x == x  # a missing value only lets the earlier ones decay
+            if known:
+                top, weight = top + x, weight + 1.0
+            out.append(top / weight if known else None)
         self.state.update((top, weight))
-        yield batch.assign(ema=out)
+        yield batch.assign(ema=pd.Series(out, index=batch.index, dtype="float64"))
 
     def close(self) -> None:
         pass
