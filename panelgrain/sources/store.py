@@ -15,14 +15,16 @@ from .landing import conform, stamp_version
 
 
 def only_symbols(df: DataFrame, symbols: Sequence[str] | DataFrame | None) -> DataFrame:
-    """Keep the given symbols; ``None`` keeps all (Q01)."""
+    """Keep the given symbols; ``None`` keeps all (Q01).
+
+    A list, of whatever length, becomes a filter that reaches the scan; a frame is joined.
+    Hand in a frame for more symbols than one would write down.
+    """
     if symbols is None or "symbol" not in df.columns:
         return df
     if isinstance(symbols, DataFrame):
-        wanted = symbols.select("symbol").distinct()
-    else:
-        wanted = df.sparkSession.createDataFrame([(s,) for s in set(symbols)], "symbol string")
-    return df.join(wanted, "symbol", "left_semi")
+        return df.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
+    return df.filter(F.col("symbol").isin(list(symbols)))
 
 
 def in_range(df: DataFrame, start: date | str | None, end: date | str | None) -> DataFrame:
