@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from datetime import date, datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,14 +18,18 @@ from .landing import conform, stamp_version
 def only_symbols(df: DataFrame, symbols: Sequence[str] | DataFrame | None) -> DataFrame:
     """Keep the given symbols; ``None`` keeps all (Q01).
 
-    A list, of whatever length, becomes a filter that reaches the scan; a frame is joined.
-    Hand in a frame for more symbols than one would write down.
+    A list, of whatever length, is joined, and the range it spans is a filter that reaches
+    the scan, where files in key order let it prune.
     """
     if symbols is None or "symbol" not in df.columns:
         return df
     if isinstance(symbols, DataFrame):
         return df.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
-    return df.filter(F.col("symbol").isin(list(symbols)))
+    names = sorted({s for s in symbols if s is not None})
+    if not names:
+        return df.filter(F.lit(False))
+    wanted = df.sparkSession.createDataFrame(pa.table({"symbol": pa.array(names, pa.string())}))
+    return df.filter(F.col("symbol").between(names[0], names[-1])).join(wanted, "symbol", "left_semi")
 
 
 def in_range(df: DataFrame, start: date | str | None, end: date | str | None) -> DataFrame:
@@ -157,11 +162,15 @@ class VersionedStore(Source):
     """One directory per table: ``root/<table>/snap=<n>/`` of append-only parquet.
 
     Date-keyed tables are partitioned by ``date_year`` so that date filters prune
-    directories.  Compaction writes the next snapshot beside the current one and
-    readers move over when its ``_SUCCESS`` marker exists; a lost executor or a
-    failed job leaves the old snapshot in place.  One writer per table at a time.
+    directories; files are sorted by key, so that their statistics prune symbols.
+    Compaction writes the next snapshot beside the current one and readers move over
+    when the store has put its own marker there (Spark's counts too, where a committer
+    writes one); a lost executor or a failed job leaves the old snapshot in place.
+    A table folder with data and no marked snapshot raises.  One writer per table at a time.
     """
 
+    MARKERS = ("_snapshot_ready", "_SUCCESS")
+
     def __init__(self, spark: SparkSession, root: str, catalog: Catalog | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -177,15 +186,26 @@ class VersionedStore(Source):
         path, fs = self._fs(f"{self.root}/{table}")
         if not fs.exists(path):
             return []
-        found = []
+        found, unmarked = [], []
         for status in fs.listStatus(path):
             name = status.getPath().getName()
             if name.startswith("snap="):
-                marker, _ = self._fs(f"{self.root}/{table}/{name}/_SUCCESS")
-                if fs.exists(marker):
+                inside = [s.getPath().getName() for s in fs.listStatus(status.getPath())]
+                if any(m in inside for m in self.MARKERS):
                     found.append(int(name.split("=")[1]))
+                elif any(not n.startswith(("_", ".")) for n in inside):
+                    unmarked.append(name)
+        if unmarked and not found:
+            raise ValueError(
+                f"table {table!r} has data in {', '.join(sorted(unmarked))} but no finished snapshot; "
+                f"add a file {self.MARKERS[0]} to a folder that is whole")
         return sorted(found)
 
+    def _mark(self, path: str) -> None:
+        marker, fs = self._fs(f"{path}/{self.MARKERS[0]}")
+        if not fs.exists(marker):
+            fs.create(marker).close()
+
     def path(self, table: str) -> str | None:
         snaps = self._snapshots(table)
         return f"{self.root}/{table}/snap={snaps[-1]:06d}" if snaps else None
@@ -193,14 +213,19 @@ class VersionedStore(Source):
     def _write(self, df: DataFrame, spec: TableSpec, path: str, mode: str) -> None:
         writer_df = df
         partition: list[str] = []
+        order = [k for k in spec.keys if k in df.columns]
         if spec.by_date:
             partition = ["date_year"]
             # Few files per year; AQE splits a year that holds most of the rows.
             writer_df = df.withColumn("date_year", F.year("date")).hint("rebalance", "date_year")
+        # Within its files a table is in key order (after the directory): two symbols read few row groups.
+        if partition or order:
+            writer_df = writer_df.sortWithinPartitions(*partition, *order)
         writer = writer_df.write.mode(mode)
         if partition:
             writer = writer.partitionBy(*partition)
         writer.parquet(path)
+        self._mark(path)
 
     # -- writes ------------------------------------------------------------
     def create(self, table: str) -> None:

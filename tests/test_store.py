@@ -1,5 +1,8 @@
 import datetime as dt
+import pathlib
 
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 
@@ -132,3 +135,35 @@ def test_statement_read_collapses_periods_and_versions_in_one_shuffle(spark, sto
     assert PanelQuery(store).symbols("A").select("revenue").period("annual").execute().first()[2] == 400
     early = PanelQuery(store).symbols("A").select("revenue").version_as_of("2024-02-01 10:30:00")
     assert early.execute().first()["revenue"] == 100
+
+
+def _snapshot_folder(store, table):
+    return pathlib.Path(store.path(table).removeprefix("file:"))
+
+
+def test_a_snapshot_needs_no_marker_of_spark(spark, store, price_rows):
+    store.append("daily_price", _prices(spark, price_rows))
+    for name in ("_SUCCESS", "._SUCCESS.crc"):
+        (_snapshot_folder(store, "daily_price") / name).unlink(missing_ok=True)
+    assert store.row_count("daily_price") == 2
+
+
+def test_data_without_a_finished_snapshot_raises(spark, store, price_rows):
+    store.append("daily_price", _prices(spark, price_rows))
+    folder = _snapshot_folder(store, "daily_price")
+    for name in store.MARKERS:
+        (folder / name).unlink(missing_ok=True)
+    with pytest.raises(ValueError, match="no finished snapshot"):
+        store.read("daily_price")
+    with pytest.raises(ValueError, match="no finished snapshot"):
+        store.append("daily_price", _prices(spark, price_rows))
+
+
+def test_files_are_in_key_order(spark, store, price_rows):
+    rows = [dict(price_rows[0], symbol=s, date=f"2024-01-{d:02d}") for d in (9, 3, 5) for s in ("ZZ", "AA", "MM")]
+    store.append("daily_price", _prices(spark, rows))
+    files = list(_snapshot_folder(store, "daily_price").rglob("*.parquet"))
+    assert files
+    for file in files:
+        keys = pq.ParquetFile(file).read(["symbol", "date"]).to_pylist()
+        assert keys == sorted(keys, key=lambda r: (r["symbol"], r["date"]))
