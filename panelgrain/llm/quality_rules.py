@@ -16,14 +16,16 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import settled, table
 
 BUCKETS = 8192
 SMOOTHING = 1.0
-#: Trusted documents are a bounded sample of the labelled ones: the first by hashed id.
+#: The trusted multinomial is fitted to a bounded sample of the labelled documents: the first by hashed id.
 TRUSTED_LIMIT = 10_000
-#: Share of the trusted documents that may score below the threshold.
+#: Share of all trusted documents that may score below the threshold.
 TRUSTED_LOSS = 0.005
+#: Score bins a unit in which the threshold is found.
+BINS = 10_000
 BREAKS = r"[\x20\x09-\x0D]+"
 
 
@@ -89,8 +91,8 @@ def repeated_words() -> Column:
         lambda a: a["sum"])
 
 
-def quality_rules(docs: DataFrame, ratios: list[float], threshold: float) -> DataFrame:
-    """Base counts, score and verdict of every document."""
+def measured(docs: DataFrame, ratios: list[float]) -> DataFrame:
+    """Score, base counts and base verdict of every document."""
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != "")
     scored = with_score(docs, ratios).withColumn("windows", pairs(3)).withColumn("lines", lines)
     repeats = F.size("windows") != F.size(F.array_distinct("windows"))
@@ -103,25 +105,57 @@ def quality_rules(docs: DataFrame, ratios: list[float], threshold: float) -> Dat
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(repeated_words(), F.lit(0)).cast("long").alias("n_repeat_words"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return counted.withColumn("base_failed", failed).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("score") >= F.lit(threshold)))
+    return counted.withColumn("base_failed", failed)
+
+
+def with_verdict(counted: DataFrame, threshold: float) -> DataFrame:
+    return counted.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(threshold)))
+
+
+def quality_rules(docs: DataFrame, ratios: list[float], threshold: float) -> DataFrame:
+    """Base counts, score and verdict of every document."""
+    return with_verdict(measured(docs, ratios), threshold)
+
+
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    good = labels.where((F.col("quality") == 1) & (F.col("toxic") == 0) & F.col("doc_id").isNotNull())
+    return good.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+
+
+def fit_ratios(docs: DataFrame, labels: DataFrame, m: int = BUCKETS, limit: int = TRUSTED_LIMIT) -> list[float]:
+    """Log ratios.  The corpus counts cover all documents, the trusted ones a sample of at most
+    ``limit`` labelled ids, which bounds the broadcast."""
+    good = trusted_ids(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return log_ratios(gram_counts(texts.join(F.broadcast(good), "doc_id"), m), gram_counts(docs, m))
+
+
+def threshold_of(scored: DataFrame, labels: DataFrame, loss: float = TRUSTED_LOSS) -> float:
+    """The lower edge of the score bin below which at most ``loss`` of all trusted documents lie.
+
+    Bins are counted before the shuffle; a mean log ratio lies within some tens of 0, so that
+    their number does not depend on the number of documents.
+    """
+    width = F.floor(F.col("score") * BINS)
+    bins = sorted(scored.join(trusted_ids(labels), "doc_id").groupBy(width.alias("bin")).count().collect())
+    allowed = loss * sum(count for _, count in bins)
+    below = 0
+    for edge, count in bins:
+        below += count
+        if below > allowed:
+            return edge / BINS
+    return -math.inf
 
 
 def fit(docs: DataFrame, labels: DataFrame, m: int = BUCKETS, limit: int = TRUSTED_LIMIT,
         loss: float = TRUSTED_LOSS) -> tuple[list[float], float]:
-    """Log ratios and threshold.  The corpus counts cover all documents, the trusted ones a sample
-    of at most ``limit`` labelled ids, which bounds the broadcast."""
-    good = (labels.where((F.col("quality") == 1) & (F.col("toxic") == 0) & F.col("doc_id").isNotNull())
-            .select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    trusted = texts.join(F.broadcast(good), "doc_id")
-    ratios = log_ratios(gram_counts(trusted, m), gram_counts(docs, m))
-    low = with_score(trusted, ratios).agg(F.percentile("score", F.lit(loss))).first()[0]
-    return ratios, low if low is not None else -math.inf
+    """Log ratios and threshold."""
+    ratios = fit_ratios(docs, labels, m, limit)
+    return ratios, threshold_of(with_score(docs, ratios), labels, loss)
 
 
 def op9_quality_rules(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    ratios, threshold = fit(docs, table(spark, sf_dir, "labels"))
-    return quality_rules(docs, ratios, threshold)
+    """Counts and scores are written once, for the threshold and for the verdicts."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    counted = settled(measured(docs, fit_ratios(docs, labels)))
+    return with_verdict(counted, threshold_of(counted, labels))

@@ -126,6 +126,16 @@ def test_quality_rules(spark, make):
     assert quality_rules.quality_rules(make([]), *none).count() == 0
 
 
+def test_threshold_covers_all_trusted_documents(spark):
+    scored = spark.createDataFrame([(i, i / 1000 + 0.00005) for i in range(1000)] + [(None, -9.0)], "doc_id long, score double")
+    labels = spark.createDataFrame(
+        [(i, 1, 0) for i in range(0, 1000, 2)] * 2 + [(i, 1, 1) for i in range(1, 9, 2)] + [(None, 1, 0), (5000, 1, 0)],
+        "doc_id long, quality int, toxic int")
+    assert quality_rules.threshold_of(scored, labels, 0.01) == 0.01  # five of the 500 lie below
+    assert quality_rules.threshold_of(scored, labels, 0.0) == 0.0
+    assert quality_rules.threshold_of(scored.limit(0), labels) == -math.inf
+
+
 def test_log_ratios():
     r = quality_rules.log_ratios([3, 1], [5, 5], 1.0)
     assert r == [math.log(4 / 6) - math.log(6 / 12), math.log(2 / 6) - math.log(6 / 12)]
