@@ -28,8 +28,9 @@ def group_pe(
     return df.groupBy(*group).agg(ratio(F.sum(cap), F.sum(income)).alias("pe"))
 
 
-# Value ranges a group is cut into when ranks are counted.
-RANK_RANGES = 1024
+# Ranges of about equally many distinct values a group is cut into when ranks are counted.
+RANK_RANGES = 64
+CUTS = [k / RANK_RANGES for k in range(1, RANK_RANGES)]
 
 
 def peer_statistics(
@@ -38,24 +39,24 @@ def peer_statistics(
     """Each row's z-score, percentile rank and distance to the group median.
 
     The exact percentile rank (rows below / (rows − 1)) is counted in two levels:
-    distinct values are counted first, values are cut into ranges of equal width,
-    and running counts are taken over ranges and inside each range.  The exact median
-    is the value or pair of values whose counts cover the middle row.
+    distinct values are counted first, values are cut into ranges at approximate quantiles
+    of the group's own distinct values, and running counts are taken over ranges and inside
+    each range; where the cuts lie does not change the result.  The exact median
+    is the value or pair of values whose counts cover the middle row.  NULL and NaN are
+    missing: they are no peers and get NULL.
     """
     keys = list(group)
     v, c = F.col(value), F.col("__c")
     # Everything below works on distinct values per group; the rows are read once for
     # them and once more for the final joins.
-    counts = df.filter(v.isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
+    counts = df.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
     totals = counts.groupBy(*keys).agg(
         ratio(F.sum(v * c), F.sum(c)).alias("__mean"),
-        F.min(value).alias("__low"),
-        F.max(value).alias("__high"),
+        F.percentile_approx(value, CUTS, 1000).alias("__cuts"),
         F.sum(c).alias("__n"),
     )
-    place = ratio(v - F.col("__low"), F.col("__high") - F.col("__low"))
     ranged = counts.join(totals, keys).withColumn(
-        "__range", F.coalesce(F.floor(place * RANK_RANGES), F.lit(0))
+        "__range", F.size(F.filter("__cuts", lambda cut: cut < v))
     )
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranged.groupBy(*keys, "__range").agg(F.sum("__c").alias("__total"))

@@ -207,5 +207,10 @@ def grade_signals(long: int = 90) -> dict[str, Signal]:
     }
 
 
+def reach(signals: Mapping[str, Signal]) -> int:
+    """Days that the signals look back."""
+    return max(t.days for s in signals.values() for t in s.terms.values())
+
+
 def pick(signals: Mapping[str, Signal], names: Sequence[str]) -> dict[str, Signal]:
     return {n: signals[n] for n in names}

@@ -11,6 +11,9 @@ from ..functions.expr import by_symbol, ratio
 from . import recursive as R
 
 
+ROW = "__row"
+
+
 def _frame(n: int):
     return by_symbol().rowsBetween(-(n - 1), 0)
 
@@ -25,11 +28,15 @@ def sma(n: int) -> Column:
 
 
 def wma(n: int) -> Column:
-    """Linearly weighted mean, newest row heaviest."""
-    total = F.lit(0.0)
-    for age in range(n):
-        total = total + F.lag("close", age).over(by_symbol()) * float(n - age)
-    return total / F.lit(n * (n + 1) / 2.0)
+    """Linearly weighted mean, newest row heaviest; NULL if a row of the frame lacks its close.
+
+    Row i of the frame that ends at row r weighs n - r + i, so two sums do for any length;
+    ``__row`` is the number of each row.
+    """
+    row, frame = F.col(ROW), _frame(n)
+    total = (n - row) * F.sum("close").over(frame) + F.sum(row * F.col("close")).over(frame)
+    whole = (row >= n) & (F.count("close").over(frame) == n)
+    return F.when(whole, total / F.lit(n * (n + 1) / 2.0))
 
 
 def standard_deviation(n: int) -> Column:
@@ -60,7 +67,10 @@ def with_technical(df: DataFrame, wanted: Mapping[str, tuple[str, int]]) -> Data
         raise ValueError(f"unknown indicator {unknown[0]!r}")
     flat = {n: WINDOWED[k](p) for n, (k, p) in wanted.items() if k in WINDOWED}
     if flat:
-        df = df.select("*", *[c.alias(n) for n, c in flat.items()])
+        kept = df.columns
+        if any(k == "wma" for k, _ in wanted.values()):
+            df = df.withColumn(ROW, F.row_number().over(by_symbol()))
+        df = df.select(*kept, *[c.alias(n) for n, c in flat.items()])
     deep = {n: RECURSIVE[k](p) for n, (k, p) in wanted.items() if k in RECURSIVE}
     if deep:
         reads = ["high", "low", "close"] if any(k == "adx" for k, _ in wanted.values()) else ["close"]

@@ -45,6 +45,21 @@ def latest(df: DataFrame, keys: Sequence[str], **kw) -> DataFrame:
     return keep_newest(df, keys, 1, **kw)
 
 
+def newest_load(
+    df: DataFrame, keys: Sequence[str], when: datetime | str | None = None,
+    fetched_at: str = FETCHED_AT, batch: str = BATCH,
+) -> DataFrame:
+    """All rows that the newest load (up to ``when``) brought for each key.
+
+    For events, of which a key may hold several: a load that brings a key brings all its
+    events, so a corrected event replaces the old one and equal events stay apart.
+    """
+    if when is not None:
+        df = df.filter(F.col(fetched_at) <= F.lit(when).cast("timestamp"))
+    w = Window.partitionBy(*keys).orderBy(*_newest_first(df, fetched_at, batch))
+    return df.withColumn("__rank", F.rank().over(w)).filter(F.col("__rank") == 1).drop("__rank")
+
+
 def as_of_version(
     df: DataFrame, keys: Sequence[str], when: datetime | str, fetched_at: str = FETCHED_AT, **kw
 ) -> DataFrame:

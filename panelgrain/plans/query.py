@@ -12,7 +12,7 @@ single DataFrame plan that Catalyst optimises as a whole.  Shape of the plan:
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.context import FeatureSet
 from ..functions.features import default_registry
 from ..functions.registry import FeatureRegistry
+from ..operators import signals as S
 from ..operators.align import join_exact, join_period, join_snapshot
 from ..operators.asof import carry_forward
 from ..operators.rollup import roll_up
@@ -46,6 +47,7 @@ class PanelQuery:
         self._period: str | None = None
         self._native = False
         self._warm_up = False
+        self._warm_days: int | None = None
         self._calendar_lags = False
         self._inputs: dict[str, DataFrame] = {}
         self._keep_inputs = False
@@ -120,11 +122,18 @@ class PanelQuery:
         self._native = True
         return self
 
-    def warm_up(self) -> "PanelQuery":
-        """Let lags and rolling frames see rows before the start date."""
-        self._warm_up = True
+    def warm_up(self, days: int | None = None) -> "PanelQuery":
+        """Let lags and rolling frames see rows before the start date: all of them, or those of
+        so many days before it, which lets the scan prune older files."""
+        self._warm_up, self._warm_days = True, days
         return self
 
+    def _first_day(self) -> date | str | None:
+        """The first day that is read."""
+        if not self._warm_up or self._start is None:
+            return self._start
+        return None if self._warm_days is None else _as_date(self._start) - timedelta(self._warm_days)
+
     def lag_by(self, kind: str) -> "PanelQuery":
         """``rows`` (default), or ``calendar``: a lag of k means k years, from monthly grain up."""
         if kind not in ("rows", "calendar"):
@@ -281,7 +290,7 @@ class PanelQuery:
         return None if self._symbols is _EVERYTHING else self._symbols
 
     def _scan(self, spec: TableSpec, columns: Sequence[str], lower: bool) -> DataFrame:
-        start = self._start if lower and not self._warm_up else None
+        start = self._first_day() if lower else None
         args = (spec.name, columns, self._symbol_filter(), start, self._end, self._version_as_of)
         if "period" not in spec.keys or "period" not in self.source.frame(spec.name).columns:
             return self.source.scan(*args).select(*[k for k in spec.keys if k != "period"], *columns)
@@ -338,6 +347,8 @@ class PanelQuery:
             elif rolled:
                 # A native coarse table beside a rolled-up spine: its last row of the period.
                 right = roll_up(right, target, {c: "last" for c in cols}, on)
+            if not other.by_symbol and set(other.keys) != {"date"}:
+                raise ValueError(f"{name} is keyed by {', '.join(other.keys)}; only tables keyed by date alone join by date")
             if not other.by_symbol and (other_rolled or rolled or self.source.versioned(name)):
                 # Reduced to one row per date above: at most 366 rows a year.
                 right = F.broadcast(right)
@@ -383,6 +394,14 @@ class PanelQuery:
         day = self._as_of if self._as_of is not None else self._end
         return F.current_date() if day is None else F.lit(day).cast("date")
 
+    def _event_days(self, reach: int) -> tuple[date | None, date | str | None]:
+        """First and last day of the events that recent-event signals look at."""
+        if self._trailing:
+            start = self._first_day()
+            return None if start is None else _as_date(start) - timedelta(reach), self._end
+        last = self._as_of if self._as_of is not None else self._end
+        return None if last is None else _as_date(last) - timedelta(reach), last
+
     def _with_panel_features(self, df: DataFrame, panel: Sequence[str], target: Grain) -> DataFrame:
         families: dict[str, list[str]] = {}
         for name in panel:
@@ -399,20 +418,25 @@ class PanelQuery:
             return self._inputs[name]
         if name == "benchmark":
             prices = self.source.scan("daily_price", ["close"], [self._benchmark])
-            start = None if self._warm_up else self._start
-            prices = in_range(prices, start, self._end)
+            prices = in_range(prices, self._first_day(), self._end)
             spec = self.catalog["daily_price"]
             if spec.grain < target and target.timed:
                 prices = self._roll(prices, spec, ["close"], target)
             return prices.select("date", "close")
         if name == "insider_events":
-            # One row per trade: the stored key (symbol, date) would merge a day's trades.
-            rows = self.source.frame("insider_trades")
-            business = [c for c in rows.columns if not c.startswith("_") and c != "date_year"]
-            return rows.select(*business).distinct()
+            # A key (symbol, date) holds several trades: all rows of its newest load count.
+            first, last = self._event_days(S.reach(S.insider_signals()))
+            return self.source.scan(
+                "insider_trades", None, self._symbol_filter(), first, last, self._version_as_of,
+                whole_loads=True,
+            )
         raise ValueError(f"panel feature input {name!r} not given; pass it with using({name}=...)")
 
 
+def _as_date(day: date | str) -> date:
+    return date.fromisoformat(str(day)[:10])
+
+
 def discover(spark, registry: FeatureRegistry, category: str | None = None) -> DataFrame:
     """Registered features with category and dependencies (Q09)."""
     rows = []

@@ -70,6 +70,7 @@ class Source:
         where: Column | None = None,
         collapse: Sequence[str] = (),
         prefer: Sequence[Column] = (),
+        whole_loads: bool = False,
     ) -> DataFrame:
         """Newest version of each key, projected and filtered.
 
@@ -77,6 +78,7 @@ class Source:
         version choice and Catalyst pushes them and the projection down to the scan.
         ``collapse`` makes rows unique on those keys instead of the table's own,
         taking the first by ``prefer`` and then the newest, in one shuffle.
+        ``whole_loads`` keeps every row that a key's newest load brought (event tables).
         """
         spec = self.catalog[table]
         keys = list(spec.keys)
@@ -90,7 +92,10 @@ class Source:
         df = in_range(only_symbols(df, symbols), start, end)
         if where is not None:
             df = df.filter(where)
-        if versioned or collapse:
+        if whole_loads:
+            if versioned:
+                df = V.newest_load(df, [k for k in keys if k in df.columns], version_as_of)
+        elif versioned or collapse:
             live_keys = [k for k in collapse or keys if k in df.columns]
             if versioned and version_as_of is not None:
                 df = V.as_of_version(df, live_keys, version_as_of, prefer=prefer)
@@ -166,7 +171,9 @@ class VersionedStore(Source):
     Compaction writes the next snapshot beside the current one and readers move over
     when the store has put its own marker there (Spark's counts too, where a committer
     writes one); a lost executor or a failed job leaves the old snapshot in place.
-    A table folder with data and no marked snapshot raises.  One writer per table at a time.
+    A table folder with data and no marked snapshot raises.  One writer per table at a time:
+    a compaction that finds new files in the old snapshot when it is done gives up.
+    Superseded snapshots stay, for readers that opened them, until they are removed on request.
     """
 
     MARKERS = ("_snapshot_ready", "_SUCCESS")
@@ -201,6 +208,15 @@ class VersionedStore(Source):
                 f"add a file {self.MARKERS[0]} to a folder that is whole")
         return sorted(found)
 
+    def _files(self, path: str) -> set[str]:
+        root, fs = self._fs(path)
+        found, listed = set(), fs.listFiles(root, True)
+        while listed.hasNext():
+            file = listed.next().getPath()
+            if not file.getName().startswith(("_", ".")):
+                found.add(file.toString())
+        return found
+
     def _mark(self, path: str) -> None:
         marker, fs = self._fs(f"{path}/{self.MARKERS[0]}")
         if not fs.exists(marker):
@@ -262,15 +278,34 @@ class VersionedStore(Source):
 
     def compact(self, table: str, keep: int = 1) -> int:
         """Keep the newest ``keep`` versions per key; returns rows deleted."""
-        spec = self.catalog[table]
+        spec, source = self.catalog[table], self.path(table)
+        if source is None:
+            return 0
+        files = self._files(source)
         before = self.frame(table)
         report = V.compaction_report(before, spec.keys, keep).first()
         if report["deleted_rows"]:
             snaps = self._snapshots(table)
             target = f"{self.root}/{table}/snap={snaps[-1] + 1:06d}"
             self._write(V.keep_newest(before, spec.keys, keep), spec, target, "overwrite")
+            if self._files(source) != files:
+                folder, fs = self._fs(target)
+                fs.delete(folder, True)
+                raise RuntimeError(f"table {table!r} was written to while it was compacted; compact it again")
         return int(report["deleted_rows"])
 
+    def remove_superseded(self, table: str) -> int:
+        """Delete the snapshots before the newest one; returns how many.  No reader may still use them."""
+        old = self._snapshots(table)[:-1]
+        for n in old:
+            folder, fs = self._fs(f"{self.root}/{table}/snap={n:06d}")
+            fs.delete(folder, True)
+        return len(old)
+
+    def has_batch(self, table: str, batch_id: str) -> bool:
+        """Whether the table holds rows of a load; file statistics spare most of the reading."""
+        return not self.frame(table).filter(F.col(V.BATCH) == batch_id).isEmpty()
+
     # -- reads -------------------------------------------------------------
     def frame(self, table: str) -> DataFrame:
         spec = self.catalog[table]

@@ -18,14 +18,22 @@ def start_ingest(
 ) -> StreamingQuery:
     """Append every micro-batch as new versions; a late correction is simply a newer row.
 
-    The batch id goes into ``_batch_id`` (zero-padded, so it orders as text): a batch
-    replayed after a failure writes the same versions again and reads see one.
+    The batch id (zero-padded, so it orders as text) and the stream's own id go into
+    ``_batch_id``.  Only the first batch after a start can be a replay of one that was
+    written before a failure; it is left out if the table already holds it.
     """
     spec = store.catalog[table]
+    started = False
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        nonlocal started
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        label = f"{batch_id:012d}" + (f"@{stream_id}" if stream_id else "")
+        first, started = not started, True
+        if first and stream_id and store.has_batch(table, label):
+            return
         rows = batch if conformed else conform(batch, spec)
-        store.append_conformed(table, rows, batch_id=f"{batch_id:012d}")
+        store.append_conformed(table, rows, batch_id=label)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start() if available_now else writer.start()

@@ -170,3 +170,27 @@ def test_windowed_indicators(spark):
     assert out[3]["r"] == pytest.approx(-100 * (9 - 8) / (9 - 1))
     with pytest.raises(ValueError):
         TE.with_technical(df, {"x": ("vwma", 3)})
+
+
+def test_long_weighted_mean_equals_its_definition(spark):
+    closes = [float(k * 37 % 101) if k != 70 else None for k in range(300)]
+    df = spark.createDataFrame([("A", day(k), c) for k, c in enumerate(closes)],
+                               "symbol string, date date, close double")
+    got = [r["w"] for r in TE.with_technical(df, {"w": ("wma", 50)}).orderBy("date").collect()]
+    for k, value in enumerate(got):
+        frame = closes[k - 49:k + 1] if k >= 49 else [None]
+        expected = None if None in frame else sum((i + 1) * c for i, c in enumerate(frame)) / (50 * 51 / 2)
+        assert value == (None if expected is None else pytest.approx(expected))
+
+
+def test_peers_with_outlier_infinity_and_missing_values(spark):
+    values = [float(k % 40) for k in range(200)] + [1e12, float("inf"), float("nan"), None]
+    df = spark.createDataFrame([(k, "g", v) for k, v in enumerate(values)], "id int, g string, v double")
+    got = {r["id"]: r for r in PE.peer_statistics(df, "v", ["g"]).collect()}
+    known = [v for v in values if v is not None and v == v]
+    for k, v in enumerate(values):
+        if v is None or v != v:
+            assert got[k]["peer_percentile"] is None
+        else:
+            assert got[k]["peer_median"] == sorted(known)[len(known) // 2 - 1] / 2 + sorted(known)[len(known) // 2] / 2
+            assert got[k]["peer_percentile"] == pytest.approx(sum(x < v for x in known) / (len(known) - 1))

@@ -94,6 +94,9 @@ def test_warm_up(source):
     assert [r["return_1d"] for r in rows] == [None]
     rows = q(source, "return_1d").date_range("2024-01-16", None).warm_up().execute().collect()
     assert rows[0]["return_1d"] == pytest.approx(5 / 180)
+    near = q(source, "return_1d").date_range("2024-01-16", None).warm_up(days=1).execute()
+    assert near.first()["return_1d"] == pytest.approx(5 / 180)
+    assert "2024-01-15" in near._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_date_only_table(source):

@@ -5,6 +5,8 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from panelgrain import PanelQuery
+
 
 def _prices(spark, rows):
     return spark.createDataFrame(rows)
@@ -167,3 +169,43 @@ def test_files_are_in_key_order(spark, store, price_rows):
     for file in files:
         keys = pq.ParquetFile(file).read(["symbol", "date"]).to_pylist()
         assert keys == sorted(keys, key=lambda r: (r["symbol"], r["date"]))
+
+
+def test_a_load_during_compaction_stops_it(spark, store, price_rows, monkeypatch):
+    for n in range(3):
+        store.append("daily_price", _prices(spark, [dict(price_rows[0], close=float(n))]), f"2024-02-01 1{n}:00:00", n)
+    write = store._write
+
+    def late(df, spec, path, mode):
+        write(df, spec, path, mode)
+        if mode == "overwrite":
+            monkeypatch.setattr(store, "_write", write)
+            rows = store.frame("daily_price").limit(1)  # read from the new snapshot, added to the old one
+            write(rows.drop("date_year"), spec, path.replace("000001", "000000"), "append")
+
+    monkeypatch.setattr(store, "_write", late)
+    with pytest.raises(RuntimeError, match="while it was compacted"):
+        store.compact("daily_price")
+    assert store.path("daily_price").endswith("snap=000000") and store.row_count("daily_price") == 4
+    assert store.compact("daily_price") == 3
+    assert store.remove_superseded("daily_price") == 1 and store.remove_superseded("daily_price") == 0
+    assert store.row_count("daily_price") == 1 and store.read("daily_price").count() == 1
+
+
+def test_newest_load_keeps_equal_events_and_replaces_corrected_ones(spark, store):
+    def trade(price, shares=1):
+        return {"symbol": "A", "transactionDate": "2024-03-01", "acquisitionOrDisposition": "A",
+                "securitiesTransacted": shares, "price": float(price)}
+
+    frame = lambda rows: spark.createDataFrame(
+        rows, "symbol string, transactionDate string, acquisitionOrDisposition string, securitiesTransacted bigint, price double")
+    store.append("insider_trades", frame([trade(10), trade(7), trade(7)]), "2024-03-02", 1)
+    store.append("insider_trades", frame([trade(20), trade(7), trade(7)]), "2024-03-03", 2)
+    store.append("insider_trades", frame([dict(trade(500), transactionDate="2024-06-01")]), "2024-06-02", 3)
+    store.append("daily_price", spark.createDataFrame([("A", "2024-03-05", 1.0)], "symbol string, date string, close double"))
+    q = lambda: PanelQuery(store).symbols("A").select("insider_total_bought_90d").as_of("2024-03-31")
+    assert q().execute().first()["insider_total_bought_90d"] == 34.0
+    prices = store.scan("insider_trades", ["insider_price"], version_as_of="2024-03-02 12:00:00", whole_loads=True)
+    assert sorted(r["insider_price"] for r in prices.collect()) == [7.0, 7.0, 10.0]
+    plan = q().execute()._jdf.queryExecution().optimizedPlan().toString()
+    assert "2024-03-31" in plan and "2024-01-01" in plan

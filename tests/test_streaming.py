@@ -80,3 +80,21 @@ def test_late_correction_becomes_the_newest_version(spark, tmp_path):
     assert [r["px"] for r in store.read("ticks").collect()] == [2.0]
     assert [r["px"] for r in store.revisions("ticks", "A").collect()] == [1.0, 2.0]
     assert [r["_batch_id"] for r in store.revisions("ticks").collect()] == [f"{n:012d}" for n in (0, 1)]
+
+
+def test_a_replayed_batch_is_stored_once(spark, files, tmp_path):
+    spec = TableSpec("readings", Grain.DAILY, ("symbol", "date"), {"reading": FieldSpec("reading", "value", "double")})
+    store = VersionedStore(spark, str(tmp_path / "store"), default_catalog().add(spec))
+    live = stream(spark, files).select("symbol", F.col("ts").cast("string").alias("date"), "value",
+                                       F.col("ts").alias("_fetched_at"))
+    finish(SI.start_ingest(live, store, "readings", str(tmp_path / "cp")))
+    assert store.row_count("readings") == 60
+    # As if the stream had failed after the last write and before noting it.
+    commits = tmp_path / "cp" / "commits"
+    for name in ("2", ".2.crc"):
+        (commits / name).unlink(missing_ok=True)
+    finish(SI.start_ingest(live, store, "readings", str(tmp_path / "cp")))
+    assert store.row_count("readings") == 60
+    # Another stream with the same batch numbers is another load.
+    finish(SI.start_ingest(live, store, "readings", str(tmp_path / "cp2")))
+    assert store.row_count("readings") == 120

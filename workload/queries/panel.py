@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from panelgrain import FrameSource, PanelQuery
 from panelgrain.functions.registry import FeatureRegistry
 from panelgrain.operators import panel_features as PF
 from panelgrain.operators import signals as S
@@ -138,6 +139,23 @@ def _trailing(table, build, names, days):
     return run
 
 
+MID = "2024-01-15"
+
+
+def p16_p23_from_tables(spark, sf_dir):
+    """The builder reads the trades itself: three loads, of which the second corrects half of the
+    symbols and the third is newer than the version asked for; the as-of day lies among the trades."""
+    loads = F.array(*[F.struct(F.lit(f"2024-02-0{k}").cast("timestamp").alias("at"), F.lit(by).alias("by"))
+                      for k, by in ((1, 0.0), (2, 1.0), (3, 100.0))])
+    loaded = V.insider_events(spark, sf_dir).withColumn("load", F.explode(loads)).filter(
+        "load.by <> 1.0 OR CAST(symbol AS BIGINT) % 2 = 0")
+    trades = loaded.withColumns({
+        "insider_price": F.col("insider_price") + F.col("load.by"), "_fetched_at": F.col("load.at")}).drop("load")
+    source = FrameSource({"daily_price": V.event_days(spark, sf_dir), "insider_trades": trades})
+    q = PanelQuery(source, V.registry()).all_symbols().select("close", *PF.INSIDER)
+    return V.rounded(q.as_of(MID).version_as_of("2024-02-02 12:00:00").execute())
+
+
 def _back(n):
     return f"e.date >= s.date - {n}"
 
@@ -177,11 +195,11 @@ FROM event_days s LEFT JOIN ev e ON e.symbol = s.symbol AND e.date <= s.date
 GROUP BY s.symbol, s.date, s.close""")
 
 
-def _insider_sql(long, short):
+def _insider_sql(long, short, as_of=V.EVENTS_AS_OF, price="insider_price"):
     def since(n):
-        return f"date BETWEEN DATE '{V.EVENTS_AS_OF}' - {n} AND DATE '{V.EVENTS_AS_OF}'"
+        return f"date BETWEEN DATE '{as_of}' - {n} AND DATE '{as_of}'"
     a, d = "acquisition_or_disposition = 'A'", "acquisition_or_disposition = 'D'"
-    value = "securities_transacted * insider_price"
+    value = f"securities_transacted * {price}"
     return O.sql(f"""
 WITH per_symbol AS (
     SELECT symbol,
@@ -302,6 +320,9 @@ QUERIES = {
     "p13_p15_j08_membership": (p13_p15_membership, O.sql(P13)),
     "p16_p23_j07_insider_signals": (
         _signals("insider_events", S.insider_signals, PF.INSIDER, (90, 30)), _insider_sql(90, 30)),
+    "p16_p23_insider_signals_from_tables": (
+        p16_p23_from_tables,
+        _insider_sql(90, 30, MID, "(insider_price + CASE WHEN CAST(symbol AS BIGINT) % 2 = 0 THEN 1 ELSE 0 END)")),
     "p16_p23_insider_signals_14_7": (
         _signals("insider_events", S.insider_signals, PF.INSIDER, (14, 7)), _insider_sql(14, 7)),
     "p24_p27_senate_signals": (

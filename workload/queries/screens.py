@@ -278,6 +278,14 @@ def r21_peers(spark, sf_dir):
     return V.rounded(PE.peer_statistics(panel, "change_pct", ["date", "exchange_short"]))
 
 
+def r21_peers_outlier(spark, sf_dir):
+    """Some values lie a million times further out than the rest of their group."""
+    panel = V.query(spark, sf_dir).select("change_pct", "exchange_short").execute()
+    far = F.when(F.expr(FAR), F.col("change_pct") * 1e6).otherwise(F.col("change_pct"))
+    return V.rounded(PE.peer_statistics(panel.withColumn("change_pct", far), "change_pct", ["date", "exchange_short"]))
+
+
+FAR = "symbol LIKE '%7'"
 P = "PARTITION BY date, exchange_short"
 R21 = f"""
 SELECT symbol, date, exchange_short, {_r("change_pct")},
@@ -287,6 +295,8 @@ SELECT symbol, date, exchange_short, {_r("change_pct")},
        {O.r6(f"CASE WHEN count(*) OVER ({P}) > 1 THEN percent_rank() OVER ({P} ORDER BY d.change_pct) END")}
            AS peer_percentile
 FROM daily d JOIN snapshot USING (symbol)"""
+R21_OUTLIER = R21.replace(
+    "FROM daily d", f"FROM (SELECT * REPLACE (CASE WHEN {FAR} THEN change_pct * 1e6 ELSE change_pct END AS change_pct) FROM daily) d")
 
 QUERIES = {
     "r01_screener": (r01_screener, O.sql(R01)),
@@ -304,4 +314,5 @@ QUERIES = {
     "r19_insider_statistics": (r19_insider_statistics, O.sql(R19)),
     "r20_member_on_date": (r20_member_on_date, O.sql(R20)),
     "r21_peer_statistics": (r21_peers, O.sql(R21)),
+    "r21_peer_statistics_outlier": (r21_peers_outlier, O.sql(R21_OUTLIER)),
 }
