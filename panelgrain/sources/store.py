@@ -28,8 +28,11 @@ def only_symbols(df: DataFrame, symbols: Sequence[str] | DataFrame | None) -> Da
     names = sorted({s for s in symbols if s is not None})
     if not names:
         return df.filter(F.lit(False))
+    spanned = df.filter(F.col("symbol").between(names[0], names[-1]))
+    if names[0] == names[-1]:
+        return spanned  # the range is the list
     wanted = df.sparkSession.createDataFrame(pa.table({"symbol": pa.array(names, pa.string())}))
-    return df.filter(F.col("symbol").between(names[0], names[-1])).join(wanted, "symbol", "left_semi")
+    return spanned.join(wanted, "symbol", "left_semi")
 
 
 def in_range(df: DataFrame, start: date | str | None, end: date | str | None) -> DataFrame:
@@ -302,9 +305,39 @@ class VersionedStore(Source):
             fs.delete(folder, True)
         return len(old)
 
-    def has_batch(self, table: str, batch_id: str) -> bool:
-        """Whether the table holds rows of a load; file statistics spare most of the reading."""
-        return not self.frame(table).filter(F.col(V.BATCH) == batch_id).isEmpty()
+    def note_load(self, table: str, stream: str, batch_id: str) -> None:
+        """Write down, before a stream's batch is written, which files the table has."""
+        path = self.path(table)
+        lines = [batch_id, *sorted(self._files(path) if path else ())]
+        note, fs = self._fs(f"{self.root}/{table}/_loads/{stream}")
+        out = fs.create(note, True)
+        out.write(bytearray("\n".join(lines).encode()))
+        out.close()
+
+    def undo_load(self, table: str, stream: str, batch_id: str) -> int:
+        """Remove what a failed try of a noted batch has left: files that the note lacks and that hold
+        rows of this batch alone.  Returns how many.  After a compaction nothing is removed."""
+        note, fs = self._fs(f"{self.root}/{table}/_loads/{stream}")
+        path = self.path(table) or f"{self.root}/{table}/snap=000000"
+        if not fs.exists(note) or not fs.exists(self._fs(path)[0]):
+            return 0
+        stream_in = fs.open(note)
+        noted, *before = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream_in, "UTF-8").split("\n")
+        stream_in.close()
+        now = self._files(path)
+        if noted != batch_id or not now.issuperset(before):
+            return 0
+        new = sorted(now.difference(before))
+        if not new:
+            return 0
+        rows = self.spark.read.schema(f"{V.BATCH} string").parquet(*new)
+        other = rows.filter(~F.col(V.BATCH).eqNullSafe(batch_id)).select("_metadata.file_name").distinct()
+        foreign = {r[0] for r in other.collect()}
+        mine = [f for f in new if f.rsplit("/", 1)[-1] not in foreign]
+        for f in mine:
+            file, _ = self._fs(f)
+            fs.delete(file, False)
+        return len(mine)
 
     # -- reads -------------------------------------------------------------
     def frame(self, table: str) -> DataFrame:

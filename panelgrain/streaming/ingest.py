@@ -18,9 +18,9 @@ def start_ingest(
 ) -> StreamingQuery:
     """Append every micro-batch as new versions; a late correction is simply a newer row.
 
-    The batch id (zero-padded, so it orders as text) and the stream's own id go into
-    ``_batch_id``.  Only the first batch after a start can be a replay of one that was
-    written before a failure; it is left out if the table already holds it.
+    The batch id goes into ``_batch_id`` (zero-padded, so it orders as text).  Before a batch
+    is written the store notes its files; when the first batch after a start is a replay
+    of one that failed, wholly or partly written, what it left is removed first.
     """
     spec = store.catalog[table]
     started = False
@@ -28,10 +28,11 @@ def start_ingest(
     def write(batch: DataFrame, batch_id: int) -> None:
         nonlocal started
         stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        label = f"{batch_id:012d}" + (f"@{stream_id}" if stream_id else "")
-        first, started = not started, True
-        if first and stream_id and store.has_batch(table, label):
-            return
+        label = f"{batch_id:012d}"
+        if not started:
+            store.undo_load(table, stream_id, label)
+        started = True
+        store.note_load(table, stream_id, label)
         rows = batch if conformed else conform(batch, spec)
         store.append_conformed(table, rows, batch_id=label)
 
