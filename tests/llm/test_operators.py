@@ -431,6 +431,31 @@ def test_substring_dedup(spark, make):
     assert substring_dedup.repeated_spans(make([])).count() == 0
 
 
+def test_substring_dedup_of_single_units_and_cut_passages(spark, make):
+    line = "This one sentence has nine words and comes again."
+    inner = "the river ran past the mill. Nobody had opened its doors. Then at last the"
+    pairs = [
+        (1, f"Something new stands before it. {line} And new words follow here."),
+        (2, f"Quite different words come first. {line} Other things are said behind it."),
+        (3, f"All the while {inner} miller came back."), (4, f"Some say {inner} owner went away."),
+        (5, "Three short words. Nothing else here is repeated elsewhere."), (6, "Three short words. What follows is all its own."),
+        # the second unit is kept here for 8: the words it shares with 7 stay with it
+        (7, f"{line} Grey birds sang over there."), (8, f"{line} Grey birds sleep in that tree over the water."),
+        (9, "Grey birds sleep in that tree over the water. Once more."),
+    ]
+    docs = make(pairs)
+    spans = substring_dedup.repeated_spans(docs)
+    left = {r.doc_id: r.text for r in substring_dedup.remove_spans(docs, spans).collect()}
+    text = dict(pairs)
+    assert all(left[k] == text[k] for k in (1, 3, 5, 6))
+    assert left[2] == "Quite different words come first. . Other things are said behind it."
+    assert left[4] == "Some say  owner went away."
+    assert left[7] == ". Grey birds sang over there." and left[8] == ". Grey birds sleep in that tree over the water."
+    assert left[9] == ". Once more."
+    (words, keep), = ((r.n_words, r.keep_doc_id) for r in spans.collect() if r.doc_id == 4)
+    assert (words, keep) == (len(inner.split()), 3)
+
+
 # --- registered queries
 
 @needs_tables
