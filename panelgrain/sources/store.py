@@ -174,7 +174,9 @@ class VersionedStore(Source):
     Compaction writes the next snapshot beside the current one and readers move over
     when the store has put its own marker there (Spark's counts too, where a committer
     writes one); a lost executor or a failed job leaves the old snapshot in place.
-    A table folder with data and no marked snapshot raises.  One writer per table at a time:
+    A table folder with data and no marked snapshot raises.  Batches of streams lie beside the
+    snapshot in ``loads=<n>``, partitioned by stream and batch, so that a replay overwrites its own
+    partition alone; a compaction takes them into the next snapshot.  One writer per table at a time:
     a compaction that finds new files in the old snapshot when it is done gives up.
     Superseded snapshots stay, for readers that opened them, until they are removed on request.
     """
@@ -211,8 +213,15 @@ class VersionedStore(Source):
                 f"add a file {self.MARKERS[0]} to a folder that is whole")
         return sorted(found)
 
+    @staticmethod
+    def _loads(path: str) -> str:
+        """Where the stream batches of the snapshot in ``path`` are."""
+        return "/loads=".join(path.rsplit("/snap=", 1))
+
     def _files(self, path: str) -> set[str]:
         root, fs = self._fs(path)
+        if not fs.exists(root):
+            return set()
         found, listed = set(), fs.listFiles(root, True)
         while listed.hasNext():
             file = listed.next().getPath()
@@ -229,7 +238,8 @@ class VersionedStore(Source):
         snaps = self._snapshots(table)
         return f"{self.root}/{table}/snap={snaps[-1]:06d}" if snaps else None
 
-    def _write(self, df: DataFrame, spec: TableSpec, path: str, mode: str) -> None:
+    def _write(self, df: DataFrame, spec: TableSpec, path: str, mode: str, load: Sequence[str] = ()) -> None:
+        """``load``: columns that name a load, whose partitions alone are overwritten."""
         writer_df = df
         partition: list[str] = []
         order = [k for k in spec.keys if k in df.columns]
@@ -241,10 +251,13 @@ class VersionedStore(Source):
         if partition or order:
             writer_df = writer_df.sortWithinPartitions(*partition, *order)
         writer = writer_df.write.mode(mode)
-        if partition:
-            writer = writer.partitionBy(*partition)
+        if load:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
+        if load or partition:
+            writer = writer.partitionBy(*load, *partition)
         writer.parquet(path)
-        self._mark(path)
+        if not load:
+            self._mark(path)
 
     # -- writes ------------------------------------------------------------
     def create(self, table: str) -> None:
@@ -279,19 +292,28 @@ class VersionedStore(Source):
         stamped = stamp_version(rows, fetched_at, batch_id).select(*names)
         self._write(stamped, spec, target, "append")
 
+    def put_batch(self, table: str, rows: DataFrame, stream: str, batch_id: str) -> None:
+        """Write a stream's batch of stored column names; the same batch again takes the place of the first."""
+        spec = self.catalog[table]
+        self.create(table)
+        names = spec.schema(versioned=True).fieldNames()
+        stamped = stamp_version(rows, None, batch_id).select(
+            *names, F.lit(stream).alias("load_stream"), F.lit(batch_id).alias("load_batch"))
+        self._write(stamped, spec, self._loads(self.path(table)), "overwrite", ("load_stream", "load_batch"))
+
     def compact(self, table: str, keep: int = 1) -> int:
         """Keep the newest ``keep`` versions per key; returns rows deleted."""
         spec, source = self.catalog[table], self.path(table)
         if source is None:
             return 0
-        files = self._files(source)
+        files = self._files(source) | self._files(self._loads(source))
         before = self.frame(table)
         report = V.compaction_report(before, spec.keys, keep).first()
         if report["deleted_rows"]:
             snaps = self._snapshots(table)
             target = f"{self.root}/{table}/snap={snaps[-1] + 1:06d}"
             self._write(V.keep_newest(before, spec.keys, keep), spec, target, "overwrite")
-            if self._files(source) != files:
+            if self._files(source) | self._files(self._loads(source)) != files:
                 folder, fs = self._fs(target)
                 fs.delete(folder, True)
                 raise RuntimeError(f"table {table!r} was written to while it was compacted; compact it again")
@@ -301,44 +323,12 @@ class VersionedStore(Source):
         """Delete the snapshots before the newest one; returns how many.  No reader may still use them."""
         old = self._snapshots(table)[:-1]
         for n in old:
-            folder, fs = self._fs(f"{self.root}/{table}/snap={n:06d}")
-            fs.delete(folder, True)
+            path = f"{self.root}/{table}/snap={n:06d}"
+            for part in (self._loads(path), path):
+                folder, fs = self._fs(part)
+                fs.delete(folder, True)
         return len(old)
 
-    def note_load(self, table: str, stream: str, batch_id: str) -> None:
-        """Write down, before a stream's batch is written, which files the table has."""
-        path = self.path(table)
-        lines = [batch_id, *sorted(self._files(path) if path else ())]
-        note, fs = self._fs(f"{self.root}/{table}/_loads/{stream}")
-        out = fs.create(note, True)
-        out.write(bytearray("\n".join(lines).encode()))
-        out.close()
-
-    def undo_load(self, table: str, stream: str, batch_id: str) -> int:
-        """Remove what a failed try of a noted batch has left: files that the note lacks and that hold
-        rows of this batch alone.  Returns how many.  After a compaction nothing is removed."""
-        note, fs = self._fs(f"{self.root}/{table}/_loads/{stream}")
-        path = self.path(table) or f"{self.root}/{table}/snap=000000"
-        if not fs.exists(note) or not fs.exists(self._fs(path)[0]):
-            return 0
-        stream_in = fs.open(note)
-        noted, *before = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream_in, "UTF-8").split("\n")
-        stream_in.close()
-        now = self._files(path)
-        if noted != batch_id or not now.issuperset(before):
-            return 0
-        new = sorted(now.difference(before))
-        if not new:
-            return 0
-        rows = self.spark.read.schema(f"{V.BATCH} string").parquet(*new)
-        other = rows.filter(~F.col(V.BATCH).eqNullSafe(batch_id)).select("_metadata.file_name").distinct()
-        foreign = {r[0] for r in other.collect()}
-        mine = [f for f in new if f.rsplit("/", 1)[-1] not in foreign]
-        for f in mine:
-            file, _ = self._fs(f)
-            fs.delete(file, False)
-        return len(mine)
-
     # -- reads -------------------------------------------------------------
     def frame(self, table: str) -> DataFrame:
         spec = self.catalog[table]
@@ -349,7 +339,12 @@ class VersionedStore(Source):
         # The stored year is kept in the read schema so that filters on date can
         # be turned into directory pruning by in_range below.
         read_schema = schema.add("date_year", T.IntegerType()) if spec.by_date else schema
-        return self.spark.read.schema(read_schema).parquet(path)
+        stored = self.spark.read.schema(read_schema).parquet(path)
+        loads, fs = self._fs(self._loads(path))
+        if not fs.exists(loads):
+            return stored
+        streamed = self.spark.read.schema(read_schema).parquet(self._loads(path))
+        return stored.unionByName(streamed.select(*stored.columns))
 
     def scan(self, table, columns=None, symbols=None, start=None, end=None, version_as_of=None, **kw):
         spec = self.catalog[table]

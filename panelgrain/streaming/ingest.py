@@ -18,23 +18,16 @@ def start_ingest(
 ) -> StreamingQuery:
     """Append every micro-batch as new versions; a late correction is simply a newer row.
 
-    The batch id goes into ``_batch_id`` (zero-padded, so it orders as text).  Before a batch
-    is written the store notes its files; when the first batch after a start is a replay
-    of one that failed, wholly or partly written, what it left is removed first.
+    The batch id goes into ``_batch_id`` (zero-padded, so it orders as text).  Each batch is a
+    partition of its stream and number; a replay of one that failed, wholly or partly written,
+    overwrites that partition and nothing else.
     """
     spec = store.catalog[table]
-    started = False
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        nonlocal started
         stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        label = f"{batch_id:012d}"
-        if not started:
-            store.undo_load(table, stream_id, label)
-        started = True
-        store.note_load(table, stream_id, label)
         rows = batch if conformed else conform(batch, spec)
-        store.append_conformed(table, rows, batch_id=label)
+        store.put_batch(table, rows, stream_id, f"{batch_id:012d}")
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start() if available_now else writer.start()

@@ -99,3 +99,34 @@ def test_a_replayed_batch_is_stored_once(spark, files, tmp_path):
     # Another stream with the same batch numbers is another load.
     finish(SI.start_ingest(live, store, "readings", str(tmp_path / "cp2")))
     assert store.row_count("readings") == 121
+
+
+def test_a_replay_leaves_other_streams_alone(spark, files, tmp_path):
+    spec = TableSpec("readings", Grain.DAILY, ("symbol", "date"), {"reading": FieldSpec("reading", "value", "double")})
+    store = VersionedStore(spark, str(tmp_path / "store"), default_catalog().add(spec))
+    names = "symbol string, date string, value double"
+    live = {}
+    for name in "AB":
+        spark.createDataFrame([(name, "2024-01-02", 1.0)], names).coalesce(1).write.json(str(tmp_path / name))
+        live[name] = spark.readStream.schema(names).json(str(tmp_path / name))
+    calls, put = [], VersionedStore._write
+
+    def failing(*args, **kw):
+        put(*args, **kw)
+        if not calls and args[1].count():
+            calls.append(1)
+            raise RuntimeError("after the write")
+
+    store._write = failing.__get__(store)
+    query = SI.start_ingest(live["A"], store, "readings", str(tmp_path / "cpA"))
+    with pytest.raises(Exception, match="after the write"):
+        query.awaitTermination()
+    del store._write
+    finish(SI.start_ingest(live["B"], store, "readings", str(tmp_path / "cpB")))  # its batch 0 too
+    finish(SI.start_ingest(live["A"], store, "readings", str(tmp_path / "cpA")))
+    assert sorted(r["symbol"] for r in store.frame("readings").collect()) == ["A", "B"]
+    # A compaction takes the batches into its snapshot, where later ones meet them.
+    store.append("readings", spark.createDataFrame([("A", "2024-01-02", 2.0)], names))
+    assert store.compact("readings") == 1 and store.row_count("readings") == 2
+    assert store.remove_superseded("readings") == 1
+    assert [r["reading"] for r in store.read("readings").collect()] == [2.0, 1.0]
