@@ -170,16 +170,21 @@ def _has_letter(text) -> bool:
     return text is not None and any(c.isalpha() for c in text)
 
 
+def _letters(text: pa.Array) -> np.ndarray:
+    ascii_letter = pc.fill_null(pc.match_substring_regex(text, "[A-Za-z]"), False).to_numpy(zero_copy_only=False)
+    letter = ascii_letter.copy()
+    for i in np.flatnonzero(~ascii_letter):
+        letter[i] = _has_letter(text[int(i)].as_py())
+    return letter
+
+
 def _predict(shared):
     def run(batches):
         model = Model.restored(shared.value)
         rows = model.lookup() if model else None
         for batch in chunks(batches):
             text = batch.column("text")
-            ascii_letter = pc.fill_null(pc.match_substring_regex(text, "[A-Za-z]"), False).to_numpy(zero_copy_only=False)
-            letter = ascii_letter.copy()
-            for i in np.flatnonzero(~ascii_letter):
-                letter[i] = _has_letter(text[int(i)].as_py())
+            letter = _letters(text)
             if model is None:
                 best, share = np.zeros(len(letter), int), np.zeros(len(letter))
                 names = np.array(["und"])
@@ -234,6 +239,15 @@ def with_language(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def with_letters(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text has a letter: those that a model gives a language."""
+    def run(batches):
+        for batch in batches:
+            for part in chunks([batch]):
+                yield part.filter(pa.array(_letters(part.column("text"))))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op6_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return identify(docs, fit(docs))

@@ -483,6 +483,17 @@ def test_query_covers_its_table(spark, number):
         assert sorted(r.doc_id for r in rows) == sorted(ids)
 
 
+def test_language_stage_without_a_model_keeps_what_has_letters(spark, make):
+    import corpus_pipeline
+
+    pairs = odd_texts()
+    docs = make(pairs, None)
+    got = corpus_pipeline._language(spark, docs, None)
+    assert got.columns == docs.columns
+    assert (counted((r.doc_id, r.text) for r in got.collect())
+            == counted((i, t) for i, t in pairs if t is not None and any(c.isalpha() for c in t)))
+
+
 @needs_tables
 def test_pipeline_equals_its_stages_by_brute_force(spark, library):
     import corpus_pipeline
