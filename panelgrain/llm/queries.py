@@ -7,15 +7,18 @@ import sys
 
 from . import (
     byte_bpe,
+    chat_format,
     decontamination,
     language_id,
     line_dedup,
+    merkle,
     pii,
     quality_classifier,
     quality_rules,
     sharding,
     simhash,
     substring_dedup,
+    whitening,
 )
 
 
@@ -37,5 +40,8 @@ QUERIES = {
     "op8_sharding": (sharding.op8_sharding, None),
     "op9_quality_rules": (quality_rules.op9_quality_rules, None),
     "op10_byte_bpe": (byte_bpe.op10_byte_bpe, None),
+    "op11_whitening": (whitening.op11_whitening, None),
+    "op12_merkle": (merkle.op12_merkle, merkle.SQL),
+    "op13_chat_format": (chat_format.op13_chat_format, chat_format.SQL),
     "pipeline": (pipeline, None),
 }
