@@ -52,12 +52,38 @@ def newest_load(
     """All rows that the newest load (up to ``when``) brought for each key.
 
     For events, of which a key may hold several: a load that brings a key brings all its
-    events, so a corrected event replaces the old one and equal events stay apart.
+    events, so a corrected event replaces the old one and equal events stay apart.  The newest
+    load of a key is a partial aggregate; the rows meet it in a join, where AQE splits a busy key.
     """
     if when is not None:
         df = df.filter(F.col(fetched_at) <= F.lit(when).cast("timestamp"))
-    w = Window.partitionBy(*keys).orderBy(*_newest_first(df, fetched_at, batch))
-    return df.withColumn("__rank", F.rank().over(w)).filter(F.col("__rank") == 1).drop("__rank")
+    stamps = [c for c in (fetched_at, batch) if c in df.columns]
+    newest = df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.max(F.struct(*stamps)).alias("__newest"))
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return df.join(newest, [*same, F.struct(*stamps).eqNullSafe(F.col("__newest"))], "left_semi")
+
+
+def descending(text: Column) -> Column:
+    """Text whose order is the reverse of ``text``'s; nulls come last."""
+    digits = "0123456789ABCDEF"
+    return F.coalesce(F.concat(F.translate(F.hex(text), digits, digits[::-1]), F.lit("G")), F.lit("Z"))
+
+
+def newest_before(
+    df: DataFrame, day: date | str, keys: Sequence[str] = ("symbol",), prefer: Sequence[Column] = (),
+    date_col: str = "date", fetched_at: str = FETCHED_AT, seq: Sequence[str] = (BATCH, SEQ),
+) -> DataFrame:
+    """One row per key: the newest version of its last row before ``day``.
+
+    ``prefer``: columns whose greatest value wins among rows of that day, before their age does.
+    A partial ``max_by``, so that a key's history is reduced before the shuffle.
+    """
+    stamps = [c for c in (fetched_at, *seq) if c in df.columns]
+    rest = [c for c in df.columns if c not in keys]
+    order = F.struct(F.col(date_col), *[p.alias(f"p{i}") for i, p in enumerate(prefer)], *stamps)
+    early = df.filter(F.col(date_col) < F.lit(day).cast("date"))
+    return (early.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__row"))
+            .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]))
 
 
 def as_of_version(
@@ -142,6 +168,39 @@ def coverage(
     )
 
 
+def coverage_gaps(
+    df: DataFrame, calendar: DataFrame, symbols: DataFrame | None = None, date_col: str = "date"
+) -> DataFrame:
+    """(symbol, from_date, to_date, missing_days): the stretches of ``calendar`` without a row.
+
+    ``calendar``: the days that should be there, in a ``date`` column; a symbol of ``symbols``
+    without any row lacks them all.  Days outside the calendar are ignored, nulls and repeated days too.
+    The result is a list of work: fetching its ranges fills the gaps.  A day knows its neighbours in the
+    calendar, so a gap is found between two rows of a symbol without listing the days in between.
+    """
+    w = Window.orderBy("date")  # one row a day: at most 366 a year
+    days = calendar.select(F.col("date").cast("date").alias("date")).where("date IS NOT NULL").distinct()
+    first, last, count = (days.agg(c).scalar() for c in (F.min("date"), F.max("date"), F.count(F.lit(1))))
+    days = days.select("date", F.row_number().over(w).alias("__n"), F.lag("date").over(w).alias("__before"),
+                       F.lead("date").over(w).alias("__after"))
+    by = Window.partitionBy("symbol").orderBy("date")
+    have = df.select("symbol", F.col(date_col).cast("date").alias("date")).where("symbol IS NOT NULL").distinct().join(days, "date")
+    at = have.select("symbol", "date", "__n", "__before", "__after", F.coalesce(F.lag("__n").over(by), F.lit(0)).alias("__prev"),
+                     F.lag("__after").over(by).alias("__from"), F.lead("__n").over(by).alias("__next"))
+    inner = at.where(F.col("__n") - F.col("__prev") > 1).select(
+        "symbol", F.coalesce("__from", first).alias("from_date"), F.col("__before").alias("to_date"),
+        (F.col("__n") - F.col("__prev") - 1).cast("bigint").alias("missing_days"))
+    tail = at.where(F.col("__next").isNull() & (F.col("__n") < count)).select(
+        "symbol", F.col("__after").alias("from_date"), last.alias("to_date"), (count - F.col("__n")).cast("bigint").alias("missing_days"))
+    wanted = (df if symbols is None else symbols).select("symbol").where("symbol IS NOT NULL").distinct()
+    absent = (wanted.join(have.select("symbol").distinct(), "symbol", "left_anti").where(count > 0)
+              .select("symbol", first.alias("from_date"), last.alias("to_date"), count.cast("bigint").alias("missing_days")))
+    found = inner.unionByName(tail)
+    if symbols is not None:
+        found = found.join(wanted, "symbol", "left_semi")
+    return found.unionByName(absent)
+
+
 def years_covered(df: DataFrame, date_col: str = "date") -> DataFrame:
     """Calendar years with at least one row."""
     return df.select(F.year(date_col).alias("year")).distinct()

@@ -24,12 +24,19 @@ from ..operators import signals as S
 from ..operators.align import join_exact, join_period, join_snapshot
 from ..operators.asof import carry_forward
 from ..operators.rollup import roll_up
+from ..operators.versions import descending
 from ..sources.catalog import ROLLUPS, TableSpec
 from ..sources.grain import Grain
 from ..sources.store import Source, in_range
 
 BENCHMARK = "^GSPC"
 _EVERYTHING = object()
+#: Stored tables behind the recent-event signals: table, columns and the names the signals know them by.
+EVENTS = {
+    "insider_events": ("insider_trades", {}, S.insider_signals),
+    "senate_events": ("senate_trades", {"senate_trade_type": "type"}, S.senate_signals),
+    "grade_events": ("grade_changes", {"grade_action": "action"}, S.grade_signals),
+}
 
 
 class PanelQuery:
@@ -289,20 +296,39 @@ class PanelQuery:
     def _symbol_filter(self):
         return None if self._symbols is _EVERYTHING else self._symbols
 
-    def _scan(self, spec: TableSpec, columns: Sequence[str], lower: bool) -> DataFrame:
-        start = self._first_day() if lower else None
+    def _by_period(self, spec: TableSpec) -> bool:
+        return "period" in spec.keys and "period" in self.source.frame(spec.name).columns
+
+    def _annual(self) -> tuple[Column, Column | None]:
+        """Whether a row is a full year's, and the filter on it."""
+        annual = F.coalesce(F.col("period") == "FY", F.lit(False))
+        return annual, {None: None, "annual": annual, "quarter": ~annual}[self._period]
+
+    def _scan(self, spec: TableSpec, columns: Sequence[str], start: date | str | None) -> DataFrame:
         args = (spec.name, columns, self._symbol_filter(), start, self._end, self._version_as_of)
-        if "period" not in spec.keys or "period" not in self.source.frame(spec.name).columns:
+        if not self._by_period(spec):
             return self.source.scan(*args).select(*[k for k in spec.keys if k != "period"], *columns)
         # Statements are keyed by period too; make them unique per (symbol, date).
         # Where a full-year and a quarterly row share a date, the quarterly one wins.
-        annual = F.coalesce(F.col("period") == "FY", F.lit(False))
-        where = {None: None, "annual": annual, "quarter": ~annual}[self._period]
+        annual, where = self._annual()
         df = self.source.scan(
             *args, where=where, collapse=("symbol", "date"), prefer=(annual, F.col("period"))
         )
         return df.drop("period")
 
+    def _carried(self, spec: TableSpec, columns: Sequence[str], target: Grain) -> DataFrame:
+        """Rows to carry forward: those in range, and per symbol the last one before it."""
+        start = self._first_day()
+        if start is None:
+            return self._scan(spec, columns, None)
+        first = target.first_day(start)  # a rolled-up row bears the first day of its period
+        where, prefer = None, ()
+        if self._by_period(spec):
+            annual, where = self._annual()
+            prefer = (~annual, descending(F.col("period")))
+        seeds = self.source.seeds(spec.name, columns, first, self._symbol_filter(), self._version_as_of, where, prefer)
+        return seeds.unionByName(self._scan(spec, columns, first).select(*seeds.columns))
+
     def _roll(self, df: DataFrame, spec: TableSpec, columns: Sequence[str], target: Grain) -> DataFrame:
         how = {c: self._rollups.get(c, self.catalog.resolve(c)[1].rollup) for c in columns}
         keys = [k for k in spec.keys if k == "symbol"]
@@ -312,11 +338,11 @@ class PanelQuery:
         spine_name = self._choose_spine(list(grouped), target)
         spec = self.catalog[spine_name]
         columns = grouped[spine_name]
-        df = self._scan(spec, columns, lower=True)
+        df = self._scan(spec, columns, self._first_day())
         if not spec.grain.timed:
             for name, cols in grouped.items():
                 if name != spine_name:
-                    df = join_snapshot(df, self._scan(self.catalog[name], cols, lower=True))
+                    df = join_snapshot(df, self._scan(self.catalog[name], cols, self._first_day()))
             return df, ["symbol"]
 
         for name in grouped:
@@ -336,10 +362,10 @@ class PanelQuery:
                 snapshots.append((other, cols))
                 continue
             later = other.grain > target and other.by_symbol and spec.by_symbol
-            right = self._scan(other, cols, lower=not later)
             if later:
-                carried.append((right, cols))
+                carried.append((self._carried(other, cols, target), cols))
                 continue
+            right = self._scan(other, cols, self._first_day())
             on = [k for k in ("symbol",) if k in other.keys and k in spec.keys]
             other_rolled = other.grain < target
             if other_rolled:
@@ -362,7 +388,7 @@ class PanelQuery:
         if carried:
             df = carry_forward(df, carried, how=self._carry)
         for other, cols in snapshots:
-            df = join_snapshot(df, self._scan(other, cols, lower=True))
+            df = join_snapshot(df, self._scan(other, cols, self._first_day()))
         return df, keys
 
     def _native_groups(self, derived: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
@@ -423,13 +449,15 @@ class PanelQuery:
             if spec.grain < target and target.timed:
                 prices = self._roll(prices, spec, ["close"], target)
             return prices.select("date", "close")
-        if name == "insider_events":
-            # A key (symbol, date) holds several trades: all rows of its newest load count.
-            first, last = self._event_days(S.reach(S.insider_signals()))
-            return self.source.scan(
-                "insider_trades", None, self._symbol_filter(), first, last, self._version_as_of,
+        if name in EVENTS and self.source.holds(EVENTS[name][0]):
+            # A key (symbol, date) holds several events: all rows of its newest load count.
+            table, columns, signals = EVENTS[name]
+            first, last = self._event_days(S.reach(signals()))
+            rows = self.source.scan(
+                table, columns or None, self._symbol_filter(), first, last, self._version_as_of,
                 whole_loads=True,
             )
+            return rows.withColumnsRenamed(columns)
         raise ValueError(f"panel feature input {name!r} not given; pass it with using({name}=...)")
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", memory: str = "8g", app: str = "panelgrain") -> SparkSession:
@@ -38,3 +38,11 @@ def shared_folder(spark: SparkSession, prefix: str) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="run-")
     return f"{base}/{prefix}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder and read from there."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark, "settled"))
+    return df.checkpoint()

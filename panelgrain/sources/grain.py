@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date as Day
+from datetime import timedelta
 from enum import IntEnum
 
 from pyspark.sql import Column
@@ -48,3 +50,11 @@ class Grain(IntEnum):
         date = F.col(date) if isinstance(date, str) else date
         # F.trunc has no day unit, and a DATE is already a day.
         return date if self.unit == "day" else F.trunc(date, self.unit)
+
+    def first_day(self, day: Day | str) -> Day:
+        """First day of the period holding the given day."""
+        day = Day.fromisoformat(str(day)[:10])
+        if self.unit == "week":
+            return day - timedelta(day.weekday())
+        month = {"month": day.month, "quarter": (day.month - 1) // 3 * 3 + 1, "year": 1}.get(self.unit)
+        return day if month is None else day.replace(month=month, day=1)

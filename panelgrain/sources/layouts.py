@@ -14,17 +14,17 @@ LAYOUTS = [
         ("low", "low", "double", "min"),
         ("close", "close", "double", "last"),
         ("adj_close", "adjClose", "double", "last"),
+        ("volume", "volume", "bigint", "sum"),
         ("vwap", "vwap", "double", "mean"),
         ("change", "change", "double", "sum"),
         ("change_pct", "changePercent", "double", "sum"),
-        ("volume", "volume", "bigint", "sum"),
     ]),
     ("income_statement", "QUARTERLY", ("symbol", "date", "period"), "financial_statements", "date", [
         ("reported_currency", "reportedCurrency", "string", "last"),
         ("cik", "cik", "string", "last"),
+        ("filling_date", "filingDate", "date", "last"),
         ("accepted_date", "acceptedDate", "string", "last"),
         ("calendar_year", "fiscalYear", "string", "last"),
-        ("filling_date", "filingDate", "date", "last"),
         ("revenue", "revenue", "bigint", "sum"),
         ("cost_of_revenue", "costOfRevenue", "bigint", "sum"),
         ("gross_profit", "grossProfit", "bigint", "sum"),
@@ -36,6 +36,8 @@ LAYOUTS = [
         ("interest_expense", "interestExpense", "bigint", "sum"),
         ("ebitda", "ebitda", "bigint", "sum"),
         ("net_income", "netIncome", "bigint", "sum"),
+        ("eps", "eps", "double", "sum"),
+        ("eps_diluted", "epsDiluted", "double", "sum"),
         ("weighted_avg_shares", "weightedAverageShsOut", "bigint", "last"),
         ("weighted_avg_shares_diluted", "weightedAverageShsOutDil", "bigint", "last"),
         ("income_before_tax", "incomeBeforeTax", "bigint", "sum"),
@@ -44,14 +46,12 @@ LAYOUTS = [
         ("cost_and_expenses", "costAndExpenses", "bigint", "sum"),
         ("other_expenses", "otherExpenses", "bigint", "sum"),
         ("total_other_income", "totalOtherIncomeExpensesNet", "bigint", "sum"),
-        ("eps", "eps", "double", "sum"),
-        ("eps_diluted", "epsDiluted", "double", "sum"),
     ]),
     ("balance_sheet", "QUARTERLY", ("symbol", "date", "period"), "financial_statements", "date", [
         ("reported_currency", "reportedCurrency", "string", "last"),
         ("cik", "cik", "string", "last"),
-        ("calendar_year", "fiscalYear", "string", "last"),
         ("filling_date", "filingDate", "date", "last"),
+        ("calendar_year", "fiscalYear", "string", "last"),
         ("cash_and_equivalents", "cashAndCashEquivalents", "bigint", "last"),
         ("short_term_investments", "shortTermInvestments", "bigint", "last"),
         ("net_receivables", "netReceivables", "bigint", "last"),
@@ -89,8 +89,8 @@ LAYOUTS = [
     ("cash_flow", "QUARTERLY", ("symbol", "date", "period"), "financial_statements", "date", [
         ("reported_currency", "reportedCurrency", "string", "last"),
         ("cik", "cik", "string", "last"),
-        ("calendar_year", "fiscalYear", "string", "last"),
         ("filling_date", "filingDate", "date", "last"),
+        ("calendar_year", "fiscalYear", "string", "last"),
         ("net_income_cf", "netIncome", "bigint", "sum"),
         ("depreciation", "depreciationAndAmortization", "bigint", "sum"),
         ("stock_based_compensation", "stockBasedCompensation", "bigint", "sum"),
@@ -109,8 +109,6 @@ LAYOUTS = [
         ("calendar_year", "fiscalYear", "string", "last"),
         ("market_cap", "marketCap", "bigint", "last"),
         ("enterprise_value", "enterpriseValue", "bigint", "last"),
-        ("invested_capital", "investedCapital", "bigint", "last"),
-        ("working_capital_km", "workingCapital", "bigint", "last"),
         ("ev_to_sales", "evToSales", "double", "last"),
         ("ev_to_ebitda", "evToEBITDA", "double", "last"),
         ("ev_to_fcf", "evToFreeCashFlow", "double", "last"),
@@ -126,6 +124,8 @@ LAYOUTS = [
         ("return_on_capital_employed_km", "returnOnCapitalEmployed", "double", "last"),
         ("return_on_tangible_assets_km", "returnOnTangibleAssets", "double", "last"),
         ("net_debt_to_ebitda_km", "netDebtToEBITDA", "double", "last"),
+        ("invested_capital", "investedCapital", "bigint", "last"),
+        ("working_capital_km", "workingCapital", "bigint", "last"),
         ("graham_number_km", "grahamNumber", "double", "last"),
         ("income_quality", "incomeQuality", "double", "last"),
     ]),
@@ -162,7 +162,6 @@ LAYOUTS = [
     ]),
     ("quote", "SNAPSHOT", ("symbol",), "realtime_quotes", "date", [
         ("quote_name", "name", "string", "last"),
-        ("exchange", "exchange", "string", "last"),
         ("price", "price", "double", "last"),
         ("quote_change", "change", "double", "last"),
         ("quote_change_pct", "changePercentage", "double", "last"),
@@ -170,12 +169,13 @@ LAYOUTS = [
         ("day_high", "dayHigh", "double", "last"),
         ("year_low", "yearLow", "double", "last"),
         ("year_high", "yearHigh", "double", "last"),
+        ("quote_market_cap", "marketCap", "bigint", "last"),
         ("price_avg_50", "priceAvg50", "double", "last"),
         ("price_avg_200", "priceAvg200", "double", "last"),
+        ("quote_volume", "volume", "bigint", "last"),
         ("quote_open", "open", "double", "last"),
         ("previous_close", "previousClose", "double", "last"),
-        ("quote_market_cap", "marketCap", "bigint", "last"),
-        ("quote_volume", "volume", "bigint", "last"),
+        ("exchange", "exchange", "string", "last"),
     ]),
     ("profile", "SNAPSHOT", ("symbol",), "company_profiles", "date", [
         ("company_name", "companyName", "string", "last"),
@@ -193,8 +193,8 @@ LAYOUTS = [
         ("website", "website", "string", "last"),
         ("ipo_date", "ipoDate", "date", "last"),
         ("beta", "beta", "double", "last"),
-        ("profile_price", "price", "double", "last"),
         ("profile_market_cap", "marketCap", "bigint", "last"),
+        ("profile_price", "price", "double", "last"),
         ("profile_volume", "volume", "bigint", "last"),
         ("is_etf", "isEtf", "boolean", "last"),
         ("is_fund", "isFund", "boolean", "last"),
@@ -289,13 +289,13 @@ LAYOUTS = [
         ("est_ebitda_low", "ebitdaLow", "bigint", "last"),
         ("est_ebitda_high", "ebitdaHigh", "bigint", "last"),
         ("est_ebitda_avg", "ebitdaAvg", "bigint", "last"),
+        ("est_eps_low", "epsLow", "double", "last"),
+        ("est_eps_high", "epsHigh", "double", "last"),
+        ("est_eps_avg", "epsAvg", "double", "last"),
         ("est_net_income_low", "netIncomeLow", "bigint", "last"),
         ("est_net_income_high", "netIncomeHigh", "bigint", "last"),
         ("est_net_income_avg", "netIncomeAvg", "bigint", "last"),
         ("est_sga_avg", "sgaExpenseAvg", "bigint", "last"),
-        ("est_eps_low", "epsLow", "double", "last"),
-        ("est_eps_high", "epsHigh", "double", "last"),
-        ("est_eps_avg", "epsAvg", "double", "last"),
         ("num_analysts_revenue", "numAnalystsRevenue", "int", "last"),
         ("num_analysts_eps", "numAnalystsEps", "int", "last"),
     ]),
@@ -355,11 +355,11 @@ LAYOUTS = [
     ("historical_institutional", "QUARTERLY", ("symbol", "date"), "sec_filings", "date", [
         ("hist_inst_holders", "investorsHolding", "int", "last"),
         ("hist_inst_holders_change", "investorsHoldingChange", "int", "last"),
-        ("hist_inst_new_positions", "newPositions", "int", "last"),
-        ("hist_inst_closed_positions", "closedPositions", "int", "last"),
         ("hist_inst_invested", "totalInvested", "bigint", "last"),
         ("hist_inst_invested_change", "totalInvestedChange", "bigint", "last"),
         ("hist_inst_ownership_pct", "ownershipPercent", "double", "last"),
+        ("hist_inst_new_positions", "newPositions", "int", "last"),
+        ("hist_inst_closed_positions", "closedPositions", "int", "last"),
         ("hist_inst_put_call_ratio", "putCallRatio", "double", "last"),
     ]),
     ("delisted_companies", "SNAPSHOT", ("symbol",), "static_lists", "date", [
@@ -373,16 +373,16 @@ LAYOUTS = [
         ("reporting_cik", "reportingCik", "string", "last"),
         ("company_cik", "companyCik", "string", "last"),
         ("transaction_type", "transactionType", "string", "last"),
+        ("securities_owned", "securitiesOwned", "bigint", "last"),
         ("reporting_name", "reportingName", "string", "last"),
         ("type_of_owner", "typeOfOwner", "string", "last"),
         ("acquisition_or_disposition", "acquisitionOrDisposition", "string", "last"),
         ("direct_or_indirect", "directOrIndirect", "string", "last"),
         ("form_type", "formType", "string", "last"),
-        ("security_name", "securityName", "string", "last"),
-        ("insider_url", "url", "string", "last"),
-        ("securities_owned", "securitiesOwned", "bigint", "last"),
         ("securities_transacted", "securitiesTransacted", "bigint", "last"),
         ("insider_price", "price", "double", "last"),
+        ("security_name", "securityName", "string", "last"),
+        ("insider_url", "url", "string", "last"),
     ]),
     ("mergers_acquisitions", "DAILY", ("symbol", "date"), "sec_filings", "transactionDate", [
         ("ma_company_name", "companyName", "string", "last"),
@@ -418,21 +418,21 @@ LAYOUTS = [
         ("ipo_company", "company", "string", "last"),
         ("ipo_exchange", "exchange", "string", "last"),
         ("ipo_actions", "actions", "string", "last"),
-        ("ipo_price_range", "priceRange", "string", "last"),
         ("ipo_shares", "shares", "bigint", "last"),
+        ("ipo_price_range", "priceRange", "string", "last"),
         ("ipo_market_cap", "marketCap", "bigint", "last"),
     ]),
     ("economic_calendar", "DAILY", ("date",), "daily_historical", "date", [
         ("econ_country", "country", "string", "last"),
         ("econ_event", "event", "string", "last"),
         ("econ_currency", "currency", "string", "last"),
-        ("econ_impact", "impact", "string", "last"),
-        ("econ_unit", "unit", "string", "last"),
         ("econ_previous", "previous", "double", "last"),
         ("econ_estimate", "estimate", "double", "last"),
         ("econ_actual", "actual", "double", "last"),
         ("econ_change", "change", "double", "last"),
+        ("econ_impact", "impact", "string", "last"),
         ("econ_change_pct", "changePercentage", "double", "last"),
+        ("econ_unit", "unit", "string", "last"),
     ]),
     ("income_statement_ttm", "SNAPSHOT", ("symbol",), "financial_statements", "date", [
         ("ttm_revenue", "revenue", "bigint", "last"),
@@ -447,18 +447,15 @@ LAYOUTS = [
         ("ttm_ebitda", "ebitda", "bigint", "last"),
         ("ttm_ebit", "ebit", "bigint", "last"),
         ("ttm_net_income", "netIncome", "bigint", "last"),
+        ("ttm_eps", "eps", "double", "last"),
+        ("ttm_eps_diluted", "epsDiluted", "double", "last"),
         ("ttm_income_before_tax", "incomeBeforeTax", "bigint", "last"),
         ("ttm_income_tax_expense", "incomeTaxExpense", "bigint", "last"),
         ("ttm_da", "depreciationAndAmortization", "bigint", "last"),
-        ("ttm_eps", "eps", "double", "last"),
-        ("ttm_eps_diluted", "epsDiluted", "double", "last"),
     ]),
     ("key_metrics_ttm", "SNAPSHOT", ("symbol",), "financial_statements", "date", [
         ("ttm_market_cap", "marketCap", "bigint", "last"),
         ("ttm_ev", "enterpriseValueTTM", "bigint", "last"),
-        ("ttm_working_capital", "workingCapitalTTM", "bigint", "last"),
-        ("ttm_invested_capital", "investedCapitalTTM", "bigint", "last"),
-        ("ttm_tangible_asset_value", "tangibleAssetValueTTM", "bigint", "last"),
         ("ttm_ev_to_sales", "evToSalesTTM", "double", "last"),
         ("ttm_ev_to_ocf", "evToOperatingCashFlowTTM", "double", "last"),
         ("ttm_ev_to_fcf", "evToFreeCashFlowTTM", "double", "last"),
@@ -480,6 +477,9 @@ LAYOUTS = [
         ("ttm_dio", "daysOfInventoryOutstandingTTM", "double", "last"),
         ("ttm_ccc", "cashConversionCycleTTM", "double", "last"),
         ("ttm_graham_number", "grahamNumberTTM", "double", "last"),
+        ("ttm_working_capital", "workingCapitalTTM", "bigint", "last"),
+        ("ttm_invested_capital", "investedCapitalTTM", "bigint", "last"),
+        ("ttm_tangible_asset_value", "tangibleAssetValueTTM", "bigint", "last"),
     ]),
     ("ratios_ttm", "SNAPSHOT", ("symbol",), "financial_statements", "date", [
         ("ttm_gross_margin", "grossProfitMarginTTM", "double", "last"),
@@ -555,4 +555,11 @@ LAYOUTS = [
         ("growth_da", "growthDepreciationAndAmortization", "double", "last"),
         ("growth_net_change_cash", "growthNetChangeInCash", "double", "last"),
     ]),
+    # Event tables of the recent-event signals.
+    ("senate_trades", "DAILY", ("symbol", "date"), "senate", "transactionDate", [
+        ("senate_trade_type", "type", "string", "last"),
+    ]),
+    ("grade_changes", "DAILY", ("symbol", "date"), "analyst", "date", [
+        ("grade_action", "action", "string", "last"),
+    ]),
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from datetime import date, datetime
 
@@ -59,6 +60,10 @@ class Source:
         """Whether two tables of one grain are stored as one frame and can be read together."""
         return table == other
 
+    def holds(self, table: str) -> bool:
+        """Whether the source has the table, be it empty."""
+        return True
+
     def versioned(self, table: str) -> bool:
         return V.FETCHED_AT in self.frame(table).columns
 
@@ -109,6 +114,38 @@ class Source:
         empty = [F.lit(None).cast(types[c]).alias(c) for c in absent]
         return df.select(*present, *empty).select(*keys, *wanted)
 
+    def seeds(
+        self,
+        table: str,
+        columns: Sequence[str],
+        day: date | str,
+        symbols: Sequence[str] | DataFrame | None = None,
+        version_as_of: datetime | str | None = None,
+        where: Column | None = None,
+        prefer: Sequence[Column] = (),
+    ) -> DataFrame:
+        """One row per symbol: its last one before ``day``, from which a carry can start.
+
+        ``prefer``: columns whose greatest value wins among rows of one date.
+        """
+        spec = self.catalog[table]
+        df = self.until(table, day)
+        present = [c for c in columns if c in df.columns]
+        stamps = [c for c in (V.FETCHED_AT, V.BATCH, V.SEQ) if c in df.columns]
+        keys = [k for k in spec.keys if k in df.columns]
+        df = only_symbols(df.select(*keys, *[c for c in present if c not in keys], *stamps), symbols)
+        if where is not None:
+            df = df.filter(where)
+        if version_as_of is not None and V.FETCHED_AT in stamps:
+            df = df.filter(F.col(V.FETCHED_AT) <= F.lit(version_as_of).cast("timestamp"))
+        df = V.newest_before(df, day, prefer=prefer)
+        empty = [F.lit(None).cast(self.catalog.resolve(c)[1].spark_type).alias(c) for c in columns if c not in present]
+        return df.select("symbol", "date", *present, *empty).select("symbol", "date", *columns)
+
+    def until(self, table: str, day: date | str) -> DataFrame:
+        """At least all stored rows before ``day``."""
+        return self.frame(table)
+
     def read(self, table: str, symbols=None, start=None, end=None, columns=None) -> DataFrame:
         """Latest-version scan ordered by key."""
         spec = self.catalog[table]
@@ -159,6 +196,9 @@ class FrameSource(Source):
             self._made[id(given)] = given()
         return self._made[id(given)]
 
+    def holds(self, table: str) -> bool:
+        return table in self.frames
+
     def same_rows(self, table: str, other: str) -> bool:
         if table == other:
             return True
@@ -167,21 +207,19 @@ class FrameSource(Source):
 
 
 class VersionedStore(Source):
-    """One directory per table: ``root/<table>/snap=<n>/`` of append-only parquet.
-
-    Date-keyed tables are partitioned by ``date_year`` so that date filters prune
-    directories; files are sorted by key, so that their statistics prune symbols.
-    Compaction writes the next snapshot beside the current one and readers move over
-    when the store has put its own marker there (Spark's counts too, where a committer
-    writes one); a lost executor or a failed job leaves the old snapshot in place.
-    A table folder with data and no marked snapshot raises.  Batches of streams lie beside the
-    snapshot in ``loads=<n>``, partitioned by stream and batch, so that a replay overwrites its own
-    partition alone; a compaction takes them into the next snapshot.  One writer per table at a time:
-    a compaction that finds new files in the old snapshot when it is done gives up.
-    Superseded snapshots stay, for readers that opened them, until they are removed on request.
+    """One directory per table, ``root/<table>/load=<id>/``, of append-only parquet.
+
+    Date-keyed tables are partitioned by ``date_year`` below that, so that date filters prune
+    directories; files are sorted by key, so that their statistics prune symbols.  Appended rows are
+    the load ``rows``; each batch of a stream is a load of its own, which a replay overwrites.  A
+    compaction rewrites the years that hold surplus versions into ``rows`` by dynamic partition
+    overwrite and leaves the files of all other years alone (a table without dates is one part); it
+    notes which batches it took in, year by year, and a later replay of those adds nothing.  One writer per table at a time, and no reader of the
+    years that are rewritten; a compaction that failed is run again before the table is read.
     """
 
-    MARKERS = ("_snapshot_ready", "_SUCCESS")
+    ROWS = "rows"
+    TAKEN = "_taken"
 
     def __init__(self, spark: SparkSession, root: str, catalog: Catalog | None = None):
         self.spark = spark
@@ -194,78 +232,37 @@ class VersionedStore(Source):
         p = hadoop.Path(path)
         return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _snapshots(self, table: str) -> list[int]:
-        path, fs = self._fs(f"{self.root}/{table}")
-        if not fs.exists(path):
-            return []
-        found, unmarked = [], []
-        for status in fs.listStatus(path):
-            name = status.getPath().getName()
-            if name.startswith("snap="):
-                inside = [s.getPath().getName() for s in fs.listStatus(status.getPath())]
-                if any(m in inside for m in self.MARKERS):
-                    found.append(int(name.split("=")[1]))
-                elif any(not n.startswith(("_", ".")) for n in inside):
-                    unmarked.append(name)
-        if unmarked and not found:
-            raise ValueError(
-                f"table {table!r} has data in {', '.join(sorted(unmarked))} but no finished snapshot; "
-                f"add a file {self.MARKERS[0]} to a folder that is whole")
-        return sorted(found)
-
-    @staticmethod
-    def _loads(path: str) -> str:
-        """Where the stream batches of the snapshot in ``path`` are."""
-        return "/loads=".join(path.rsplit("/snap=", 1))
-
-    def _files(self, path: str) -> set[str]:
-        root, fs = self._fs(path)
-        if not fs.exists(root):
-            return set()
-        found, listed = set(), fs.listFiles(root, True)
-        while listed.hasNext():
-            file = listed.next().getPath()
-            if not file.getName().startswith(("_", ".")):
-                found.add(file.toString())
-        return found
-
-    def _mark(self, path: str) -> None:
-        marker, fs = self._fs(f"{path}/{self.MARKERS[0]}")
-        if not fs.exists(marker):
-            fs.create(marker).close()
+    def _exists(self, path: str) -> bool:
+        p, fs = self._fs(path)
+        return fs.exists(p)
 
     def path(self, table: str) -> str | None:
-        snaps = self._snapshots(table)
-        return f"{self.root}/{table}/snap={snaps[-1]:06d}" if snaps else None
-
-    def _write(self, df: DataFrame, spec: TableSpec, path: str, mode: str, load: Sequence[str] = ()) -> None:
-        """``load``: columns that name a load, whose partitions alone are overwritten."""
-        writer_df = df
-        partition: list[str] = []
-        order = [k for k in spec.keys if k in df.columns]
+        """The table's folder, if it has one."""
+        path = f"{self.root}/{table}"
+        return path if self._exists(path) else None
+
+    def _write(self, df: DataFrame, spec: TableSpec, load: str, mode: str) -> None:
+        """``overwrite`` replaces, of a date-keyed table, the load's years that ``df`` holds and no others."""
+        partition = []
         if spec.by_date:
             partition = ["date_year"]
             # Few files per year; AQE splits a year that holds most of the rows.
-            writer_df = df.withColumn("date_year", F.year("date")).hint("rebalance", "date_year")
+            df = df.withColumn("date_year", F.year("date")).hint("rebalance", "date_year")
         # Within its files a table is in key order (after the directory): two symbols read few row groups.
-        if partition or order:
-            writer_df = writer_df.sortWithinPartitions(*partition, *order)
-        writer = writer_df.write.mode(mode)
-        if load:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-        if load or partition:
-            writer = writer.partitionBy(*load, *partition)
-        writer.parquet(path)
-        if not load:
-            self._mark(path)
+        order = [*partition, *[k for k in spec.keys if k in df.columns]]
+        if order:
+            df = df.sortWithinPartitions(*order)
+        writer = df.write.mode(mode)
+        if partition:
+            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition)
+        writer.parquet(f"{self.root}/{spec.name}/load={load}")
 
     # -- writes ------------------------------------------------------------
     def create(self, table: str) -> None:
         """An empty typed table."""
         spec = self.catalog[table]
         if self.path(table) is None:
-            empty = self.spark.createDataFrame([], spec.schema(versioned=True))
-            self._write(empty, spec, f"{self.root}/{table}/snap=000000", "append")
+            self._write(self.spark.createDataFrame([], spec.schema(versioned=True)), spec, self.ROWS, "append")
 
     def append(
         self,
@@ -287,64 +284,79 @@ class VersionedStore(Source):
     ) -> None:
         """Append rows that already have the stored column names."""
         spec = self.catalog[table]
-        target = self.path(table) or f"{self.root}/{table}/snap=000000"
         names = spec.schema(versioned=True).fieldNames()
-        stamped = stamp_version(rows, fetched_at, batch_id).select(*names)
-        self._write(stamped, spec, target, "append")
+        self._write(stamp_version(rows, fetched_at, batch_id).select(*names), spec, self.ROWS, "append")
 
     def put_batch(self, table: str, rows: DataFrame, stream: str, batch_id: str) -> None:
-        """Write a stream's batch of stored column names; the same batch again takes the place of the first."""
+        """Write a stream's batch of stored column names; the same batch again takes the place of the first.
+
+        Rows of years in which a compaction has taken the batch in are left out.
+        """
         spec = self.catalog[table]
-        self.create(table)
+        load = f"batch-{stream}.{batch_id}"
         names = spec.schema(versioned=True).fieldNames()
-        stamped = stamp_version(rows, None, batch_id).select(
-            *names, F.lit(stream).alias("load_stream"), F.lit(batch_id).alias("load_batch"))
-        self._write(stamped, spec, self._loads(self.path(table)), "overwrite", ("load_stream", "load_batch"))
+        stamped = stamp_version(rows, None, batch_id).select(*names)
+        if self._exists(f"{self.root}/{table}/{self.TAKEN}"):
+            taken = self.spark.read.parquet(f"{self.root}/{table}/{self.TAKEN}").where(F.col("load") == load).distinct()
+            year = F.year("date") if spec.by_date else F.lit(None).cast("int")
+            stamped = stamped.join(taken, year.eqNullSafe(taken["taken_year"]), "left_anti")
+        self._write(stamped, spec, load, "overwrite")
 
     def compact(self, table: str, keep: int = 1) -> int:
-        """Keep the newest ``keep`` versions per key; returns rows deleted."""
-        spec, source = self.catalog[table], self.path(table)
-        if source is None:
+        """Keep the newest ``keep`` versions per key; returns rows deleted.
+
+        A partial aggregate finds the years with surplus versions; these alone are rewritten.
+        """
+        spec = self.catalog[table]
+        if self.path(table) is None:
+            return 0
+        stored = self._stored(table)
+        year = F.col("date_year") if spec.by_date else F.lit(None).cast("int")
+        per_key = stored.groupBy(year.alias("year"), *spec.keys).agg(F.count(F.lit(1)).alias("n"))
+        surplus = dict(per_key.where(F.col("n") > keep).groupBy("year").agg(F.sum(F.col("n") - keep)).collect())
+        if not surplus:
             return 0
-        files = self._files(source) | self._files(self._loads(source))
-        before = self.frame(table)
-        report = V.compaction_report(before, spec.keys, keep).first()
-        if report["deleted_rows"]:
-            snaps = self._snapshots(table)
-            target = f"{self.root}/{table}/snap={snaps[-1] + 1:06d}"
-            self._write(V.keep_newest(before, spec.keys, keep), spec, target, "overwrite")
-            if self._files(source) | self._files(self._loads(source)) != files:
-                folder, fs = self._fs(target)
-                fs.delete(folder, True)
-                raise RuntimeError(f"table {table!r} was written to while it was compacted; compact it again")
-        return int(report["deleted_rows"])
-
-    def remove_superseded(self, table: str) -> int:
-        """Delete the snapshots before the newest one; returns how many.  No reader may still use them."""
-        old = self._snapshots(table)[:-1]
-        for n in old:
-            path = f"{self.root}/{table}/snap={n:06d}"
-            for part in (self._loads(path), path):
-                folder, fs = self._fs(part)
-                fs.delete(folder, True)
-        return len(old)
+        full = [y for y in surplus if y is not None]
+        touched = stored.where(year.isin(full) | (year.isNull() if None in surplus else F.lit(False)))
+        loads = touched.where(~F.col("load").startswith(self.ROWS)).select("load", year.alias("taken_year")).distinct()
+        taken = [(r["load"], r["taken_year"]) for r in loads.collect()]  # folders, which Spark lists on the driver too
+        if taken:
+            notes = self.spark.createDataFrame(taken, "load string, taken_year int")
+            notes.write.mode("append").parquet(f"{self.root}/{table}/{self.TAKEN}")
+        names = spec.schema(versioned=True).fieldNames()
+        kept = V.keep_newest(touched, spec.keys, keep).select(*names)
+        if spec.by_date:
+            self._write(kept, spec, self.ROWS, "overwrite")
+            gone = [f"load={x}/date_year={'__HIVE_DEFAULT_PARTITION__' if y is None else y}" for x, y in taken]
+        else:  # a single part, which is not overwritten while it is read
+            gone = [f"load={r['load']}" for r in stored.select("load").distinct().collect()]
+            self._write(kept, spec, f"{self.ROWS}-{uuid.uuid4().hex}", "overwrite")
+        for part in gone:
+            folder, fs = self._fs(f"{self.root}/{table}/{part}")
+            fs.delete(folder, True)
+        return int(sum(surplus.values()))
 
     # -- reads -------------------------------------------------------------
-    def frame(self, table: str) -> DataFrame:
+    def _stored(self, table: str) -> DataFrame:
         spec = self.catalog[table]
-        schema = spec.schema(versioned=True)
+        schema = spec.schema(versioned=True).add("load", T.StringType())
+        # The stored year is kept in the read schema so that filters on date can
+        # be turned into directory pruning by scan below.
+        if spec.by_date:
+            schema = schema.add("date_year", T.IntegerType())
         path = self.path(table)
         if path is None:
             return self.spark.createDataFrame([], schema)
-        # The stored year is kept in the read schema so that filters on date can
-        # be turned into directory pruning by in_range below.
-        read_schema = schema.add("date_year", T.IntegerType()) if spec.by_date else schema
-        stored = self.spark.read.schema(read_schema).parquet(path)
-        loads, fs = self._fs(self._loads(path))
-        if not fs.exists(loads):
-            return stored
-        streamed = self.spark.read.schema(read_schema).parquet(self._loads(path))
-        return stored.unionByName(streamed.select(*stored.columns))
+        return self.spark.read.schema(schema).parquet(path)
+
+    def frame(self, table: str) -> DataFrame:
+        return self._stored(table).drop("load")
+
+    def until(self, table: str, day: date | str) -> DataFrame:
+        df = self.frame(table)
+        if not self.catalog[table].by_date:
+            return df
+        return df.filter(F.col("date_year") <= F.year(F.lit(day).cast("date"))).drop("date_year")
 
     def scan(self, table, columns=None, symbols=None, start=None, end=None, version_as_of=None, **kw):
         spec = self.catalog[table]
@@ -370,6 +382,9 @@ class VersionedStore(Source):
     def coverage(self, table: str, start=None, end=None) -> DataFrame:
         return V.coverage(self.frame(table), start, end)
 
+    def coverage_gaps(self, table: str, calendar: DataFrame, symbols: DataFrame | None = None) -> DataFrame:
+        return V.coverage_gaps(self.frame(table), calendar, symbols)
+
     def years_covered(self, table: str) -> DataFrame:
         return V.years_covered(self.frame(table))
 

@@ -1,7 +1,9 @@
 """Running exponential mean per symbol over a stream.
 
 The mean with adjusted weights is the quotient of two decayed sums; they are the
-whole state of a symbol, whatever the length of its history.
+whole state of a symbol, whatever the length of its history.  ``stream_ema`` takes rows
+as they arrive; ``stream_ema_in_time`` keeps them until the watermark has passed them and
+takes them in event time, so that the result does not depend on how the stream was cut.
 """
 
 from __future__ import annotations
@@ -24,9 +26,13 @@ class RunningEma(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("ema", STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        yield self.taken(pd.concat(list(rows)))
+
+    def taken(self, batch: pd.DataFrame) -> pd.DataFrame:
+        """``batch`` in order with its means; the state moves on behind it."""
         top, weight = self.state.get() if self.state.exists() else (0.0, 0.0)
-        batch = pd.concat(list(rows)).sort_values(self.order)
+        batch = batch.sort_values(self.order)
         out = []
         for x in batch[self.value].astype("float64"):
             top, weight = self.decay * top, self.decay * weight
@@ -35,7 +41,7 @@ class RunningEma(StatefulProcessor):
                 top, weight = top + x, weight + 1.0
             out.append(top / weight if known else None)
         self.state.update((top, weight))
-        yield batch.assign(ema=pd.Series(out, index=batch.index, dtype="float64"))
+        return batch.assign(ema=pd.Series(out, index=batch.index, dtype="float64"))
 
     def close(self) -> None:
         pass
@@ -49,3 +55,61 @@ def stream_ema(
     return stream.groupBy("symbol").transformWithStateInPandas(
         RunningEma(span, value, order), schema, outputMode="Append", timeMode="None"
     )
+
+
+class EventTimeEma(RunningEma):
+    """Rows wait in state until a timer at their time goes off, and are then taken in order."""
+
+    def __init__(self, span: int, value: str, order: tuple[str, ...], schema: T.StructType):
+        super().__init__(span, value, order)
+        self.names = schema.fieldNames()
+        # A timestamp is kept as its microseconds.
+        self.times = [f.name for f in schema if isinstance(f.dataType, T.TimestampType)]
+        self.waiting_schema = T.StructType(
+            [T.StructField(f.name, T.LongType() if f.name in self.times else f.dataType) for f in schema])
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.waiting_schema)
+
+    def wake(self, micros: int) -> None:
+        self.handle.registerTimer(-(-micros // 1000))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows))[self.names]
+        for name in self.times:
+            batch[name] = batch[name].astype("datetime64[us]").astype("int64")
+        self.waiting.appendList([tuple(r) for r in batch.astype(object).where(batch.notna(), None).itertuples(index=False)])
+        self.wake(int(batch[self.order[0]].min()))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        at = self.names.index(self.order[0])
+        rows = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        due, later = [r for r in rows if r[at] <= passed], [r for r in rows if r[at] > passed]
+        if later:
+            self.waiting.put(later)
+            self.wake(min(r[at] for r in later))
+        elif rows:
+            self.waiting.clear()
+        if due:
+            batch = pd.DataFrame(due, columns=self.names)
+            for name in self.times:
+                batch[name] = batch[name].astype("datetime64[us]")
+            yield self.taken(batch)
+
+
+def stream_ema_in_time(
+    stream: DataFrame, span: int, delay: str, value: str = "value", order: tuple[str, ...] = ("ts", "event_id")
+) -> DataFrame:
+    """Adds ``ema`` in the order of event time; ``order[0]`` is the event time, later ones break ties.
+
+    A row comes out once the watermark, ``delay`` behind the newest row, has passed it; rows that
+    arrive behind the watermark are dropped.  Only rows within the delay are kept.
+    """
+    schema = T.StructType(stream.schema.fields + [T.StructField("ema", T.DoubleType())])
+    return stream.withWatermark(order[0], delay).groupBy("symbol").transformWithStateInPandas(
+        EventTimeEma(span, value, order, stream.schema), schema, outputMode="Append", timeMode="EventTime"
+    )

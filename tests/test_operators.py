@@ -1,5 +1,6 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as hs
@@ -194,3 +195,31 @@ def test_peers_with_outlier_infinity_and_missing_values(spark):
         else:
             assert got[k]["peer_median"] == sorted(known)[len(known) // 2 - 1] / 2 + sorted(known)[len(known) // 2] / 2
             assert got[k]["peer_percentile"] == pytest.approx(sum(x < v for x in known) / (len(known) - 1))
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_a_long_series_spreads_over_tasks(spark, parts):
+    import random
+
+    from panelgrain.operators import recursive as R
+
+    rng = random.Random(2)
+    rows = [(("A", None, "B")[rng.randrange(8) // 3 % 3], k, None if rng.random() < 0.1 else rng.gauss(5, 2)) for k in range(4_000)]
+    df = spark.createDataFrame(rows, "symbol string, at long, value double").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = R.long_ema(df, 20, "value", ["at"])
+        got = {r["at"]: r["ema"] for r in out.collect()}
+        used = out.where("symbol = 'A'").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert (used > 1) == (parts > 1)
+    for symbol in ("A", None, "B"):
+        series = [(k, v) for s, k, v in rows if s == symbol]
+        want = R.ema(np.array([np.nan if v is None else v for _, v in series]), 20)
+        for (k, v), w in zip(series, want):
+            assert (got[k] is None) == (v is None) and (v is None or abs(got[k] - w) < 1e-9)
+    assert R.long_ema(df.limit(0), 20, "value", ["at"]).count() == 0

@@ -226,3 +226,45 @@ def test_benchmark_is_rolled_with_the_panel(spark):
     src = FrameSource({"daily_price": spark.createDataFrame(rows, "symbol string, date date, close double")})
     df = PanelQuery(src, REGISTRY).symbols("A").select("beta_sp500").grain("weekly")
     assert df.ordered().collect()[-1]["beta_sp500"] == pytest.approx(1.0)
+
+
+def _history(spark, store):
+    """Prices of 2023 and 2024, and coarser tables with versions, periods that share a date, and gaps."""
+    days = [dt.date(2023, 1, 2) + dt.timedelta(days=3 * k) for k in range(200)]
+    prices = [(s, str(d), float(k)) for s in ("A", "B", "C") for k, d in enumerate(days)]
+    store.append("daily_price", spark.createDataFrame(prices, "symbol string, date string, close double"), "2024-05-01")
+    ddl = "symbol string, date string, period string, revenue bigint"
+    quarters = ["2022-12-31", "2023-03-31", "2023-06-30", "2023-09-30", "2023-12-31", "2024-02-10", "2024-03-31"]
+    for load in range(2):
+        rows = [(s, d, f"Q{k % 4 + 1}", 100 * k + load) for s in ("A", "B") for k, d in enumerate(quarters) if (s, k) != ("B", 4)]
+        rows += [("A", d, "FY", 9_000 + load) for d in ("2022-12-31", "2023-12-31")] + [("C", "2023-12-31", None, 5), ("C", "2023-12-31", "Q2", 6)]
+        store.append("income_statement", spark.createDataFrame(rows, ddl), f"2024-06-0{load + 1} 10:00:00", load)
+    staff = [("A", "2022-12-31", 7), ("B", "2021-12-31", 8), ("B", "2024-01-31", None)]
+    store.append("employee_count", spark.createDataFrame(staff, "symbol string, date string, employeeCount int"), "2024-05-01")
+
+
+@pytest.mark.parametrize("setup", [
+    {}, {"grain": "weekly"}, {"grain": "monthly"}, {"carry": "inner"}, {"period": "quarter"}, {"period": "annual"},
+    {"version_as_of": "2024-06-01 12:00:00"}, {"warm_up": 30},
+], ids=str)
+def test_a_seeded_carry_equals_a_carry_of_all_history(spark, store, setup, monkeypatch):
+    _history(spark, store)
+
+    def rows():
+        q = PanelQuery(store).symbols("A", "B", "C").select("close", "revenue", "employee_count_val")
+        for name, value in setup.items():
+            getattr(q, name)(value)
+        return sorted(map(tuple, q.date_range("2024-02-14", "2024-06-30").execute().collect()), key=repr)
+
+    seeded = rows()
+    monkeypatch.setattr(PanelQuery, "_carried", lambda self, spec, columns, target: self._scan(spec, columns, None))
+    assert seeded == rows() and seeded
+
+
+def test_early_rows_are_reduced_to_one_a_symbol_before_the_union(spark, store):
+    _history(spark, store)
+    df = PanelQuery(store).all_symbols().select("close", "revenue").date_range("2024-02-14").execute()
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    union = plan[plan.index("Union"):]
+    assert "max_by" in union and "Aggregate [symbol" in union and "date#" in union
+    assert union.count("2024-02-14") >= 2  # below it for the seeds, from it on for the rest

@@ -139,57 +139,108 @@ def test_statement_read_collapses_periods_and_versions_in_one_shuffle(spark, sto
     assert early.execute().first()["revenue"] == 100
 
 
-def _snapshot_folder(store, table):
+def _folder(store, table):
     return pathlib.Path(store.path(table).removeprefix("file:"))
 
 
-def test_a_snapshot_needs_no_marker_of_spark(spark, store, price_rows):
-    store.append("daily_price", _prices(spark, price_rows))
-    for name in ("_SUCCESS", "._SUCCESS.crc"):
-        (_snapshot_folder(store, "daily_price") / name).unlink(missing_ok=True)
-    assert store.row_count("daily_price") == 2
-
-
-def test_data_without_a_finished_snapshot_raises(spark, store, price_rows):
-    store.append("daily_price", _prices(spark, price_rows))
-    folder = _snapshot_folder(store, "daily_price")
-    for name in store.MARKERS:
-        (folder / name).unlink(missing_ok=True)
-    with pytest.raises(ValueError, match="no finished snapshot"):
-        store.read("daily_price")
-    with pytest.raises(ValueError, match="no finished snapshot"):
-        store.append("daily_price", _prices(spark, price_rows))
-
-
 def test_files_are_in_key_order(spark, store, price_rows):
     rows = [dict(price_rows[0], symbol=s, date=f"2024-01-{d:02d}") for d in (9, 3, 5) for s in ("ZZ", "AA", "MM")]
     store.append("daily_price", _prices(spark, rows))
-    files = list(_snapshot_folder(store, "daily_price").rglob("*.parquet"))
+    files = list(_folder(store, "daily_price").rglob("*.parquet"))
     assert files
     for file in files:
         keys = pq.ParquetFile(file).read(["symbol", "date"]).to_pylist()
         assert keys == sorted(keys, key=lambda r: (r["symbol"], r["date"]))
 
 
-def test_a_load_during_compaction_stops_it(spark, store, price_rows, monkeypatch):
+def test_compaction_rewrites_only_years_with_surplus_versions(spark, store, price_rows):
+    def files(year):
+        return {f.name for f in (_folder(store, "daily_price") / "load=rows" / f"date_year={year}").glob("*.parquet")}
+
     for n in range(3):
         store.append("daily_price", _prices(spark, [dict(price_rows[0], close=float(n))]), f"2024-02-01 1{n}:00:00", n)
-    write = store._write
-
-    def late(df, spec, path, mode):
-        write(df, spec, path, mode)
-        if mode == "overwrite":
-            monkeypatch.setattr(store, "_write", write)
-            rows = store.frame("daily_price").limit(1)  # read from the new snapshot, added to the old one
-            write(rows.drop("date_year"), spec, path.replace("000001", "000000"), "append")
-
-    monkeypatch.setattr(store, "_write", late)
-    with pytest.raises(RuntimeError, match="while it was compacted"):
-        store.compact("daily_price")
-    assert store.path("daily_price").endswith("snap=000000") and store.row_count("daily_price") == 4
-    assert store.compact("daily_price") == 3
-    assert store.remove_superseded("daily_price") == 1 and store.remove_superseded("daily_price") == 0
-    assert store.row_count("daily_price") == 1 and store.read("daily_price").count() == 1
+    store.append("daily_price", _prices(spark, [dict(price_rows[0], date="2022-05-02")]))
+    before = files(2022), files(2024)
+    assert store.compact("daily_price") == 2
+    assert files(2022) == before[0] and not files(2024) & before[1]
+    assert store.row_count("daily_price") == 2 and store.compact("daily_price") == 0
+
+
+def test_compaction_of_a_table_without_dates(spark, store):
+    for n in range(3):
+        rows = spark.createDataFrame([("A", float(n)), ("B", 1.0)] if n else [("A", 0.0)], "symbol string, price double")
+        store.append("quote", rows, f"2024-02-01 1{n}:00:00", n)
+    assert store.compact("quote") == 3 and store.row_count("quote") == 2
+    assert {(r["symbol"], r["price"]) for r in store.read("quote").collect()} == {("A", 2.0), ("B", 1.0)}
+
+
+@pytest.mark.parametrize("dated", [True, False])
+def test_a_replay_after_a_compaction_adds_no_row(spark, store, price_rows, dated):
+    table, key = ("daily_price", {"date": dt.date(2024, 1, 2)}) if dated else ("quote", {})
+    field = "close" if dated else "price"
+    kind = "date date, " if dated else ""
+
+    def batch(n, **more):
+        row = {"symbol": "A", **key, field: float(n), "_fetched_at": dt.datetime(2024, 2, 1, n), "_seq": n, **more}
+        ddl = f"symbol string, {kind}{field} double, _fetched_at timestamp, _seq bigint"
+        rows = spark.createDataFrame([row], ddl)
+        spec = store.catalog[table]
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema() if f.name not in rows.columns]
+        return rows.select("*", *empty)
+
+    for n in range(3):
+        store.put_batch(table, batch(n), "s", f"{n:03d}")
+    store.put_batch(table, batch(1), "s", "001")  # two batches late, before the compaction
+    assert store.row_count(table) == 3
+    assert store.compact(table) == 2 and store.row_count(table) == 1
+    for n in range(3):
+        store.put_batch(table, batch(n), "s", f"{n:03d}")
+    assert store.row_count(table) == 1 and store.read(table).first()[field] == 2.0
+    store.put_batch(table, batch(5), "s", "005")
+    store.put_batch(table, batch(0), "t", "000")  # another stream's batch of the same number
+    assert store.row_count(table) == 3 and store.read(table).first()[field] == 5.0
+    if dated:  # a year that the compaction left alone is still overwritten
+        for _ in range(2):
+            store.put_batch(table, batch(1, date=dt.date(2020, 1, 2)), "s", "001")
+        assert store.row_count(table) == 4
+
+
+def test_gaps_against_a_calendar(spark):
+    from panelgrain.operators.versions import coverage_gaps
+
+    days = [dt.date(2024, 1, d) for d in (2, 3, 4, 5, 8, 9, 10)]
+    have = {"A": days, "B": days[1:3] + days[5:6], "C": [dt.date(2024, 1, 6)], "D": days[:1], "E": days[-1:]}
+    rows = [(s, d) for s, ds in have.items() for d in ds + ds[:1]] + [(None, days[0]), ("A", None)]
+    df = spark.createDataFrame(rows, "symbol string, date date")
+    calendar = spark.createDataFrame([(d,) for d in days + days + [None]], "date date")
+
+    def expected(symbols):
+        out = set()
+        for s in symbols:
+            run = []
+            for d in [*days, None]:
+                if d is not None and d not in have.get(s, ()):
+                    run.append(d)
+                elif run:
+                    out.add((s, run[0], run[-1], len(run)))
+                    run = []
+        return out
+
+    assert {tuple(r) for r in coverage_gaps(df, calendar).collect()} == expected(have)
+    asked = spark.createDataFrame([("B",), ("Z",), ("B",)], "symbol string")
+    assert {tuple(r) for r in coverage_gaps(df, calendar, asked).collect()} == expected(["B", "Z"])
+    assert coverage_gaps(df, calendar.limit(0), asked).count() == 0
+    assert {tuple(r) for r in coverage_gaps(df.limit(0), calendar, asked).collect()} == expected(["Z"]) | {("B", days[0], days[-1], 7)}
+
+
+def test_a_busy_day_of_events_is_joined_not_windowed(spark):
+    from panelgrain.operators.versions import newest_load
+
+    df = spark.range(2_000).select(F.lit("HOT").alias("symbol"), F.lit("2024-01-01").cast("date").alias("date"),
+                                   F.timestamp_seconds(F.col("id") % 2).alias("_fetched_at"), F.lit("0").alias("_batch_id"), "id")
+    out = newest_load(df, ["symbol", "date"])
+    assert {r["id"] for r in out.collect()} == set(range(1, 2_000, 2))
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_newest_load_keeps_equal_events_and_replaces_corrected_ones(spark, store):

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,7 +114,7 @@ def test_a_replay_leaves_other_streams_alone(spark, files, tmp_path):
 
     def failing(*args, **kw):
         put(*args, **kw)
-        if not calls and args[1].count():
+        if not calls and args[3] != "rows":
             calls.append(1)
             raise RuntimeError("after the write")
 
@@ -125,8 +126,40 @@ def test_a_replay_leaves_other_streams_alone(spark, files, tmp_path):
     finish(SI.start_ingest(live["B"], store, "readings", str(tmp_path / "cpB")))  # its batch 0 too
     finish(SI.start_ingest(live["A"], store, "readings", str(tmp_path / "cpA")))
     assert sorted(r["symbol"] for r in store.frame("readings").collect()) == ["A", "B"]
-    # A compaction takes the batches into its snapshot, where later ones meet them.
+    # A compaction takes the batches of the years it rewrites.
     store.append("readings", spark.createDataFrame([("A", "2024-01-02", 2.0)], names))
     assert store.compact("readings") == 1 and store.row_count("readings") == 2
-    assert store.remove_superseded("readings") == 1
     assert [r["reading"] for r in store.read("readings").collect()] == [2.0, 1.0]
+
+
+@pytest.mark.parametrize("split", [(20, 40), (7, 13, 31, 50), (60,)])
+def test_the_mean_in_event_time_does_not_depend_on_the_split(spark, tmp_path, split):
+    """Every third row comes a part late; a null value and equal times are among them."""
+    rows = [("A" if i % 3 else "B", T0 + dt.timedelta(minutes=7 * (i // 2)), i, None if i == 17 else float(i * 37 % 11)) for i in range(60)]
+    end = [("end", T0 + dt.timedelta(days=99), -1, 0.0)]
+    part = [sum(i >= b for b in split) + (i % 5 == 0) for i in range(60)]
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        for n in range(max(part) + 2):
+            now = [r for r, p in zip(rows, part) if p == n] if n <= max(part) else end
+            if not now:
+                continue
+            spark.createDataFrame(now, DDL).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            live = spark.readStream.schema(DDL).parquet(str(tmp_path / "in"))
+            out = SE.stream_ema_in_time(live, 5, "1 day")
+            finish(SI.to_parquet(out, str(tmp_path / "out"), str(tmp_path / "cp")))
+    finally:
+        spark.conf.set(key, before)
+    got = {r["event_id"]: r["ema"] for r in spark.read.schema(out.schema).parquet(str(tmp_path / "out")).collect()}
+    assert set(got) == set(range(60))  # the last row is still waiting
+    for symbol in "AB":
+        mine = [r for r in rows if r[0] == symbol]
+        want = R.ema(np.array([np.nan if r[3] is None else r[3] for r in mine]), 5)
+        for r, w in zip(mine, want):
+            assert got[r[2]] is None if r[3] is None else got[r[2]] == pytest.approx(w)
+    # Of the rows that are done nothing waits in state any longer.
+    state = (spark.read.format("statestore").option("stateVarName", "waiting").option("flattenCollectionTypes", True)
+             .load(str(tmp_path / "cp")))
+    assert [r["key"]["symbol"] for r in state.collect()] == ["end"]

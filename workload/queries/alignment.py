@@ -113,6 +113,21 @@ FROM (SELECT s.symbol, s.date, close, revenue
       WHERE s.date BETWEEN DATE '1997-02-01' AND DATE '1999-06-30')"""
 
 
+def q03_seeded_carry(spark, sf_dir):
+    """A start amid quarters and years: what lies before it is one row per symbol and table."""
+    q = V.query(spark, sf_dir).select("close", "revenue", "employee_count_val", "hist_hold")
+    return V.rounded(q.date_range("1997-02-17", "1998-11-05").grain("weekly").execute())
+
+
+Q03_SEEDED = f"""
+SELECT w.symbol, w.date, {_r("close")}, revenue, employee_count_val, hist_hold
+FROM (SELECT symbol, CAST(date_trunc('week', date) AS DATE) AS date, last(close ORDER BY date) AS close
+      FROM daily WHERE date BETWEEN DATE '1997-02-17' AND DATE '1998-11-05' GROUP BY 1, 2) w
+     ASOF LEFT JOIN quarterly q ON w.symbol = q.symbol AND w.date >= q.date
+     ASOF LEFT JOIN annual a ON w.symbol = a.symbol AND w.date >= a.date
+     ASOF LEFT JOIN monthly m ON w.symbol = m.symbol AND w.date >= m.date"""
+
+
 def q03_warm_up(spark, sf_dir):
     """Lags see rows before the start; the result starts on it."""
     q = V.query(spark, sf_dir).select("close", "return_21d").warm_up()
@@ -320,6 +335,7 @@ QUERIES = {
     "q01_symbols": (q01_symbols, O.sql(Q01)),
     "q02_q07_select": (q02_select, O.sql(Q02)),
     "q03_date_range": (q03_date_range, O.sql(Q03)),
+    "q03_j02_seeded_carry": (q03_seeded_carry, O.sql(Q03_SEEDED)),
     "q03_warm_up": (q03_warm_up, O.sql(Q03_WARM)),
     "q04_q06_agg_override": (q06_agg_override, O.sql(Q06)),
     "q06_calendar_lags": (q06_calendar_lags, O.sql(Q06_CALENDAR)),

@@ -156,6 +156,34 @@ def p16_p23_from_tables(spark, sf_dir):
     return V.rounded(q.as_of(MID).version_as_of("2024-02-02 12:00:00").execute())
 
 
+def _loaded(events, column, swap):
+    """Three loads: all events, those of even symbols with two kinds exchanged, and one newer than is asked for."""
+    loads = F.explode(F.array(*[F.struct(F.lit(f"2024-02-0{k}").cast("timestamp").alias("at"), F.lit(k).alias("no"))
+                                for k in (1, 2, 3)]))
+    a, b = swap
+    kind = F.col(column)
+    other = F.when(kind == a, b).when(kind == b, a).otherwise(kind)
+    return (events.withColumn("load", loads).filter("load.no <> 2 OR CAST(symbol AS BIGINT) % 2 = 0")
+            .select("symbol", "date", F.when(F.col("load.no") == 1, kind).when(F.col("load.no") == 2, other).alias(column),
+                    F.col("load.at").alias("_fetched_at")))
+
+
+def _from_table(table, events, column, kind, swap, names):
+    """The builder reads the event table itself, as of a version and a day."""
+    def run(spark, sf_dir):
+        rows = _loaded(getattr(V, events)(spark, sf_dir), column, swap).withColumnRenamed(column, kind)
+        source = FrameSource({"daily_price": V.event_days(spark, sf_dir), table: rows})
+        q = PanelQuery(source, V.registry()).all_symbols().select("close", *names)
+        return V.rounded(q.as_of(MID).version_as_of("2024-02-02 12:00:00").execute())
+    return run
+
+
+def _swapped(a, b):
+    """SQL text: the kind of an event after the second load."""
+    return (f"(CASE WHEN CAST(symbol AS BIGINT) % 2 = 1 THEN event_type WHEN event_type = '{a}' THEN '{b}' "
+            f"WHEN event_type = '{b}' THEN '{a}' ELSE event_type END)")
+
+
 def _back(n):
     return f"e.date >= s.date - {n}"
 
@@ -223,27 +251,27 @@ SELECT symbol, date, {_r("close")},
 FROM event_days LEFT JOIN per_symbol USING (symbol)""")
 
 
-def _senate_sql(long, short):
+def _senate_sql(long, short, as_of=V.EVENTS_AS_OF, kinds="event_type"):
     def since(n):
-        return f"date BETWEEN DATE '{V.EVENTS_AS_OF}' - {n} AND DATE '{V.EVENTS_AS_OF}'"
+        return f"date BETWEEN DATE '{as_of}' - {n} AND DATE '{as_of}'"
     return O.sql(f"""
 SELECT symbol, date, {_r("close")}, p AS senate_buy_count_90d, s AS senate_sell_count_90d,
        p - s AS senate_net_flow_90d, CAST(n > 0 AS INTEGER) AS senate_activity_flag
 FROM event_days LEFT JOIN
-     (SELECT symbol, count(*) FILTER (event_type = 'purchase' AND {since(long)}) AS p,
-             count(*) FILTER (event_type = 'click' AND {since(long)}) AS s,
+     (SELECT symbol, count(*) FILTER ({kinds} = 'purchase' AND {since(long)}) AS p,
+             count(*) FILTER ({kinds} = 'click' AND {since(long)}) AS s,
              count(*) FILTER ({since(short)}) AS n
       FROM ev GROUP BY 1) USING (symbol)""")
 
 
-def _grades_sql(long):
+def _grades_sql(long, as_of=V.EVENTS_AS_OF, kinds="event_type"):
     return O.sql(f"""
 SELECT symbol, date, {_r("close")}, u AS upgrades_90d, d AS downgrades_90d,
        {O.r6("u / nullif(d, 0)")} AS upgrade_downgrade_ratio
 FROM event_days LEFT JOIN
-     (SELECT symbol, count(*) FILTER (event_type = 'signup') AS u,
-             count(*) FILTER (event_type = 'error') AS d
-      FROM ev WHERE date BETWEEN DATE '{V.EVENTS_AS_OF}' - {long} AND DATE '{V.EVENTS_AS_OF}' GROUP BY 1) USING (symbol)""")
+     (SELECT symbol, count(*) FILTER ({kinds} = 'signup') AS u,
+             count(*) FILTER ({kinds} = 'error') AS d
+      FROM ev WHERE date BETWEEN DATE '{as_of}' - {long} AND DATE '{as_of}' GROUP BY 1) USING (symbol)""")
 
 
 def u01_u02_registered_features(spark, sf_dir):
@@ -333,6 +361,12 @@ QUERIES = {
         _trailing("insider_events", S.insider_signals, PF.INSIDER, (9, 4)), _trailing_insider_sql(9, 4)),
     "p24_p27_senate_signals_trailing": (
         _trailing("senate_events", S.senate_signals, PF.SENATE, (9, 4)), _trailing_senate_sql(9, 4)),
+    "p24_p27_senate_from_tables": (
+        _from_table("senate_trades", "senate_events", "type", "senate_trade_type", ("Purchase", "Sale (Full)"), PF.SENATE),
+        _senate_sql(90, 30, MID, _swapped("purchase", "click"))),
+    "p28_p30_grades_from_tables": (
+        _from_table("grade_changes", "grade_events", "action", "grade_action", ("Upgrade", "downgrade"), PF.GRADES),
+        _grades_sql(90, MID, _swapped("signup", "error"))),
     "p28_p30_grade_signals": (
         _signals("grade_events", S.grade_signals, PF.GRADES, (90,)), _grades_sql(90)),
     "p28_p30_grade_signals_14": (

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType
 
-from panelgrain import default_catalog
+from panelgrain import FieldSpec, Grain, TableSpec, VersionedStore, default_catalog
+from panelgrain.plans.session import shared_folder
 from panelgrain.sources import landing as L
 
 from .. import oracle as O
@@ -15,7 +15,7 @@ CATALOG = default_catalog()
 
 
 def s01_typed_append(spark, sf_dir):
-    """Raw insider trades under their payload names into stored columns."""
+    """Raw insider trades under their payload names appended to a stored table, and read back."""
     t = V.events(spark, sf_dir)
     raw = t.select(
         F.when(F.col("event_id") % 10 == 0, "").otherwise(F.col("symbol")).alias("symbol"),
@@ -30,8 +30,9 @@ def s01_typed_append(spark, sf_dir):
         F.col("event_type").alias("unknownAttribute"),
         F.col("event_id").alias("_seq"),
     )
-    rows = L.stamp_version(L.conform(raw, CATALOG["insider_trades"]), "2024-02-01 00:00:00", 7)
-    return rows.select(
+    store = VersionedStore(spark, f"{shared_folder(spark, 'append')}/store")
+    store.append("insider_trades", raw, "2024-02-01 00:00:00", 7)
+    return store.frame("insider_trades").select(
         "symbol", "date", "insider_price", "securities_transacted", "acquisition_or_disposition",
         "reporting_name", "_batch_id", "_seq",
     )
@@ -97,21 +98,25 @@ SELECT symbol, date, reporting_name AS reportingName, type_of_owner AS typeOfOwn
 FROM insider_trades"""
 
 
+CELLS = TableSpec("cells", Grain.SNAPSHOT, ("symbol",), {f.name: f for f in (
+    FieldSpec("as_text", "text", "string"), FieldSpec("as_double", "number", "double"), FieldSpec("as_bigint", "whole", "bigint"))})
+
+
 def s05_csv_cleanup(spark, sf_dir):
-    """Text cells with every null token, parsed into the catalogue's types."""
+    """CSV files whose cells hold every null token, read into the table's types."""
     k = F.col("event_id") % 8
     text = (
         F.when(k == 0, "").when(k == 1, "None").when(k == 2, "NaN").when(k == 3, "Infinity")
         .when(k == 4, "inf").when(k == 5, F.concat(F.lit(" "), F.col("value").cast("string")))
         .when(k == 6, F.col("user_id").cast("string")).otherwise(F.col("event_type"))
     )
-    cell = L.clean_token(text)
-    return V.events(spark, sf_dir).select(
-        "event_id",
-        cell.alias("as_text"),
-        V.r6(L.parse_as(cell, DoubleType())).alias("as_double"),
-        L.parse_as(cell, LongType()).alias("as_bigint"),
-    )
+    folder = f"{shared_folder(spark, 'csv')}/cells"
+    cells = V.events(spark, sf_dir).select(
+        F.col("event_id").cast("string").alias("symbol"), text.alias("text"), text.alias("number"), text.alias("whole"))
+    cells.write.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(folder)
+    return L.read_csv(spark, folder, CELLS).select(
+        F.col("symbol").cast("bigint").alias("event_id"), F.col("text").alias("as_text"),
+        V.r6("number").alias("as_double"), F.col("whole").alias("as_bigint"))
 
 
 S05 = f"""

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from panelgrain import VersionedStore, default_catalog
 from panelgrain.operators import versions as VO
+from panelgrain.plans.session import shared_folder
 
 from .. import oracle as O
 from .. import views as V
+from .streams import EVENT_TABLE
 
 KEYS = ["symbol", "date"]
 NOW = "2024-01-31 00:00:00"
@@ -49,6 +52,18 @@ def v04_o03_keep_newest_two(spark, sf_dir):
     return _out(VO.keep_newest(V.event_versions(spark, sf_dir), KEYS, 2))
 
 
+def v04_compact(spark, sf_dir):
+    """Two loads appended to a stored table, compacted to two versions a key, and read."""
+    folder = shared_folder(spark, "compact")
+    store = VersionedStore(spark, f"{folder}/store", default_catalog().add(EVENT_TABLE))
+    rows = V.event_versions(spark, sf_dir).withColumnRenamed("value", "event_value").withColumns(
+        {"event_kind": F.lit("any"), "event_number": F.col("_seq")})
+    for odd in (1, 0):
+        store.append_conformed("user_events", rows.filter(F.col("_seq") % 2 == odd))
+    store.compact("user_events", keep=2)
+    return _out(store.frame("user_events").withColumnRenamed("event_value", "value"))
+
+
 def v04_compaction_report(spark, sf_dir):
     return VO.compaction_report(V.event_versions(spark, sf_dir), KEYS, 1)
 
@@ -83,6 +98,22 @@ SELECT symbol, min(date) AS first_date, max(date) AS last_date, count(*) AS row_
 FROM event_versions WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' GROUP BY 1"""
 
 
+def v07_gaps(spark, sf_dir):
+    """Stretches of event days on which a user has none, as ranges to fetch; customers without events lack them all."""
+    events = V.events(spark, sf_dir)
+    asked = V.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("symbol"))
+    return VO.coverage_gaps(events, events.select("date"), asked)
+
+
+V07_GAPS = """
+WITH days AS (SELECT date, row_number() OVER (ORDER BY date) AS n FROM (SELECT DISTINCT date FROM ev)),
+wanted AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS symbol FROM customer),
+lacking AS (SELECT symbol, date, n FROM wanted CROSS JOIN days ANTI JOIN ev USING (symbol, date))
+SELECT symbol, min(date) AS from_date, max(date) AS to_date, count(*) AS missing_days
+FROM (SELECT *, n - row_number() OVER (PARTITION BY symbol ORDER BY n) AS island FROM lacking)
+GROUP BY symbol, island"""
+
+
 def v08_years_covered(spark, sf_dir):
     lines = V.table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("date"))
     return VO.years_covered(lines)
@@ -155,10 +186,12 @@ QUERIES = {
         v02_as_of_version, O.sql(_newest("fetched_at <= TIMESTAMP '2024-01-15 12:00:00'"))),
     "v03_revisions": (v03_revisions, O.sql(V03)),
     "v04_o03_keep_newest_two": (v04_o03_keep_newest_two, O.sql(_newest(n=2))),
+    "v04_compact_store": (v04_compact, O.sql(_newest(n=2))),
     "v04_compaction_report": (v04_compaction_report, O.sql(V04R)),
     "v05_row_count": (v05_row_count, O.sql("SELECT count(*) AS row_count FROM event_versions")),
     "v06_o02_freshness": (v06_freshness, O.sql(V06)),
     "v07_o02_coverage": (v07_coverage, O.sql(V07)),
+    "v07_v10_coverage_gaps": (v07_gaps, O.sql(V07_GAPS)),
     "v08_x12_years_covered": (v08_years_covered, O.sql(V08)),
     "v09_symbols_with_data": (
         v09_symbols_with_data, O.sql("SELECT DISTINCT symbol FROM event_versions")),

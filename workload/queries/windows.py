@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelgrain.functions import expr as E
 from panelgrain.functions.registry import FeatureRegistry
+from panelgrain.operators import recursive as R
 
 from .. import oracle as O
 from .. import views as V
@@ -107,7 +108,22 @@ def _events_sql(**columns):
 
 
 
+def w12_long_series(spark, sf_dir):
+    """A running mean over every single event of a kind: few series, each over many tasks."""
+    ticks = V.events(spark, sf_dir).select(F.col("event_type").alias("symbol"), "ts", "event_id", "value")
+    return V.rounded(R.long_ema(ticks, 10, "value", ["ts", "event_id"]).select("symbol", "event_id", "value", "ema"))
+
+
+# 400 rows back a weight of (9/11)^k is below 1e-34 of the newest one.
+W12_LONG = f"""
+SELECT symbol, event_id, {O.r6("value")} AS value,
+       {O.r6("list_sum([back[k] * pow(9.0::DOUBLE / 11, len(back) - k) for k in range(1, len(back) + 1)]) / list_sum([pow(9.0::DOUBLE / 11, len(back) - k) for k in range(1, len(back) + 1)])")} AS ema
+FROM (SELECT event_type AS symbol, event_id, value, list(value) OVER (
+          PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 399 PRECEDING AND CURRENT ROW) AS back
+      FROM events)"""
+
 QUERIES = {
+    "w12_long_series": (w12_long_series, O.sql(W12_LONG)),
     "w01_lag": (
         _custom({f"ago_{k}": (lambda k: lambda p: p.lag("close", k))(k) for k in STEPS}),
         _sql({f"ago_{k}": (f"lag(close, {k}) OVER ({W})", True) for k in STEPS}),
