@@ -4,7 +4,8 @@ A mask names the word offsets that a hash covers and so ignores the words betwee
 all benchmark positions and of all document positions are joined; around each hit the two word
 sequences are compared place by place, and a window of ``window`` words that covers the hit and
 agrees in ``share`` of its places is contamination.  The two default masks of five words hit every
-20-word window with up to four substituted words, wherever those lie.
+20-word window with up to four substituted words, wherever those lie.  Items under 16 words are hashed
+by a mask of three words too, which meets each of them under every allowed substitution.
 
 Defined results: null and empty texts have no words and match nothing; items shorter than the
 window are compared whole; items shorter than a mask are hashed and matched as one exact run of
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 from .common import Words, bitmap_of, chunks, in_bitmap, mix, table, with_text
 
 MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 5, 6))
+#: The mask for items of fewer words than ``SHORT``; among 15 words three substitutions leave three in a row.
+SHORT_MASK, SHORT = (0, 1, 2), 16
 WINDOW, SHARE = 20, 0.8
 BITS = 26
 FACTORS = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
@@ -58,12 +61,14 @@ def _item_seeds(masks, window):
         for batch in chunks(batches):
             words = Words(batch.column("text"))
             narrow, count = _narrow(words), np.diff(words.first)
-            short = sorted({int(c) for c in count if 0 < c < max(m[-1] for m in masks) + 1})
-            for mask in (*masks, *(tuple(range(c)) for c in short)):
-                whole = mask == tuple(range(len(mask))) and mask not in masks
+            top = max(m[-1] for m in masks) + 1
+            tiny = sorted({int(c) for c in count if 0 < c < top})
+            uses = [(mask, lambda c: c > 0) for mask in masks] + [(SHORT_MASK, lambda c: (c >= top) & (c < SHORT))]
+            uses += [(tuple(range(n)), lambda c, n=n: c == n) for n in tiny]
+            for mask, of in uses:
                 for hashes, at in _seeds(words, [mask]):
                     row = words.row[at]
-                    use = count[row] == len(mask) if whole else np.ones(len(at), bool)
+                    use = of(count[row])
                     hashes, at, row = hashes[use], at[use], row[use]
                     begin = np.maximum(words.first[row], at - window)
                     end = np.minimum(words.first[row + 1], at + window)
@@ -139,11 +144,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks=MASKS, window: int
              .mapInArrow(_item_seeds(masks, window),
                          "seed long, item_id long, item_pos int, item_left int, item_words int, span int, item_tokens array<int>"))
     top = max(m[-1] for m in masks) + 1
-    short = [r[0] for r in items.where((F.col("item_words") < top) & (F.col("span") == F.col("item_words")))
-             .select("span").distinct().orderBy("span").collect()]  # at most top - 1 lengths
+    lengths = [r[0] for r in items.where(F.col("item_words") < SHORT).select("item_words").distinct().collect()]  # at most 15
+    more = {tuple(range(n)) for n in lengths if n < top} | {SHORT_MASK for n in lengths if n >= top}
     bitmap = spark.sparkContext.broadcast(bitmap_of(items, "seed", bits))
     found = (with_text(docs).withColumn("text_hash", F.xxhash64("text"))
-             .mapInArrow(_doc_seeds((*masks, *(tuple(range(n)) for n in short if tuple(range(n)) not in masks)), window, bitmap, bits),
+             .mapInArrow(_doc_seeds((*masks, *sorted(more - set(masks))), window, bitmap, bits),
                          "seed long, doc_id long, text_hash long, doc_pos int, doc_left int, doc_tokens array<int>"))
     pairs = found.join(items, "seed").withColumn(
         "v", _verify(window, share)("item_left", "doc_left", "item_tokens", "doc_tokens", "span", "item_words"))

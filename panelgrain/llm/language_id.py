@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import chunks, flat, table
 
@@ -221,22 +222,24 @@ def fit(docs: DataFrame) -> Model | None:
 
 
 def with_language(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` as two more columns, whatever its own columns are."""
+    """(row, lang_pred, lang_score): every row of ``docs`` as a struct, whatever its columns are called."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(model) if model else None)
-    schema = docs.select("*").schema.add("lang_pred", "string").add("lang_score", "double")
-    names = docs.columns
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    place = docs.columns.index("text")
 
     def run(batches):
         predict = _predict(shared)
-        for batch in batches:
-            for part in chunks([batch]):
-                flags = pa.RecordBatch.from_arrays(
-                    [pa.nulls(part.num_rows, pa.int64()), pa.nulls(part.num_rows, pa.bool_()), part.column("text")],
-                    names=["doc_id", "held_out", "text"])
-                got = next(predict([flags]))
-                yield pa.RecordBatch.from_arrays([*part.columns, got.column("lang_pred"), got.column("score")],
-                                                 names=[*names, "lang_pred", "lang_score"])
-    return docs.mapInArrow(run, schema)
+        with_text = (pa.RecordBatch.from_arrays([b.column("row"), b.column("row").flatten()[place].cast(pa.string())], names=["row", "text"])
+                     for b in batches)
+        for part in chunks(with_text):
+            flags = pa.RecordBatch.from_arrays(
+                [pa.nulls(part.num_rows, pa.int64()), pa.nulls(part.num_rows, pa.bool_()), part.column("text")],
+                names=["doc_id", "held_out", "text"])
+            got = next(predict([flags]))
+            yield pa.RecordBatch.from_arrays([part.column("row"), got.column("lang_pred"), got.column("score")],
+                                             names=["row", "lang_pred", "lang_score"])
+    schema = T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())])
+    return rows.mapInArrow(run, schema)
 
 
 def with_letters(docs: DataFrame) -> DataFrame:

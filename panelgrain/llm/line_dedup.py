@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import settled, table
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -40,9 +40,10 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, carry: t
              .select("doc_id", "text_hash", "pos", lowered(F.col("body")).alias("key"))
              .select("doc_id", "text_hash", "pos",
                      F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2")))
-    shared = (lines.select("h1", "h2", "doc_id").distinct()
-              .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
-              .where(F.col("n_docs") >= min_docs))
+    # Written, so that both sides of the join are shuffled: then Spark splits the rows of a frequent line.
+    shared = settled(lines.select("h1", "h2", "doc_id").distinct()
+                     .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
+                     .where(F.col("n_docs") >= min_docs))
     lost = (lines.join(shared, ["h1", "h2"])
             .where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
             .groupBy(F.col("doc_id").alias("lost_doc"), F.col("text_hash").alias("lost_text"))

@@ -3,8 +3,9 @@
 Base spans are what four patterns and their checks find.  The random field labels the pieces around
 digits and at-signs (runs of letters or digits, single symbols, blanks) and adds spans of the same
 kinds in spellings that the patterns miss, such as national phone numbers or "name (at) host.org".
-It is trained on the small labelled table below and decoded by Viterbi in numpy batches.  An added
-span must pass its kind's check and must not overlap another span; base spans always stay.
+It is trained on the small labelled table below and decoded by Viterbi in numpy batches; a stretch
+grows within its line until no span touches its end.  An added span must pass its kind's check and
+must not overlap another span; base spans always stay.
 
 Defined results: a null text is an empty one; offsets are code points, end exclusive; every row
 gets a result, repeated rows too.
@@ -14,6 +15,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +47,18 @@ call [phone (415) 555-0134] now
 phone [phone 415-555-0134] or come by
 phone: [phone 415.555.0134], ask for Ann
 tel [phone 030 1234 5678] between 9 and 5
+tel [phone 030 1234 5678]
+phone [phone 089 2345 6789], or write
+call [phone 040 123 45678] for more
+my mobile is [phone 0151 2345 6789] now
+mail [email kim (AT) corp.example.org] again
+[email first.middle.last.name (at) corp.example.org]
+[email anna.b AT host.example.net] is new
+[email jane (at) mail.example.org]
+[email bob[at]example.net] wrote
+[email tom (AT) server.example.net] and [email ann (at) host.org]
+[phone (212) 555-0187] or [phone 030 123 45678]
+to [email a.long.name.of.one (at) mail.example.org], and
 tel. [phone 0171/555 0199] in the evening
 the number is [phone 00 49 30 123 4567] there
 numbers [phone (030) 123 4567] and [phone (714) 555-9345] work
@@ -83,7 +99,8 @@ SYMBOLS = "@.-_+():/,;=%*#\"'&|[]<>!?$"
 PIECE = re.compile(r"[A-Za-z]+|[0-9]+|\s+|[^A-Za-z0-9\s]")
 OFFSETS = (-3, -2, -1, 0, 1, 2, 3)
 N_SHAPES = 1 + 10 + 5 + len(WORDS) + 2 + len(SYMBOLS) + 1
-EDGE = 0
+#: Pieces of a sequence that are decoded as one block, blocks at a time, and pieces scored at a time.
+LONG, GROUP, BLOCK = 64, 1024, 1 << 14
 
 
 def shape(piece: str) -> int:
@@ -125,26 +142,110 @@ class Field:
         return np.stack([at[o] + k * N_SHAPES for k, o in enumerate(OFFSETS)]
                         + [pair + at[0] * N_SHAPES + at[1], pair + N_SHAPES ** 2 + at[-1] * N_SHAPES + at[0]], axis=2)
 
-    def emissions(self, shapes: np.ndarray) -> np.ndarray:
-        return self.weights[self.features(shapes)].sum(axis=2)
+    def _emissions_at(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Emissions at places of a flat row of shapes with three edges between sequences."""
+        out = np.empty((len(at), len(LABELS)))
+        pair = len(OFFSETS) * N_SHAPES
+        for first in range(0, len(at), BLOCK):
+            k = at[first:first + BLOCK]
+            total = sum(self.weights[flat[k + o] + i * N_SHAPES] for i, o in enumerate(OFFSETS))
+            total += self.weights[pair + flat[k] * N_SHAPES + flat[k + 1]]
+            total += self.weights[pair + N_SHAPES ** 2 + flat[k - 1] * N_SHAPES + flat[k]]
+            out[first:first + BLOCK] = total
+        return out
+
+    def _blocks(self, flat, start, length):
+        """Groups of blocks (numbers, padded emissions), short ones together."""
+        order = np.argsort(length, kind="stable")
+        for first in range(0, len(order), GROUP):
+            part = order[first:first + GROUP]
+            wide = int(length[part].max())
+            at = start[part, None] + np.minimum(np.arange(wide), length[part, None] - 1)
+            yield part, self._emissions_at(flat, at.ravel()).reshape(len(part), wide, -1)
+
+    def _through(self, score, length):
+        """For each block the best score from every label before it to every label at its end."""
+        now = self.steps[None] + score[:, 0][:, None, :]
+        out = now.copy()
+        for t in range(1, score.shape[1]):
+            on = np.flatnonzero(length > t)
+            new = now[on, :, 0, None] + self.steps[0]
+            for k in range(1, len(LABELS)):
+                np.maximum(new, now[on, :, k, None] + self.steps[k], out=new)
+            new += score[on, t][:, None, :]
+            now[on] = out[on] = new
+        return out
 
-    def viterbi(self, shapes: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """The best labels (batch, length); beyond a sequence's length they mean nothing."""
-        score = self.emissions(shapes)
-        back = np.zeros(score.shape, np.int8)
-        best = score[:, 0]
-        final = best.copy()
+    def decode(self, sequences: list[np.ndarray]) -> list[np.ndarray]:
+        """The best labels of each sequence of shapes.
+
+        A sequence is decoded in blocks of ``LONG`` pieces.  Where it has several, their best scores
+        from label to label are combined first, which gives the state that each block begins with;
+        so the result is that of one pass, while what is held beside the pieces is a pointer a label.
+        """
+        if not sequences:
+            return []
+        edge = np.zeros(3, np.int64)
+        flat = np.concatenate([edge, *(x for s in sequences for x in (s, edge))])
+        size = np.array([len(s) for s in sequences])
+        begin = 3 + np.concatenate([[0], np.cumsum(size[:-1] + 3)])
+        blocks = -(-size // LONG)
+        owner = np.repeat(np.arange(len(size)), blocks)
+        number = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        start = begin[owner] + number * LONG
+        length = np.minimum(LONG, begin[owner] + size[owner] - start)
+        state = np.full((len(owner), len(LABELS)), -np.inf)  # best score of each label before the block
+        several = np.flatnonzero(blocks[owner] > 1)
+        if len(several):
+            through = np.empty((len(owner), len(LABELS), len(LABELS)))
+            head = np.empty((len(owner), len(LABELS)))
+            for part, score in self._blocks(flat, start[several], length[several]):
+                through[several[part]] = self._through(score, length[several[part]])
+                head[several[part]] = self._from_start(score, length[several[part]])
+            for c in several:
+                if number[c]:
+                    before = head[c - 1] if number[c] == 1 else (state[c - 1][:, None] + through[c - 1]).max(axis=0)
+                    state[c] = before - before.max()  # only differences count
+        back = np.zeros((len(flat), len(LABELS)), np.int8)
+        final = np.zeros(len(owner), np.int64)
+        out = np.zeros(len(flat), np.int8)
+        for part, score in self._blocks(flat, start, length):
+            here, first, n = start[part], number[part] == 0, length[part]
+            enter = state[part][:, :, None] + self.steps
+            back[here] = enter.argmax(axis=1)
+            best = np.where(first[:, None], score[:, 0], enter.max(axis=1) + score[:, 0])
+            end = best
+            for t in range(1, score.shape[1]):
+                to = best[:, :, None] + self.steps
+                on = n > t
+                back[(here + t)[on]] = to.argmax(axis=1)[on]
+                best = to.max(axis=1) + score[:, t]
+                end = np.where(on[:, None], best, end)
+            final[part] = end.argmax(axis=1)
+            one = blocks[owner[part]] == 1
+            label, at, n = final[part][one], here[one], n[one]
+            for t in range(score.shape[1] - 1, -1, -1):
+                on = n > t
+                out[(at + t)[on]] = label[on]
+                if t:
+                    label = np.where(on, back[np.minimum(at + t, len(back) - 1), label], label)
+        for s in np.flatnonzero(blocks > 1):  # the way back of a long sequence
+            a, b = int(begin[s]), int(begin[s] + size[s])
+            label = int(final[np.flatnonzero(owner == s)[-1]])
+            for stop in range(b, a, -BLOCK):
+                rows = back[max(a, stop - BLOCK):stop].tolist()
+                for k in range(len(rows) - 1, -1, -1):
+                    out[stop - len(rows) + k] = label
+                    label = rows[k][label]
+        return [out[a:a + n] for a, n in zip(begin.tolist(), size.tolist())]
+
+    def _from_start(self, score, length):
+        """Best score of each label at the block's end, for the block that begins a sequence."""
+        now = score[:, 0]
+        out = now
         for t in range(1, score.shape[1]):
-            through = best[:, :, None] + self.steps
-            back[:, t] = through.argmax(axis=1)
-            best = through.max(axis=1) + score[:, t]
-            final = np.where((length > t)[:, None], best, final)
-        out = np.zeros(shapes.shape, np.int64)
-        label = final.argmax(axis=1)
-        rows = np.arange(len(shapes))
-        for t in range(score.shape[1] - 1, -1, -1):
-            out[:, t] = label
-            label = np.where(length > t, back[rows, t, label], label)
+            now = (now[:, :, None] + self.steps).max(axis=1) + score[:, t]
+            out = np.where((length > t)[:, None], now, out)
         return out
 
 
@@ -251,7 +352,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 DIGIT = re.compile("[0-9]")
-TRIGGER = re.compile(r"@|[0-9]+(?:[^\n0-9@]{0,12}[0-9@]+)*|(?:\(at\)|\[at\]| at )(?=[^\n]{1,40}(?: dot |\.))")
+#: Where a span may be: digits, at-signs, and an "at" before something that can be the dot of a host.
+TRIGGER = re.compile(r"@|[0-9]+(?:[^\n0-9@]{0,12}[0-9@]+)*|(?:\(at\)|\[at\]|\sat\s)(?=[^\n]{1,80}?(?:\sdot\s|\(dot\)|\[dot\]|[A-Za-z0-9]\.[A-Za-z]))", re.I)
 
 
 def valid(kind: int, text: str) -> bool:
@@ -269,57 +371,106 @@ def valid(kind: int, text: str) -> bool:
     return 10 <= len(digits) <= 15 and re.fullmatch(r"\(?[0-9][0-9 ()./-]+[0-9]", text) is not None and re.search("[ ()./-]", text) is not None
 
 
+def _reach(text: str, begin: int, end: int, more: int) -> tuple[int, int]:
+    """The stretch with up to ``more`` characters of its line on either side, cut at blanks."""
+    a, b = max(0, begin - more), min(len(text), end + more)
+    line = text.rfind("\n", a, begin)
+    a = line + 1 if line >= 0 else a
+    while a > 0 and not text[a - 1].isspace():
+        a -= 1
+    line = text.find("\n", end, b)
+    b = line if line >= 0 else b
+    while b < len(text) and not text[b].isspace():
+        b += 1
+    return a, b
+
+
 def windows(text: str, reach: int = 32) -> list[tuple[int, int]]:
-    """Stretches of a line around digits and at-signs, cut at blanks, where the field is decoded."""
-    out: list[list[int]] = []
+    """Stretches around digits, at-signs and the like, in order and apart, where decoding begins."""
+    out: list[tuple[int, int]] = []
     for m in TRIGGER.finditer(text):
-        a, b = m.start(), m.end()
-        line = text.rfind("\n", max(0, a - reach), a) + 1
-        begin = max(line, a - reach, 0)
-        end = text.find("\n", b, b + reach)
-        end = min(len(text), b + reach) if end < 0 else end
-        if out and begin <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], end)
-        else:
-            out.append([begin, end])
-    return [tuple(x) for x in out]
+        if out and m.end() <= out[-1][1] - reach:
+            continue
+        a, b = _reach(text, m.start(), m.end(), reach)
+        if out and a <= out[-1][1]:
+            a, b = out[-1][0], max(b, out.pop()[1])
+        out.append((a, b))
+    return out
+
+
+def _pieces(text: str, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pieces begin (and the last one ends), and their shapes."""
+    at, shapes = array("q"), array("q")
+    for m in PIECE.finditer(text, begin, end):
+        at.append(m.start())
+        shapes.append(shape(m[0]))
+    at.append(end)
+    return np.frombuffer(at, np.int64), np.frombuffer(shapes, np.int64)
+
+
+def _decoded(field: Field, texts: list[str], stretches: list[tuple[int, int, int]], reach: int = 64):
+    """(text, piece bounds, labels) of the stretches (text, begin, end).  One with a span at its edge is
+    widened within its line, and what it then touches is joined to it, until the field labels its ends O."""
+    while stretches:
+        pieces = [_pieces(texts[i], a, b) for i, a, b in stretches]
+        labels = field.decode([s for _, s in pieces])
+        wider: dict[int, list[tuple[int, int]]] = {}
+        for (i, a, b), (at, _), row in zip(stretches, pieces, labels):
+            text = texts[i]
+            grown = (a, b)
+            if len(row) and (row[0] or row[-1]):
+                more = max(reach, b - a)
+                c, d = _reach(text, a, b, more)
+                grown = (c if row[0] else a, d if row[-1] else b)
+            if grown == (a, b):
+                yield i, at, row
+            else:
+                wider.setdefault(i, []).append(grown)
+        stretches = []
+        for i, spans in wider.items():
+            joined: list[tuple[int, int]] = []
+            for a, b in sorted(spans):
+                if joined and a <= joined[-1][1]:
+                    a, b = joined[-1][0], max(b, joined.pop()[1])
+                joined.append((a, b))
+            stretches += [(i, a, b) for a, b in joined]
+
+
+def _spans(text: str, at: np.ndarray, row: np.ndarray):
+    """The labelled spans (start, kind number, end) that pass their kind's check."""
+    marked = np.flatnonzero(row)
+    k = 0
+    while k < len(marked):
+        begin = last = int(marked[k])
+        kind = (int(row[begin]) - 1) // 2
+        k += 1
+        while k < len(marked) and marked[k] == last + 1 and row[marked[k]] == 2 * kind + 2:
+            last = int(marked[k])
+            k += 1
+        a, b = int(at[begin]), int(at[last + 1])
+        inner = text[a:b]
+        a, b = a + len(inner) - len(inner.lstrip()), b - len(inner) + len(inner.rstrip())
+        if a < b and valid(kind, text[a:b]):
+            yield a, kind, b
 
 
 def added_spans(field: Field, texts: list[str], found: list[list]) -> list[list]:
-    """For each text the field's spans (start, kind number, end) beside the found ones."""
+    """For each text the field's spans (start, kind number, end) beside the found ones, which are in order."""
+    stretches = [(i, a, b) for i, text in enumerate(texts) for a, b in windows(text)]
+    more: dict[int, set] = {}
+    for i, at, row in _decoded(field, texts, stretches):
+        if row.any():
+            more.setdefault(i, set()).update(_spans(texts[i], at, row))
     out: list[list] = [[] for _ in texts]
-    sequences = []
-    for i, text in enumerate(texts):
-        for a, b in windows(text):
-            pieces = [(m.start(), m.end()) for m in PIECE.finditer(text, a, b)]
-            sequences.append((len(pieces), i, pieces))
-    sequences.sort(key=lambda s: s[0])
-    at = 0
-    while at < len(sequences):
-        end = at + 1
-        while end < len(sequences) and sequences[end][0] <= 1.3 * sequences[at][0] + 8 and (end - at) * sequences[end][0] < 100_000:
-            end += 1
-        part = sequences[at:end]
-        at = end
-        shapes = np.zeros((len(part), part[-1][0]), np.int64)
-        for r, (n, i, pieces) in enumerate(part):
-            shapes[r, :n] = [shape(texts[i][a:b]) for a, b in pieces]
-        labels = field.viterbi(shapes, np.array([n for n, _, _ in part]))
-        for (n, i, pieces), row in zip(part, labels):
-            k = 0
-            while k < n:
-                if row[k] == 0:
-                    k += 1
-                    continue
-                kind, begin = (row[k] - 1) // 2, k
-                k += 1
-                while k < n and row[k] == 2 * kind + 2:
-                    k += 1
-                a, b = pieces[begin][0], pieces[k - 1][1]
-                inner = texts[i][a:b]
-                a, b = a + len(inner) - len(inner.lstrip()), b - len(inner) + len(inner.rstrip())
-                if a < b and valid(kind, texts[i][a:b]) and all(b <= s or a >= e for s, _, e in (*found[i], *out[i])):
-                    out[i].append((a, int(kind), b))
+    for i, spans in more.items():
+        starts = [a for a, _, _ in found[i]]
+        furthest = list(accumulate((b for _, _, b in found[i]), max))
+        done = 0  # where the last added span ends
+        for a, kind, b in sorted(spans):
+            before = bisect_left(starts, b)
+            if a >= done and not (before and furthest[before - 1] > a):
+                out[i].append((a, kind, b))
+                done = b
     return out
 
 

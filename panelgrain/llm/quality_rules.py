@@ -20,8 +20,6 @@ from .common import settled, table
 
 BUCKETS = 8192
 SMOOTHING = 1.0
-#: The trusted multinomial is fitted to a bounded sample of the labelled documents: the first by hashed id.
-TRUSTED_LIMIT = 10_000
 #: Share of all trusted documents that may score below the threshold.
 TRUSTED_LOSS = 0.005
 #: Score bins a unit in which the threshold is found.
@@ -122,12 +120,10 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return good.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
 
 
-def fit_ratios(docs: DataFrame, labels: DataFrame, m: int = BUCKETS, limit: int = TRUSTED_LIMIT) -> list[float]:
-    """Log ratios.  The corpus counts cover all documents, the trusted ones a sample of at most
-    ``limit`` labelled ids, which bounds the broadcast."""
-    good = trusted_ids(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+def fit_ratios(docs: DataFrame, labels: DataFrame, m: int = BUCKETS) -> list[float]:
+    """Log ratios, from counts over all trusted documents and over all documents."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return log_ratios(gram_counts(texts.join(F.broadcast(good), "doc_id"), m), gram_counts(docs, m))
+    return log_ratios(gram_counts(texts.join(trusted_ids(labels), "doc_id", "left_semi"), m), gram_counts(docs, m))
 
 
 def threshold_of(scored: DataFrame, labels: DataFrame, loss: float = TRUSTED_LOSS) -> float:
@@ -147,10 +143,9 @@ def threshold_of(scored: DataFrame, labels: DataFrame, loss: float = TRUSTED_LOS
     return -math.inf
 
 
-def fit(docs: DataFrame, labels: DataFrame, m: int = BUCKETS, limit: int = TRUSTED_LIMIT,
-        loss: float = TRUSTED_LOSS) -> tuple[list[float], float]:
+def fit(docs: DataFrame, labels: DataFrame, m: int = BUCKETS, loss: float = TRUSTED_LOSS) -> tuple[list[float], float]:
     """Log ratios and threshold."""
-    ratios = fit_ratios(docs, labels, m, limit)
+    ratios = fit_ratios(docs, labels, m)
     return ratios, threshold_of(with_score(docs, ratios), labels, loss)
 
 

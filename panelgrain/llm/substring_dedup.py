@@ -175,7 +175,8 @@ def repeated_spans(docs: DataFrame, min_words: int = 8, unit_words: int = 3) ->
                                F.col("first.text_hash").alias("keep_hash"), F.col("first.unit").alias("keep_unit")))
     places = _places(docs, repeated, unit_words)
     # One place a digest: its kept one, found by its own place, which no other digest shares.
-    kept = (repeated.join(places.withColumnRenamed("h1", "k1").withColumnRenamed("h2", "k2"),
+    # Written, so that both sides of the join on the digest are shuffled: then Spark splits a frequent unit's rows.
+    kept = settled(repeated.join(places.withColumnRenamed("h1", "k1").withColumnRenamed("h2", "k2"),
                           (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & (F.col("text_hash") == F.col("keep_hash"))
                           & (F.col("unit") == F.col("keep_unit")) & F.col("doc_id").eqNullSafe(F.col("keep_doc_id")))
             .select("h1", "h2", "keep_doc_id", "keep_hash", "keep_unit", F.col("start").alias("keep_start"),

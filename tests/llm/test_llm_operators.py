@@ -21,6 +21,7 @@ from panelgrain.llm import (
     decontamination,
     language_id,
     line_dedup,
+    near_copies,
     pii,
     quality_classifier,
     quality_rules,
@@ -295,7 +296,10 @@ def test_language_id(spark, make):
     assert sum(r.lang_pred == "und" for r in odd) == sum(not letters[t] for _, t in odd_texts())
     assert {r.lang_pred for r in language_id.identify(docs, None).collect()} == {"und"}
     assert language_id.fit(docs.join(langs, "doc_id").limit(0)) is None
-    assert language_id.with_language(make(odd_texts()), model).columns[-2:] == ["lang_pred", "lang_score"]
+    clashing = make(odd_texts()).withColumns({"lang_pred": F.lit("x"), "lang_score": F.lit(1), "row": F.lit(2), "held_out": F.lit(3)})
+    rows = language_id.with_language(clashing, model)
+    assert rows.columns == ["row", "lang_pred", "lang_score"] and rows.select("row.*").columns == clashing.columns
+    assert counted((r.doc_id, r.text) for r in rows.select("row.*").collect()) == counted(odd_texts())
 
 
 def test_code_lengths_against_a_plain_tree():
@@ -456,6 +460,247 @@ def test_substring_dedup_of_single_units_and_cut_passages(spark, make):
     assert (words, keep) == (len(inner.split()), 3)
 
 
+# --- near copies
+
+def shingles(text, size=5):
+    words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return {" ".join(words[i:i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def near_expected(texts, share=0.8):
+    """For each text the least text of its group; all pairs are compared on their sets of shingles."""
+    texts = sorted(set(texts))
+    sets = [shingles(t) for t in texts]
+    holders = collections.defaultdict(list)
+    for k, s in enumerate(sets):
+        for x in s or {None}:
+            holders[x].append(k)
+    pairs = {(a, b) for g in holders.values() for n, a in enumerate(g) for b in g[n + 1:]}
+    edges = [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= share * len(sets[a] | sets[b])]
+    return {texts[k]: texts[r] for k, r in roots(range(len(texts)), edges).items()}
+
+
+def near_corpus(seed=8):
+    """Copies with a few words changed, added and cut, dense groups, and texts that only share some sentences."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(600)]
+    pairs = []
+    for g in range(12):
+        base = [rng.choice(vocabulary) for _ in range(rng.choice((60, 200, 500)))]
+        for _ in range(25):
+            own = list(base)
+            for _ in range(rng.randrange(1 + len(base) // 25)):
+                at = rng.randrange(len(own))
+                own[at:at + rng.randrange(2)] = [rng.choice(vocabulary)] * rng.randrange(3)
+            pairs.append((len(pairs), (" " if g % 2 else "\n").join(own).upper() if g % 3 else " ".join(own)))
+        pairs.append((len(pairs), " ".join(base[:len(base) // 2] + [rng.choice(vocabulary) for _ in base])))
+    return pairs
+
+
+@pytest.mark.parametrize("block", [16, 2048])
+def test_near_copies(spark, make, block, monkeypatch):
+    pairs = near_corpus() + [(1000 + k if k is not None else None, t) for k, t in odd_texts()] + [(7, "")]
+    monkeypatch.setattr(near_copies.candidate_links, "__defaults__", (near_copies.RADIUS, block))
+    group = near_expected([t or "" for _, t in pairs])
+    least = {}
+    for i, t in pairs:
+        g = group[t or ""]
+        least[g] = min((x for x in (least.get(g), i) if x is not None), default=None)
+    got = near_copies.near_copies(make(pairs))
+    assert counted((r.doc_id, r.component_id) for r in got.collect()) == counted((i, least[group[t or ""]]) for i, t in pairs)
+    assert near_copies.near_copies(make([])).count() == 0
+
+
+def test_a_forest_connects_what_all_pairs_connect():
+    rng = np.random.default_rng(3)
+    for n in (2, 5, 40, 120):
+        far = rng.integers(0, 100, (n, n)).astype(np.uint16)
+        far = np.minimum(far, far.T)
+        np.fill_diagonal(far, near_copies.FAR)
+        radius = 200 // n
+        want = roots(range(n), [(a, b) for a in range(n) for b in range(n) if far[a, b] <= radius])
+        u, v = near_copies.forest(far, radius)
+        assert (far[u, v] <= radius).all() and len(u) <= 2 * n
+        found = roots(range(n), list(zip(u.tolist(), v.tolist())))
+        assert {(a, b) for a in range(n) for b in range(n) if found[a] == found[b]} == {(a, b) for a in range(n) for b in range(n) if want[a] == want[b]}
+
+
+def test_cells_agree_with_segment_counts():
+    marks = np.random.default_rng(4).integers(0, 256, (50, 64)).astype(np.uint8)
+    bits = np.unpackbits(marks, axis=1).reshape(50, 32, 8, 2).sum(axis=3)
+    cells = near_copies.cells_of(marks)
+    for band in range(32):
+        same = cells[:, None, band] == cells[None, :, band]
+        assert (same == (bits[:, None, band] == bits[None, :, band]).all(axis=2)).all()
+
+
+# --- hot digests
+
+def largest_join_is_split(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "skew=true" in plan
+
+
+@pytest.mark.parametrize("which", ["lines", "units"])
+def test_a_line_in_every_document_is_joined_in_parts(spark, which):
+    """One line or sentence in all of 30,000 documents: Spark splits its rows in the join."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        line = "this very line stands in every document of the whole collection"
+        docs = spark.range(30_000).select(
+            F.col("id").alias("doc_id"),
+            F.concat(F.lit(line + (".\n" if which == "units" else "\n")), F.format_string("and %d is a number of its own.", "id")).alias("text"))
+        if which == "lines":
+            out = line_dedup.line_dedup(docs)
+            out.write.format("noop").mode("overwrite").save()
+            rows = out.groupBy("n_dropped").count()
+            found = {r["n_dropped"]: r["count"] for r in rows.collect()}
+            assert found == {0: 1, 1: 29_999}
+            out.collect()
+        else:
+            out = substring_dedup.repeated_spans(docs)
+            assert len({r.doc_id for r in out.collect()}) == 29_999
+        assert largest_join_is_split(out)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+# --- short benchmark items
+
+@pytest.mark.parametrize("n", range(7, 20))
+def test_every_substitution_in_a_short_item_is_met(n):
+    import itertools
+
+    masks = [*decontamination.MASKS, *([decontamination.SHORT_MASK] if n < decontamination.SHORT else [])]
+    for gone in itertools.combinations(range(n), n - math.ceil(0.8 * n)):
+        assert any(all(s + o not in gone for o in mask) for mask in masks for s in range(n - mask[-1]))
+
+
+@pytest.mark.parametrize("n", [7, 10, 11, 12, 15, 16])
+def test_short_items_are_found_under_all_their_substitutions(spark, make, n):
+    import itertools
+
+    item = [f"word{k}" for k in range(n)]
+    pairs = []
+    for gone in itertools.combinations(range(n), n - math.ceil(0.8 * n)):
+        text = [f"other{k}" if k in gone else w for k, w in enumerate(item)]
+        pairs.append((len(pairs), "before it " + " ".join(text) + " and after"))
+    over = [f"other{k}" if k < n - math.ceil(0.8 * n) + 1 else w for k, w in enumerate(item)]
+    bench = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    got = decontamination.contaminated(make([*pairs, (9999, " ".join(over))]), bench)
+    assert {r.doc_id for r in got.collect()} == {i for i, _ in pairs}
+
+
+# --- the random field
+
+def test_decoding_in_blocks_equals_one_pass():
+    field = pii.train(steps=20)
+    rng = np.random.default_rng(1)
+
+    def plain(shapes):
+        score = field.weights[pii.Field.features(shapes[None])].sum(axis=2)[0]
+        best, back = score[0], []
+        for t in range(1, len(shapes)):
+            to = best[:, None] + field.steps
+            back.append(to.argmax(axis=0))
+            best = to.max(axis=0) + score[t]
+        out = [int(best.argmax())]
+        for b in back[::-1]:
+            out.append(int(b[out[-1]]))
+        return out[::-1]
+
+    sequences = [rng.integers(1, pii.N_SHAPES, n) for n in (1, 2, 5, 63, 64, 65, 128, 129, 300, 1000)] * 2
+    for shapes, labels in zip(sequences, field.decode(sequences)):
+        assert labels.tolist() == plain(shapes)
+    for shapes in [rng.integers(1, pii.N_SHAPES, n) for n in (1, 2, 3, 4)]:  # all labellings
+        import itertools
+
+        score = field.weights[pii.Field.features(shapes[None])].sum(axis=2)[0]
+
+        def value(row):
+            return sum(score[t, y] for t, y in enumerate(row)) + sum(field.steps[a, b] for a, b in zip(row, row[1:]))
+        best = max(itertools.product(range(len(pii.LABELS)), repeat=len(shapes)), key=value)
+        assert value(field.decode([shapes])[0].tolist()) == pytest.approx(value(best))
+
+
+def test_the_gradient_reaches_the_labels():
+    field = pii.train()
+    shapes, labels, length = pii.labelled()
+    rows = [s[:n] for s, n in zip(shapes, length)]
+    right = sum((got == y[:n]).sum() for got, y, n in zip(field.decode(rows), labels, length))
+    assert right / length.sum() > 0.99
+
+
+def test_spans_are_never_cut(spark):
+    field = pii.train()
+
+    def added(text):
+        return [(pii.KINDS[k], text[a:b]) for a, k, b in pii.added_spans(field, [text], [pii.base_spans(text)])[0]]
+    long_name = "firstname.middlename.lastname.departmentname (at) corp.example.org"
+    assert added(long_name) == [("email", long_name)]
+    assert added(f"write to {long_name} today") == [("email", long_name)]
+    assert added("kim (AT) corp.example.org") == [("email", "kim (AT) corp.example.org")]
+    assert added("tel 030 1234 5678") == [("phone", "030 1234 5678")]
+    assert added("we met at the old house. It was late") == []
+    # Offsets count from the text's beginning, in every line.
+    text = "first line\n" * 500 + "tel 030 1234 5678 between 9 and 5\nlast"
+    assert added(text) == [("phone", "030 1234 5678")]
+
+
+def test_a_long_text_of_digits():
+    import time
+
+    text = "12 34 56, " * 30_000
+    start = time.perf_counter()
+    assert pii.added_spans(pii.train(), [text], [pii.base_spans(text)]) == [[]]
+    assert time.perf_counter() - start < 60
+
+
+# --- quality rules by brute force
+
+def test_scores_and_verdicts(spark, make):
+    rng = random.Random(5)
+    good, all_words = ["sound", "clear", "fine", "useful"], ["sound", "clear", "fine", "useful", "junk", "spam", "win", "now"]
+    pairs = [(i, " ".join(rng.choice(good if i % 3 else all_words) for _ in range(60 + i % 7))) for i in range(90)] + [(500, None), (501, "sound")]
+    labels = [(i, int(i % 3 > 0), 0) for i in range(60)]
+    docs = make(pairs)
+    m = 64
+    ratios, low = quality_rules.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), m, loss=0.1)
+
+    def hashes(values, kind):
+        frame = spark.createDataFrame([(k, v) for k, v in enumerate(values)], f"k int, v {kind}")
+        key = F.xxhash64("v") if kind == "string" else F.xxhash64(F.col("v")[0], F.col("v")[1])
+        return {r.k: r.h for r in frame.select("k", key.alias("h")).collect()}
+    vocabulary = sorted(set(all_words))
+    word = dict(zip(vocabulary, (h for _, h in sorted(hashes(vocabulary, "string").items()))))
+    both = [(a, b) for a in vocabulary for b in vocabulary]
+    pair = dict(zip(both, (h for _, h in sorted(hashes([[word[a], word[b]] for a, b in both], "array<long>").items()))))
+
+    def grams(text):
+        w = (text or "").split()
+        return [word[x] % m for x in w] + [pair[x] % m for x in zip(w, w[1:])]
+    corpus, trusted = collections.Counter(), collections.Counter()
+    for i, t in pairs:
+        corpus.update(grams(t))
+        if i < 60 and i % 3:
+            trusted.update(grams(t))
+    want = quality_rules.log_ratios([trusted[k] for k in range(m)], [corpus[k] for k in range(m)])
+    assert ratios == pytest.approx(want)
+    score = {i: sum(want[g] for g in grams(t)) / len(grams(t)) if t else 0.0 for i, t in pairs}
+    got = {r.doc_id: r for r in quality_rules.quality_rules(docs, ratios, low).collect()}
+    assert all(got[i].score == pytest.approx(score[i]) for i, _ in pairs)
+    failed = {i: rules_expected(t)[-1] for i, t in pairs}
+    assert all(got[i].kept == (not failed[i] and got[i].score >= low) for i, _ in pairs)
+    below = sum(score[i] < low for i in range(60) if i % 3)
+    assert 0 < below <= 4
+
+
 # --- registered queries
 
 @needs_tables
@@ -483,6 +728,18 @@ def test_query_covers_its_table(spark, number):
         assert sorted(r.doc_id for r in rows) == sorted(ids)
 
 
+@needs_tables
+def test_stages_take_columns_of_any_name(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns(
+        {c: F.lit("x") for c in ("lang_pred", "lang_score", "row", "carried", "first", "root", "text_hash", "lost", "mark", "held_out")})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and 0 < out.count() <= docs.count()
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
 def test_language_stage_without_a_model_keeps_what_has_letters(spark, make):
     import corpus_pipeline
 
@@ -501,12 +758,11 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, library):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     rows = [(i, t) for i, t in rows if t and any(c.isalpha() for c in t)]
     rows = [(i, t) for i, t, _, _ in lines_expected(rows)]
-    marks = {i: fingerprint(t) for i, t in rows}
-    group = roots(set(marks.values()), close_pairs(set(marks.values())))
+    group = near_expected([t for _, t in rows])
     first = {}
-    for i, _ in rows:
-        first[group[marks[i]]] = min(i, first.get(group[marks[i]], i))
-    rows = [(i, t) for i, t in rows if first[group[marks[i]]] == i]
+    for i, t in rows:
+        first[group[t]] = min(i, first.get(group[t], i))
+    rows = [(i, t) for i, t in rows if first[group[t]] == i]
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
 
     def words(t):
