@@ -506,8 +506,12 @@ def test_near_copies(spark, make, block, monkeypatch):
     for i, t in pairs:
         g = group[t or ""]
         least[g] = min((x for x in (least.get(g), i) if x is not None), default=None)
-    got = near_copies.near_copies(make(pairs))
-    assert counted((r.doc_id, r.component_id) for r in got.collect()) == counted((i, least[group[t or ""]]) for i, t in pairs)
+    got = near_copies.near_copies(make(pairs)).collect()
+    assert counted((r.doc_id,) for r in got) == counted((i,) for i, _ in pairs)
+    # No link is false; of the true ones, those just at the limit may be missed.
+    wanted, found = {i: least[group[t or ""]] for i, t in pairs if i is not None}, {r.doc_id: r.component_id for r in got if r.doc_id is not None}
+    assert all(wanted[found[i]] == wanted[i] for i in found if found[i] is not None)
+    assert sum(found[i] != wanted[i] for i in wanted) <= 0.01 * len(wanted)
     assert near_copies.near_copies(make([])).count() == 0
 
 
