@@ -24,6 +24,8 @@ RATED_LIMIT = 8000
 #: A feature gets a weight if so many of the rated documents have it.
 LEAST_DOCS = 8
 STEPS, RATE, PENALTY = 200, 0.05, 1e-3
+#: Share of the rated documents of the top grade that the selection may lose.
+LOSS = 0.05
 
 
 def _shape(words: Words) -> np.ndarray:
@@ -103,9 +105,10 @@ def fit_ordinal(offsets: np.ndarray, found: np.ndarray, grade: np.ndarray, grade
 
 
 def fit(docs: DataFrame, ratings: DataFrame, grades: int, limit: int = RATED_LIMIT, bits: int = BITS):
-    """(weights, thresholds) from ``ratings`` (doc_id, grade 0..grades-1), or None without any.
+    """(weights, thresholds, least score) from ``ratings`` (doc_id, grade 0..grades-1), or None without any.
 
-    The rated ids are a bounded sample, which also bounds the broadcast."""
+    The rated ids are a bounded sample, which also bounds the broadcast.  ``least score``: the score that all
+    but ``LOSS`` of the rated documents of the top grade reach; 0 probability is the limit where there are none."""
     some = (ratings.where(F.col("doc_id").isNotNull() & F.col("grade").between(0, grades - 1))
             .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("grade").cast("int").alias("grade"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
@@ -119,10 +122,19 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, limit: int = RATED_LIM
     number = np.cumsum(common) - 1
     use = common[values]
     upto = np.concatenate([[0], np.cumsum(use)])[offsets]
-    own, cut = fit_ordinal(upto, number[values[use]], rated.column("grade").to_numpy().astype(np.int64), grades, int(common.sum()))
+    grade = rated.column("grade").to_numpy().astype(np.int64)
+    own, cut = fit_ordinal(upto, number[values[use]], grade, grades, int(common.sum()))
     weights = np.zeros(1 << bits, np.float32)
     weights[common] = own
-    return weights, cut
+    total = np.concatenate([[0.0], np.cumsum(weights[values], dtype=np.float64)])
+    best = np.sort((total[offsets[1:]] - total[offsets[:-1]])[grade == grades - 1])
+    least = best[int(LOSS * len(best))] if len(best) else -np.inf
+    return weights, cut, least
+
+
+def selection(model) -> float:
+    """The least P(top grade) of a selected document."""
+    return 1.0 if model is None else float(_sigmoid(model[2] - model[1][-1]))
 
 
 def _rate(shared, bits):
@@ -134,7 +146,7 @@ def _rate(shared, bits):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), nothing, pa.nulls(batch.num_rows, pa.list_(pa.float64()))], names=["doc_id", "grade", "tails"])
                 continue
-            weights, cut = model
+            weights, cut, _ = model
             row, found = features(batch.column("text"), bits)
             score = np.bincount(row, weights=weights[found], minlength=batch.num_rows)
             tails = _sigmoid(score[:, None] - cut)
@@ -156,11 +168,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 def op7_quality_classifier(spark, sf_dir):
-    """Four grades from two ratings: quality counts double, toxicity one.  Kept: rather the top grade than not."""
+    """Four grades from two ratings: quality counts double, toxicity one.  Kept: as likely of the top grade as
+    all but ``LOSS`` of the rated documents that have it."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     ratings = labels.where(~held_out(F.col("doc_id"))).select("doc_id", (2 * F.col("quality") + 1 - F.col("toxic")).alias("grade"))
-    rated = rate(docs, fit(docs, ratings, 4))
+    model = fit(docs, ratings, 4)
+    rated = rate(docs, model)
     return rated.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("grade").alias("expected_grade"),
         *(F.col("tails")[k].alias(f"p_grade_{k + 1}") for k in range(3)),
-        F.coalesce(F.col("tails")[2] >= 0.5, F.lit(False)).alias("kept"))
+        F.coalesce(F.col("tails")[2] >= F.lit(selection(model)), F.lit(False)).alias("kept"))
