@@ -24,6 +24,8 @@ SMOOTHING = 1.0
 TRUSTED_LOSS = 0.005
 #: Score bins a unit in which the threshold is found.
 BINS = 10_000
+#: Ids of eight bytes that are broadcast at most.
+FEW_IDS = 1_000_000
 BREAKS = r"[\x20\x09-\x0D]+"
 
 
@@ -121,9 +123,15 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 
 def fit_ratios(docs: DataFrame, labels: DataFrame, m: int = BUCKETS) -> list[float]:
-    """Log ratios, from counts over all trusted documents and over all documents."""
+    """Log ratios, from counts over all trusted documents and over all documents.
+
+    The trusted ids are counted first: up to ``FEW_IDS`` they are sent to the texts, more meet them in a shuffle.
+    """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return log_ratios(gram_counts(texts.join(trusted_ids(labels), "doc_id", "left_semi"), m), gram_counts(docs, m))
+    ids = trusted_ids(labels)
+    if ids.count() <= FEW_IDS:
+        ids = F.broadcast(ids)
+    return log_ratios(gram_counts(texts.join(ids, "doc_id", "left_semi"), m), gram_counts(docs, m))
 
 
 def threshold_of(scored: DataFrame, labels: DataFrame, loss: float = TRUSTED_LOSS) -> float:
