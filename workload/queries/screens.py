@@ -9,6 +9,9 @@ from panelgrain.operators import peers as PE
 from panelgrain.operators import screens as SC
 from panelgrain.operators import statements as ST
 from panelgrain.operators import technical as TE
+from panelgrain.operators import medians as MEDIANS
+from panelgrain.operators import search as SEARCH
+from panelgrain.operators import validity as VALID
 
 from .. import oracle as O
 from .. import views as V
@@ -298,7 +301,49 @@ FROM daily d JOIN snapshot USING (symbol)"""
 R21_OUTLIER = R21.replace(
     "FROM daily d", f"FROM (SELECT * REPLACE (CASE WHEN {FAR} THEN change_pct * 1e6 ELSE change_pct END AS change_pct) FROM daily) d")
 
+def r02_fuzzy(spark, sf_dir):
+    """Customer names and part types searched by misspelt ones: a letter lost, one doubled, two changed."""
+    names = V.table(spark, sf_dir, "part").select(F.lower("p_name").alias("name"), F.col("p_partkey").alias("part"))
+    key = F.col("part") % 50 == 0
+    wrong = F.concat(F.substring("name", 1, 3), F.lit("x"), F.expr("substring(name, 5)"))
+    queries = names.filter(key).select(wrong.alias("query"))
+    return SEARCH.fuzzy_search(names, "name", queries, 2).select("part", "name", "query", "distance")
+
+
+R02_FUZZY = """
+WITH n AS (SELECT lower(p_name) AS name, p_partkey AS part FROM part),
+q AS (SELECT DISTINCT substr(name, 1, 3) || 'x' || substr(name, 5) AS query FROM n WHERE part % 50 = 0)
+SELECT part, name, query, CAST(levenshtein(query, name) AS INTEGER) AS distance
+FROM n JOIN q ON levenshtein(query, name) <= 2"""
+
+
+def r20_intervals(spark, sf_dir):
+    """Events with the state that the last sign-up or error of their user set, on its day or before."""
+    events = V.events(spark, sf_dir)
+    changes = events.filter(F.col("event_type").isin("signup", "error")).select(
+        "symbol", "date", "ts", "event_id", (F.col("event_type") == "signup").alias("active"))
+    spans = VALID.validity(changes, "active", ["ts", "event_id"])
+    return VALID.join_valid(events.select("symbol", "date", "event_id"), spans, "active")
+
+
+R20_INTERVALS = """
+WITH c AS (SELECT symbol, date, last(event_type ORDER BY ts, event_id) = 'signup' AS active
+           FROM ev WHERE event_type IN ('signup', 'error') GROUP BY 1, 2)
+SELECT e.symbol, e.date, event_id, active FROM ev e ASOF LEFT JOIN c ON e.symbol = c.symbol AND e.date >= c.date"""
+
+
+def a08_raw_median(spark, sf_dir):
+    """Median price of single order lines by return flag: three groups that hold all rows."""
+    lines = V.lines(spark, sf_dir).select(F.col("l_returnflag").alias("symbol"), "px")
+    return V.rounded(MEDIANS.medians(lines, "px"))
+
+
+A08_RAW = f"""SELECT l_returnflag AS symbol, {O.r6("median(px)")} AS median FROM lines GROUP BY 1"""
+
 QUERIES = {
+    "r02_fuzzy_search": (r02_fuzzy, O.sql(R02_FUZZY)),
+    "r20_validity_intervals": (r20_intervals, O.sql(R20_INTERVALS)),
+    "a08_median_of_raw_rows": (a08_raw_median, O.sql(A08_RAW)),
     "r01_screener": (r01_screener, O.sql(R01)),
     "r01_screener_page": (r01_screener_page, O.sql(R01_PAGE)),
     "r02_symbol_search": (r02_search, O.sql(R02)),
