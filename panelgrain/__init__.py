@@ -1,13 +1,14 @@
 """Versioned, multi-grain panel analytics on PySpark."""
 
 from .plans.query import PanelQuery, discover
+from .sources.bucketed import BucketedStore
 from .sources.catalog import Catalog, FieldSpec, TableSpec, default_catalog
 from .sources.grain import Grain
 from .sources.store import FrameSource, Source, VersionedStore
 
 __all__ = [
-    "Catalog", "FieldSpec", "FrameSource", "Grain", "PanelQuery", "Source", "TableSpec",
-    "VersionedStore", "default_catalog", "discover",
+    "BucketedStore", "Catalog", "FieldSpec", "FrameSource", "Grain", "PanelQuery", "Source",
+    "TableSpec", "VersionedStore", "default_catalog", "discover",
 ]
 
 

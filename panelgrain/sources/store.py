@@ -206,7 +206,33 @@ class FrameSource(Source):
         return a is not None and a is b and self.catalog[table].grain is self.catalog[other].grain
 
 
-class VersionedStore(Source):
+class YearFolders(Source):
+    """A source whose dated tables have a column ``date_year`` that stands for folders: bounds on dates prune them."""
+
+    def __init__(self, catalog: Catalog | None = None):
+        self.catalog = catalog or default_catalog()
+
+    def until(self, table: str, day: date | str) -> DataFrame:
+        df = self.frame(table)
+        if not self.catalog[table].by_date:
+            return df
+        return df.filter(F.col("date_year") <= F.year(F.lit(day).cast("date"))).drop("date_year")
+
+    def scan(self, table, columns=None, symbols=None, start=None, end=None, version_as_of=None, **kw):
+        spec = self.catalog[table]
+        if not (spec.by_date and (start is not None or end is not None)):
+            return super().scan(table, columns, symbols, start, end, version_as_of, **kw)
+        pruned = self.frame(table)
+        if start is not None:
+            pruned = pruned.filter(F.col("date_year") >= F.year(F.lit(start).cast("date")))
+        if end is not None:
+            pruned = pruned.filter(F.col("date_year") <= F.year(F.lit(end).cast("date")))
+        return FrameSource({table: pruned}, self.catalog).scan(
+            table, columns, symbols, start, end, version_as_of, **kw
+        )
+
+
+class VersionedStore(YearFolders):
     """One directory per table, ``root/<table>/load=<id>/``, of append-only parquet.
 
     Date-keyed tables are partitioned by ``date_year`` below that, so that date filters prune
@@ -222,9 +248,9 @@ class VersionedStore(Source):
     TAKEN = "_taken"
 
     def __init__(self, spark: SparkSession, root: str, catalog: Catalog | None = None):
+        super().__init__(catalog)
         self.spark = spark
         self.root = root.rstrip("/")
-        self.catalog = catalog or default_catalog()
 
     # -- layout ------------------------------------------------------------
     def _fs(self, path: str):
@@ -352,25 +378,6 @@ class VersionedStore(Source):
     def frame(self, table: str) -> DataFrame:
         return self._stored(table).drop("load")
 
-    def until(self, table: str, day: date | str) -> DataFrame:
-        df = self.frame(table)
-        if not self.catalog[table].by_date:
-            return df
-        return df.filter(F.col("date_year") <= F.year(F.lit(day).cast("date"))).drop("date_year")
-
-    def scan(self, table, columns=None, symbols=None, start=None, end=None, version_as_of=None, **kw):
-        spec = self.catalog[table]
-        if not (spec.by_date and (start is not None or end is not None)):
-            return super().scan(table, columns, symbols, start, end, version_as_of, **kw)
-        pruned = self.frame(table)
-        if start is not None:
-            pruned = pruned.filter(F.col("date_year") >= F.year(F.lit(start).cast("date")))
-        if end is not None:
-            pruned = pruned.filter(F.col("date_year") <= F.year(F.lit(end).cast("date")))
-        return FrameSource({table: pruned}, self.catalog).scan(
-            table, columns, symbols, start, end, version_as_of, **kw
-        )
-
     def revisions(self, table: str, symbol: str | None = None, **equals) -> DataFrame:
         return V.revisions(self.frame(table).drop("date_year"), symbol, **equals)
 

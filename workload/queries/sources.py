@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelgrain import FieldSpec, Grain, TableSpec, VersionedStore, default_catalog
+from panelgrain import BucketedStore, FieldSpec, Grain, PanelQuery, TableSpec, VersionedStore, default_catalog
 from panelgrain.plans.session import shared_folder
 from panelgrain.sources import landing as L
 
@@ -82,6 +82,31 @@ SELECT symbol, date, securities_transacted, insider_price, acquisition_or_dispos
 FROM insider_trades WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"""
 
 
+def s02_bucketed_layout(spark, sf_dir):
+    """Prices of a year are corrected after a publication: that year is published anew, then read with statements."""
+    folder = shared_folder(spark, "bucketed")
+    given = V.source(spark, sf_dir)
+    days = given.scan("daily_price")
+    wrong = F.when(F.year("date") == 1997, F.col("close") * 2).otherwise(F.col("close"))
+    store = VersionedStore(spark, f"{folder}/store")
+    store.append_conformed("daily_price", days.withColumn("close", wrong), "2024-01-01 00:00:00", 1)
+    published = BucketedStore(spark, f"{folder}/published", buckets=8)
+    published.publish("daily_price", store)
+    published.publish("income_statement", given)
+    store.append_conformed("daily_price", days.filter(F.year("date") == 1997), "2024-02-01 00:00:00", 2)
+    if (again := published.refresh("daily_price", store, "2024-01-01 00:00:00")) != [1997]:
+        raise ValueError(f"published anew: {again}")
+    q = PanelQuery(published, V.registry()).all_symbols().select("close", "revenue", "return_1d")
+    return V.rounded(q.execute())
+
+
+S02_BUCKETED = f"""
+SELECT symbol, date, {O.r6("close")} AS close, revenue,
+       {O.r6("close / lag(close) OVER (PARTITION BY symbol ORDER BY date) - 1")} AS return_1d
+FROM (SELECT s.symbol, s.date, close, revenue
+      FROM daily s ASOF LEFT JOIN quarterly q ON s.symbol = q.symbol AND s.date >= q.date)"""
+
+
 def s04_source_names(spark, sf_dir):
     rows = V.source(spark, sf_dir).read_source_names("insider_trades")
     return rows.select(
@@ -203,6 +228,7 @@ JOIN (SELECT symbol, count(*) AS quarters, CAST(sum(revenue) AS BIGINT) AS reven
 QUERIES = {
     "s01_typed_append": (s01_typed_append, O.sql(S01)),
     "s02_typed_table": (s02_typed_table, O.sql(S02)),
+    "s02_s03_bucketed_layout": (s02_bucketed_layout, O.sql(S02_BUCKETED)),
     "s03_latest_scan": (s03_latest_scan, O.sql(S03)),
     "s04_source_names": (s04_source_names, O.sql(S04)),
     "s05_csv_cleanup": (s05_csv_cleanup, O.sql(S05)),
