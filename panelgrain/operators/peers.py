@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import ratio
+from ..plans.session import settled
 
 
 def group_performance(df: DataFrame, change: str, group: Sequence[str] = ("date", "sector")) -> DataFrame:
@@ -28,45 +29,38 @@ def group_pe(
     return df.groupBy(*group).agg(ratio(F.sum(cap), F.sum(income)).alias("pe"))
 
 
-# Ranges of about equally many distinct values a group is cut into when ranks are counted.
-RANK_RANGES = 64
-CUTS = [k / RANK_RANGES for k in range(1, RANK_RANGES)]
-
-
 def peer_statistics(
     df: DataFrame, value: str, group: Sequence[str] = ("date", "sector")
 ) -> DataFrame:
     """Each row's z-score, percentile rank and distance to the group median.
 
-    The exact percentile rank (rows below / (rows − 1)) is counted in two levels:
-    distinct values are counted first, values are cut into ranges at approximate quantiles
-    of the group's own distinct values, and running counts are taken over ranges and inside
-    each range; where the cuts lie does not change the result.  The exact median
-    is the value or pair of values whose counts cover the middle row.  NULL and NaN are
+    The exact percentile rank (rows below / (rows − 1)) is counted on distinct values: these are
+    counted, dealt by sorted ranges of (group, value), which cut a large group wherever the data
+    ask for it, and running counts are taken over a group's ranges and inside each range.  The exact
+    median is the value or pair of values whose counts cover the middle row.  NULL and NaN are
     missing: they are no peers and get NULL.
+
+    The rows are written once to the shared folder, and so are the counts: both are read twice, and
+    what they were computed from (a panel's scans and joins) is not planned or run again.
     """
     keys = list(group)
     v, c = F.col(value), F.col("__c")
-    # Everything below works on distinct values per group; the rows are read once for
-    # them and once more for the final joins.
-    counts = df.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
-    totals = counts.groupBy(*keys).agg(
-        ratio(F.sum(v * c), F.sum(c)).alias("__mean"),
-        F.percentile_approx(value, CUTS, 1000).alias("__cuts"),
-        F.sum(c).alias("__n"),
-    )
-    ranged = counts.join(totals, keys).withColumn(
-        "__range", F.size(F.filter("__cuts", lambda cut: cut < v))
-    )
-    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranged.groupBy(*keys, "__range").agg(F.sum("__c").alias("__total"))
+    rows = settled(df)
+    counts = rows.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
+    dealt = settled(counts.repartitionByRange(*keys, value).withColumn("__range", F.spark_partition_id()))
+    of_group = Window.partitionBy(*keys)
+    before = of_group.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = dealt.groupBy(*keys, "__range").agg(F.sum(c).alias("__here"), F.sum(v * c).alias("__sum"))
     ranges = ranges.select(
-        *keys, "__range", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__ahead")
+        *keys, "__range",
+        F.coalesce(F.sum("__here").over(before), F.lit(0)).alias("__ahead"),
+        F.sum("__here").over(of_group).alias("__n"),
+        ratio(F.sum("__sum").over(of_group), F.sum("__here").over(of_group)).alias("__mean"),
     )
     inside = Window.partitionBy(*keys, "__range").orderBy(value).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    below = ranged.join(ranges, [*keys, "__range"]).select(
+    below = dealt.join(ranges, [*keys, "__range"]).select(
         *keys, value, "__c", "__n", "__mean",
         (F.col("__ahead") + F.coalesce(F.sum("__c").over(inside), F.lit(0))).alias("__below"),
     )
@@ -82,7 +76,7 @@ def peer_statistics(
         F.sqrt(ratio(F.sum(c * F.pow(v - F.col("__mean"), 2)), F.max("__n") - 1)).alias("__peer_sd"),
         F.max("__n").alias("__peers"),
     )
-    joined = df.join(peers, keys, "left").join(
+    joined = rows.join(peers, keys, "left").join(
         below.select(*keys, value, "__below"), [*keys, value], "left"
     )
     return joined.select(
