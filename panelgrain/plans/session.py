@@ -22,6 +22,8 @@ def local_session(cpus: int | str = "*", memory: str = "8g", app: str = "panelgr
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Call sites in error messages cost several calls into the JVM per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.extraJavaOptions", "-Duser.timezone=UTC")
         .getOrCreate()
     )
