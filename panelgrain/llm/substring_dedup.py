@@ -1,17 +1,25 @@
 """Substring dedup: hash sentence-sized units of every line, keep each unit's earliest occurrence.
 
 A text is cut at line breaks and after ``. ! ?`` before a blank; a unit is normalised to its words
-in lower case, without punctuation.  Equal units (128-bit digests) are ranked by document, then
-place.  A later occurrence is extended, word by word, over what equals the words beside its kept
-occurrence, as far as the next unit reaches; so passages cut inside sentences go with their rests.
-Touching stretches are merged, and what holds ``min_words`` repeated words or more is removed.
-Units of fewer than ``unit_words`` words are not compared by themselves: they are removed only as
-part of an extension, and they do not keep the words on either side from being counted together.
-No extension enters a unit of which this is the kept occurrence.
+in lower case, without punctuation.  What is longer than 64 words is cut once more, after words
+whose hash says so and at 64 words at the latest, so no unit is longer.  Equal units (128-bit
+digests) are ranked by document, then place.  A later occurrence is extended, word by word, over
+what equals the words beside its kept occurrence, as far as the next unit reaches; so passages cut
+inside sentences go with their rests.  Touching stretches are merged, and what holds ``min_words``
+repeated words or more is removed.  Pieces of fewer than ``unit_words`` words are joined with such
+pieces beside them; what is still shorter is not compared by itself: it is removed only as part of
+an extension, and it does not keep the words on either side from being counted together.  So the
+text beside a unit that travels with it is bounded too.  No extension enters a unit of which this
+is the kept occurrence.
+
+Loops (up to eight words said over and over) have no unit to begin with: of each, what follows the
+first round goes if it has ``min_words`` words or more, be it inside a kept unit or not.
+
+With ``unit_words=1, min_words=1`` every later sentence goes, however short.
 
 Defined results: null and empty texts have no units; rows without doc_id rank last; rows that
 repeat a doc_id are told apart by a hash of their text, and fully equal rows get the same spans;
-offsets are code points of the original text, end exclusive.
+offsets are code points of the original text, end exclusive; ``n_units`` is 0 for a loop alone.
 """
 
 from __future__ import annotations
@@ -24,6 +32,8 @@ from pyspark.sql import functions as F
 from .common import Words, bitmap_of, chunks, in_bitmap, mix, powers, settled, table, with_text
 
 BITMAP_BITS = 26
+UNIT_LIMIT = 64  # words of a unit at most
+LOOP_WORDS = 8  # words that a loop repeats at most
 UNIT_SCHEMA = "doc_id long, text_hash long, unit int, h1 long, h2 long"
 #: ``first``, ``last``: words of the text; ``before``, ``after``: the text beside the unit up to the far end of the
 #: next unit; ``*_short``: how many of its words lie in short units between.
@@ -31,7 +41,12 @@ PLACE_SCHEMA = (UNIT_SCHEMA + ", start int, end int, first int, last int, before
                 "after string, after_short int")
 
 
-def _cut(words: Words):
+def _lengths(begins: np.ndarray):
+    head = np.flatnonzero(begins)
+    return head, np.diff(np.append(head, len(begins)))
+
+
+def _cut(words: Words, unit_words: int):
     """First word, length and digests of the units of many texts."""
     n = len(words.start)
     sentence_end = np.zeros(256, bool)
@@ -45,7 +60,14 @@ def _cut(words: Words):
     stops[:-1] &= (data[1:] == 32) | (data[1:] == 9) | (data[1:] == 13)
     stopped = np.cumsum(stops)
     gap[1:] |= stopped[words.start[1:]] != stopped[words.start[:-1]]
-    head = np.flatnonzero(gap)
+    head, length = _lengths(gap)
+    if int(length.max()) > UNIT_LIMIT:
+        long = np.repeat(length > UNIT_LIMIT, length)
+        gap[1:] |= long[1:] & ((words.hash[:-1] >> np.uint64(40)) % np.uint64(UNIT_LIMIT // 4) == 0)
+        head, length = _lengths(gap)
+        gap |= (np.arange(n) - np.repeat(head, length)) % UNIT_LIMIT == 0
+        head, length = _lengths(gap)
+    head = head[_joined(head, length < unit_words, words.row, unit_words)]
     length = np.diff(np.append(head, n))
     order = powers(int(length.max()))[np.arange(n) - np.repeat(head, length)]
     h1 = mix(np.add.reduceat(words.hash * order, head) + length.astype(np.uint64))
@@ -53,6 +75,56 @@ def _cut(words: Words):
     return head, length, h1, h2
 
 
+def _joined(head: np.ndarray, short: np.ndarray, row: np.ndarray, unit_words: int) -> np.ndarray:
+    """Which pieces still begin a unit when neighbouring short ones are joined to about ``unit_words`` words."""
+    follows = np.zeros(len(head), bool)  # a short piece behind a short piece of the same text
+    follows[1:] = short[1:] & short[:-1] & (row[head[1:]] == row[head[:-1]])
+    origin = head[np.maximum.accumulate(np.where(follows, 0, np.arange(len(head))))]
+    group = (head - origin) // unit_words
+    begins = ~follows
+    begins[1:] |= group[1:] != group[:-1]
+    return begins
+
+
+def _loop_batches(min_words: int):
+    def find(batches):
+        for batch in chunks(batches):
+            words = Words(batch.column("text"))
+            n = len(words.start)
+            period = np.zeros(n + 1, np.int64)  # 0: the word continues no loop
+            for p in range(1, min(LOOP_WORDS, n - 1) + 1):
+                same = np.zeros(n + 2, np.int8)
+                same[p + 1:n + 1] = (words.hash[p:] == words.hash[:-p]) & (words.row[p:] == words.row[:-p])
+                turn = np.diff(same)
+                begin, end = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
+                enough = end - begin >= max(min_words, p)
+                for a, b in zip(begin[enough].tolist(), end[enough].tolist()):
+                    part = period[a:b]
+                    part[part == 0] = p
+            inside = np.zeros(n + 2, np.int8)
+            inside[1:n + 1] = period[:n] > 0
+            # Loops of two texts do not touch: the first word of a text continues nothing.
+            turn = np.diff(inside)
+            begin, end = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
+            if not len(begin):
+                continue
+            row = words.row[begin]
+            first, zero = begin - words.first[row], np.zeros(len(begin), np.int32)
+            start = pa.array(words.code_points(words.start[begin], row).astype(np.int32))
+            stop = pa.array(words.code_points(words.end[end - 1], row).astype(np.int32))
+            at = pa.array(row)
+            doc, zero = batch.column("doc_id").take(at), pa.array(zero)
+            yield pa.RecordBatch.from_arrays(
+                [doc, batch.column("text_hash").take(at), pa.array((-1 - first).astype(np.int32)), start, stop,
+                 pa.array(first.astype(np.int32)), pa.array((end - words.first[row]).astype(np.int32)),
+                 pa.array(np.zeros(len(begin), bool)), doc,
+                 pa.array(words.code_points(words.start[begin - period[begin]], row).astype(np.int32)),
+                 zero, start, zero, start, zero, stop, zero, stop],
+                names=EXTENDED_NAMES)
+
+    return find
+
+
 def _slices(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
     whole = data.tobytes()
     return pa.array([whole[a:b] for a, b in zip(begin.tolist(), end.tolist())], pa.binary()).cast(pa.string())
@@ -64,7 +136,7 @@ def _unit_batches(unit_words: int, bitmap=None):
             words = Words(batch.column("text"))
             if not len(words.start):
                 continue
-            head, length, h1, h2 = _cut(words)
+            head, length, h1, h2 = _cut(words, unit_words)
             keep = length >= unit_words
             head, length, h1, h2 = head[keep], length[keep], h1[keep], h2[keep]
             row = words.row[head]
@@ -141,6 +213,11 @@ def _equal(mine: pa.Array, kept: pa.Array, short: np.ndarray, back: bool):
     return out
 
 
+EXTENDED_SCHEMA = ("doc_id long, text_hash long, unit int, start int, end int, first int, last int, kept boolean, keep_doc_id long, "
+                   "keep_start int, " + ", ".join(f"{s} int, {s}_at int" for s in SIDES))
+EXTENDED_NAMES = [column.split()[0] for column in EXTENDED_SCHEMA.split(", ")]
+
+
 def _extend(batches):
     """How many words beside each unit equal those beside its kept occurrence, and the offset they reach:
     all of them, and (``near``) those of short units before the next one alone."""
@@ -158,8 +235,10 @@ def _extend(batches):
                 [batch.column(c) for c in plain] + out, names=plain + [n for s in SIDES for n in (s, f"{s}_at")])
 
 
-EXTENDED_SCHEMA = ("doc_id long, text_hash long, unit int, start int, end int, first int, last int, kept boolean, keep_doc_id long, "
-                   "keep_start int, " + ", ".join(f"{s} int, {s}_at int" for s in SIDES))
+def _loops(docs: DataFrame, min_words: int) -> DataFrame:
+    """What follows the first round of a loop, as rows of ``_extend``; such a row has a ``unit`` below -1."""
+    return (with_text(docs).withColumn("text_hash", F.xxhash64("text"))
+            .mapInArrow(_loop_batches(min_words), EXTENDED_SCHEMA))
 
 
 def repeated_spans(docs: DataFrame, min_words: int = 8, unit_words: int = 3) -> DataFrame:
@@ -185,7 +264,7 @@ def repeated_spans(docs: DataFrame, min_words: int = 8, unit_words: int = 3) ->
     is_kept = (F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("text_hash") == F.col("keep_hash"))
                & (F.col("unit") == F.col("keep_unit")))
     found = (places.join(kept, ["h1", "h2"]).withColumn("kept", is_kept).drop("h1", "h2", "keep_hash", "keep_unit")
-             .mapInArrow(_extend, EXTENDED_SCHEMA).repartition("doc_id", "text_hash").dropDuplicates(["doc_id", "text_hash", "unit"]))
+             .mapInArrow(_extend, EXTENDED_SCHEMA).unionAll(_loops(docs, min_words)).repartition("doc_id", "text_hash").dropDuplicates(["doc_id", "text_hash", "unit"]))
 
     doc = Window.partitionBy("doc_id", "text_hash").orderBy("unit")
     for side, place, step, edge in (("left", F.lag, -1, "first"), ("right", F.lead, 1, "last")):
@@ -205,8 +284,8 @@ def repeated_spans(docs: DataFrame, min_words: int = 8, unit_words: int = 3) ->
             .withColumn("run", F.sum(F.when(F.col("gap") < unit_words, 0).otherwise(1)).over(place)))
     spans = (runs.groupBy("doc_id", "text_hash", "run", "span")
              .agg(F.min("start").alias("start"), F.max("end").alias("end"),
-                  (F.max("last") - F.min("first")).cast("long").alias("n_words"), F.count(F.lit(1)).alias("n_units"),
-                  F.min_by(F.struct("keep_doc_id", "keep_start"), "unit").alias("keep")))
+                  (F.max("last") - F.min("first")).cast("long").alias("n_words"), F.count_if(F.col("unit") >= 0).alias("n_units"),
+                  F.min_by(F.struct("keep_doc_id", "keep_start"), F.struct("first", "unit")).alias("keep")))
     total = F.sum("n_words").over(Window.partitionBy("doc_id", "text_hash", "run"))
     return (spans.withColumn("total", total).where(F.col("total") >= min_words)
             .select("doc_id", "text_hash", "start", "end", "n_words", "n_units", "keep.keep_doc_id", "keep.keep_start"))

@@ -460,6 +460,88 @@ def test_substring_dedup_of_single_units_and_cut_passages(spark, make):
     assert (words, keep) == (len(inner.split()), 3)
 
 
+def sentences(text):
+    """(first word, words) of the units of a text, and where each of its words begins and ends."""
+    found = [(m.group().lower(), m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9]+", text)]
+    cut = [k for k, (_, a, _) in enumerate(found) if k == 0 or re.search(r"\n|[.!?](?=[ \t\r\n])", text[found[k - 1][2]:a])]
+    return [(a, tuple(w for w, _, _ in found[a:b])) for a, b in zip(cut, cut[1:] + [len(found)])], found
+
+
+def later_words(pairs):
+    """For each text the words that go when every later sentence goes, with the equal words beside it that reach
+    at most to the far end of a neighbour that is not kept."""
+    texts = [(i, *sentences(t)) for i, t in pairs]
+    kept = {}
+    for n, (_, units, _) in enumerate(texts):
+        for u, (_, words) in enumerate(units):
+            kept.setdefault(words, (n, u))
+    repeated = {w for w, c in collections.Counter(w for _, units, _ in texts for _, w in units).items() if c > 1}
+    out = {}
+    for n, (i, units, _) in enumerate(texts):
+        gone = set()
+        for u, (a, words) in enumerate(units):
+            if kept[words] == (n, u):
+                continue
+            gone.update(range(a, a + len(words)))
+            kn, ku = kept[words]
+            for step in (-1, 1):
+                if not (0 <= u + step < len(units) and 0 <= ku + step < len(texts[kn][1])):
+                    continue
+                b, mine = units[u + step]
+                other = texts[kn][1][ku + step][1]
+                if kept[mine] == (n, u + step) and mine in repeated:
+                    continue
+                k = 0
+                while k < min(len(mine), len(other)) and mine[::step][k] == other[::step][k]:
+                    k += 1
+                gone.update(range(b, b + k) if step == 1 else range(b + len(mine) - k, b + len(mine)))
+        out[i] = gone
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_substring_dedup_of_every_sentence_against_brute_force(spark, make, seed):
+    rng = random.Random(seed)
+    pool = [[f"w{rng.randrange(14)}" for _ in range(rng.randrange(1, 6))] for _ in range(60)]
+
+    def text():
+        parts = [[f"w{rng.randrange(14)}" for _ in range(rng.randrange(1, 6))] if rng.random() < 0.5 else rng.choice(pool) for _ in range(rng.randrange(12))]
+        return "".join(" ".join(w.capitalize() if rng.random() < 0.2 else w for w in p) + rng.choice((". ", "! ", "\n", ".\n")) for p in parts)
+
+    pairs = [(k, text()) for k in range(60)]
+    spans = substring_dedup.repeated_spans(make(pairs), min_words=1, unit_words=1).collect()
+    wanted, cut = later_words(pairs), collections.defaultdict(list)
+    for r in spans:
+        cut[r.doc_id].append((r.start, r.end))
+    for i, t in pairs:
+        found = sentences(t)[1]
+        got = {k for k, (_, a, b) in enumerate(found) if any(x <= a and b <= y for x, y in cut[i])}
+        # A loop inside a sentence goes too: its words equal those of the round before.
+        loops = {k for p in range(1, 9) for k, (w, _, _) in enumerate(found) if k >= p and w == found[k - p][0]}
+        assert wanted[i] <= got and got - wanted[i] <= loops, (i, t)
+    assert sum(map(len, wanted.values())) > 100
+
+
+def test_substring_dedup_of_loops_and_long_sentences(spark, make):
+    rng = random.Random(4)
+    long = " ".join(f"v{rng.randrange(10_000)}" for _ in range(900))
+    pairs = [
+        (1, "Before it. " + "Again " * 60 + "and after."), (2, "é é " + "one two three, " * 20), (3, "no no no no no no no no"),
+        (4, "yes " * 9), (5, f"Own start {long} own end"), (6, f"Quite another one {long} here"), (7, "Ping.\n" * 400 + "Pong went the bell."),
+        (8, " ".join(f"u{k}" for k in range(500))), (9, "yes " * 9), (None, "yes " * 9)]
+    docs = make(pairs)
+    spans = substring_dedup.repeated_spans(docs)
+    left = {r.doc_id: r.text for r in substring_dedup.remove_spans(docs, spans).collect()}
+    text = dict(pairs)
+    assert left[1] == "Before it. Again  and after."
+    assert left[2] == "é é one two three, , " and left[3] == text[3] and left[8] == text[8] and left[5] == text[5]
+    assert left[4].split() == ["yes"] and left[7].startswith("Ping.") and left[7].count("Ping") == 1
+    assert [len(left[k].split()) for k in (9, None)] == [0, 0]
+    assert left[6] == "Quite another one  here"
+    kept = {r.doc_id: (r.keep_doc_id, r.keep_start) for r in spans.collect()}
+    assert kept[1] == (1, 11) and kept[4] == (4, 0) and kept[9] == (4, 0)
+
+
 # --- near copies
 
 def shingles(text, size=5):
