@@ -35,9 +35,9 @@ BITMAP_BITS = 26
 UNIT_LIMIT = 64  # words of a unit at most
 LOOP_WORDS = 8  # words that a loop repeats at most
 UNIT_SCHEMA = "doc_id long, text_hash long, unit int, h1 long, h2 long"
-#: ``first``, ``last``: words of the text; ``before``, ``after``: the text beside the unit up to the far end of the
+#: ``again``: whether the unit stands earlier in its own text; ``first``, ``last``: words of the text; ``before``, ``after``: the text beside the unit up to the far end of the
 #: next unit; ``*_short``: how many of its words lie in short units between.
-PLACE_SCHEMA = (UNIT_SCHEMA + ", start int, end int, first int, last int, before string, before_short int, "
+PLACE_SCHEMA = (UNIT_SCHEMA + ", again boolean, start int, end int, first int, last int, before string, before_short int, "
                 "after string, after_short int")
 
 
@@ -86,6 +86,14 @@ def _joined(head: np.ndarray, short: np.ndarray, row: np.ndarray, unit_words: in
     return begins
 
 
+def _said_again(row, h1, h2) -> np.ndarray:
+    """Which units stand earlier in their own text."""
+    order = np.lexsort((np.arange(len(row)), h2, h1, row))
+    again = np.zeros(len(row), bool)
+    again[order[1:]] = (np.diff(row[order]) == 0) & (h1[order[1:]] == h1[order[:-1]]) & (h2[order[1:]] == h2[order[:-1]])
+    return again
+
+
 def _loop_batches(min_words: int):
     def find(batches):
         for batch in chunks(batches):
@@ -158,6 +166,7 @@ def _unit_batches(unit_words: int, bitmap=None):
                 near_right[:-1], far_right[:-1] = np.where(same, head[1:], end[:-1]), np.where(same, tail[1:], end[:-1])
                 u, after = use, words.end[tail[use] - 1]
                 columns += [
+                    pa.array(_said_again(row, h1, h2)[u]),
                     pa.array(words.code_points(words.start[head[u]], row[u]).astype(np.int32)),
                     pa.array(words.code_points(after, row[u]).astype(np.int32)),
                     pa.array((head - begin)[u].astype(np.int32)), pa.array((tail - begin)[u].astype(np.int32)),
@@ -165,7 +174,7 @@ def _unit_batches(unit_words: int, bitmap=None):
                     pa.array((head - near_left)[u].astype(np.int32)),
                     _slices(words.data, after, words.end[far_right[u] - 1]),
                     pa.array((near_right - tail)[u].astype(np.int32))]
-                names += ["start", "end", "first", "last", "before", "before_short", "after", "after_short"]
+                names += ["again", "start", "end", "first", "last", "before", "before_short", "after", "after_short"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return cut
@@ -255,7 +264,8 @@ def repeated_spans(docs: DataFrame, min_words: int = 8, unit_words: int = 3) ->
     places = _places(docs, repeated, unit_words)
     # One place a digest: its kept one, found by its own place, which no other digest shares.
     # Written, so that both sides of the join on the digest are shuffled: then Spark splits a frequent unit's rows.
-    kept = settled(repeated.join(places.withColumnRenamed("h1", "k1").withColumnRenamed("h2", "k2"),
+    # What its own text has said before is no kept one, and is not shuffled for it.
+    kept = settled(repeated.join(places.where(~F.col("again")).withColumnRenamed("h1", "k1").withColumnRenamed("h2", "k2"),
                           (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & (F.col("text_hash") == F.col("keep_hash"))
                           & (F.col("unit") == F.col("keep_unit")) & F.col("doc_id").eqNullSafe(F.col("keep_doc_id")))
             .select("h1", "h2", "keep_doc_id", "keep_hash", "keep_unit", F.col("start").alias("keep_start"),
@@ -263,7 +273,7 @@ def repeated_spans(docs: DataFrame, min_words: int = 8, unit_words: int = 3) ->
             .dropDuplicates(["h1", "h2"]))
     is_kept = (F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("text_hash") == F.col("keep_hash"))
                & (F.col("unit") == F.col("keep_unit")))
-    found = (places.join(kept, ["h1", "h2"]).withColumn("kept", is_kept).drop("h1", "h2", "keep_hash", "keep_unit")
+    found = (places.join(kept, ["h1", "h2"]).withColumn("kept", is_kept).drop("h1", "h2", "keep_hash", "keep_unit", "again")
              .mapInArrow(_extend, EXTENDED_SCHEMA).unionAll(_loops(docs, min_words)).repartition("doc_id", "text_hash").dropDuplicates(["doc_id", "text_hash", "unit"]))
 
     doc = Window.partitionBy("doc_id", "text_hash").orderBy("unit")
