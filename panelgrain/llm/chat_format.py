@@ -1,10 +1,11 @@
 """Chat formatting: every assistant turn becomes an example of its own (prefix-target expansion).
 
 The context of an example is the whole conversation before its reply, and only the reply is
-trainable.  Examples of one conversation share their prefixes, so a row holds what it adds to the
-example before it (``own``: the turns since then, and the reply); its context is the ``own`` of all
-rows of its conversation that stand before it.  The rows are as long together as the conversation,
-while ``whole`` writes every example out, which grows with the square of a conversation's length.
+trainable.  Examples of one conversation share their prefixes, so ``examples`` first gives what each
+adds to the one before it (``own``: the turns since then, and the reply); ``expanded`` puts the
+``own`` of all earlier rows before it, so that every row is an example with its context in full.
+That grows with the square of a conversation's length, as examples of this kind do; the rows are
+written out one after the other, and none is kept.
 
 A turn reads ``<s>role``, a newline, its text, ``</s>``; roles are URL-encoded.  Control strings
 inside texts get a backslash after their first character (``<\\s>``), those that look escaped one
@@ -72,16 +73,35 @@ def examples(turns: DataFrame, block: int = 64) -> DataFrame:
         F.when(F.col("reply"), size - len(CLOSE)).alias("target_end"))
 
 
-def whole(rows: DataFrame) -> DataFrame:
-    """(conv_id, block, place, text, target_start, target_end): every example with its context in full."""
-    before = (Window.partitionBy("conv_id").orderBy("block", "place")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    text = F.array_join(F.collect_list("own").over(before), "")
-    out = rows.withColumn("text", text).where(F.col("target_end").isNotNull())
+def expanded(rows: DataFrame) -> DataFrame:
+    """(conv_id, block, place, text, target_start, target_end, last): the rows of ``examples`` with their
+    contexts in full; ``last`` marks the row whose text is the whole conversation."""
+    order = Window.partitionBy("conv_id").orderBy("block", "place")
+    text = F.array_join(F.collect_list("own").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)), "")
+    out = rows.withColumn("text", text).withColumn("last", F.lead(F.lit(True)).over(order).isNull())
     shift = F.char_length("text") - F.char_length("own")
     return out.select("conv_id", "block", "place", "text",
                       (F.col("target_start") + shift).alias("target_start"),
-                      (F.col("target_end") + shift).alias("target_end"))
+                      (F.col("target_end") + shift).alias("target_end"), "last")
+
+
+def whole(rows: DataFrame) -> DataFrame:
+    """(conv_id, block, place, text, target_start, target_end): every example with its context in full."""
+    return expanded(rows).where(F.col("target_end").isNotNull()).drop("last")
+
+
+def _under_mask(text, start, end):
+    return unescaped(F.substring(text, start + 1, end - start))
+
+
+def _turns(formatted):
+    """The (role, text) of the turns of a formatted text."""
+    marked = F.split(formatted, CLOSE, -1)
+    return F.transform(
+        F.slice(marked, 1, F.size(marked) - 1),
+        lambda m: F.struct(
+            F.url_decode(F.substring(F.substring_index(m, "\n", 1), F.lit(len(OPEN) + 1), F.lit(2 ** 31 - 1))).alias("role"),
+            unescaped(F.substring(m, F.char_length(F.substring_index(m, "\n", 1)) + 2, F.lit(2 ** 31 - 1))).alias("text")))
 
 
 def read_back(rows: DataFrame) -> DataFrame:
@@ -92,15 +112,21 @@ def read_back(rows: DataFrame) -> DataFrame:
     formatted = F.array_join(F.transform("parts", lambda p: p["own"]), "")
     replies = F.transform(
         F.filter("parts", lambda p: p["target_end"].isNotNull()),
-        lambda p: unescaped(F.substring(p["own"], p["target_start"] + 1, p["target_end"] - p["target_start"])))
+        lambda p: _under_mask(p["own"], p["target_start"], p["target_end"]))
     whole_text = parts.select("conv_id", formatted.alias("formatted"), replies.alias("replies"))
-    marked = F.split(F.col("formatted"), CLOSE, -1)
-    turns = F.transform(
-        F.slice(marked, 1, F.size(marked) - 1),
-        lambda m: F.struct(
-            F.url_decode(F.substring(F.substring_index(m, "\n", 1), F.lit(len(OPEN) + 1), F.lit(2 ** 31 - 1))).alias("role"),
-            unescaped(F.substring(m, F.char_length(F.substring_index(m, "\n", 1)) + 2, F.lit(2 ** 31 - 1))).alias("text")))
-    return whole_text.select("conv_id", "formatted", turns.alias("turns"), "replies")
+    return whole_text.select("conv_id", "formatted", _turns(F.col("formatted")).alias("turns"), "replies")
+
+
+def read_expanded(rows: DataFrame) -> DataFrame:
+    """What ``read_back`` gives, from the rows of ``expanded``: each reply from the mask of its own example,
+    the turns from the longest one.  Of an example only its reply is kept."""
+    reply = F.when(F.col("target_end").isNotNull(), _under_mask(F.col("text"), F.col("target_start"), F.col("target_end")))
+    said = rows.select("conv_id", "block", "place", reply.alias("reply"), F.when(F.col("last"), F.col("text")).alias("formatted"))
+    parts = said.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("block", "place", "reply"))).alias("parts"),
+        F.first("formatted", ignorenulls=True).alias("formatted"))
+    replies = F.filter(F.transform("parts", lambda p: p["reply"]), lambda r: r.isNotNull())
+    return parts.select("conv_id", "formatted", _turns(F.col("formatted")).alias("turns"), replies.alias("replies"))
 
 
 def conversations(spark, sf_dir) -> DataFrame:
@@ -113,9 +139,10 @@ def conversations(spark, sf_dir) -> DataFrame:
 
 
 def op13_chat_format(spark, sf_dir):
-    """The digests are over whole conversations: these are brought together by one shuffle, before
-    ``examples``, whose grouping and that of ``read_back`` then need none."""
-    back = read_back(examples(conversations(spark, sf_dir).repartition("conv_id")))
+    """Every example is written out with its context and read back.  The digests are over whole
+    conversations: these are brought together by one shuffle, before ``examples``; what follows
+    needs none."""
+    back = read_expanded(expanded(examples(conversations(spark, sf_dir).repartition("conv_id"))))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     learnt = F.array_join("replies", "")
     return back.select(

@@ -77,6 +77,30 @@ def test_every_reply_is_an_example_with_all_turns_before_it(spark):
         assert got.get(c, []) == want
 
 
+def test_the_query_reads_back_examples_with_their_contexts(spark, tmp_path, monkeypatch):
+    rows = conversations()
+    turns_of(spark, rows).write.parquet(str(tmp_path / "conversations.parquet"))
+    made = []
+    read = chat_format.read_expanded
+    monkeypatch.setattr(chat_format, "read_expanded", lambda df: made.append(df) or read(df))
+    got = {r.conv_id: r for r in chat_format.op13_chat_format(spark, str(tmp_path)).collect()}
+    texts = {}
+    for r in made[0].orderBy("conv_id", "block", "place").collect():
+        texts.setdefault(r.conv_id, []).append((r.text, r.target_end, r.last))
+    said = [(-7, k, role, "</s>[INST] ok [/INST]") for k, role in enumerate(("user", "assistant"))]
+    for c, turns in in_order(rows + said).items():
+        replies = [t for role, t in turns if role == "assistant"]
+        assert (got[c].n_turns, got[c].n_examples) == (len(turns), len(replies))
+        assert got[c].turns_sha256 == sha("".join(f"{role}\n{t}\n" for role, t in turns))
+        assert (got[c].loss_chars, got[c].loss_sha256) == (len("".join(replies)), sha("".join(replies)))
+        # Each example holds the ones before it; the last row is the conversation.
+        assert all(b[0].startswith(a[0]) and len(b[0]) > len(a[0]) for a, b in zip(texts[c], texts[c][1:]))
+        assert [e is not None for _, e, _ in texts[c]].count(True) == len(replies)
+        assert [last for *_, last in texts[c]] == [False] * (len(texts[c]) - 1) + [True]
+        assert (texts[c][-1][0].count("<s>"), len(texts[c][-1][0])) == (len(turns), got[c].formatted_chars)
+    assert set(got) == set(texts)
+
+
 def test_formatted_texts_hold_no_control_string_but_the_marks(spark):
     rows = conversations()
     for r in chat_format.examples(turns_of(spark, rows)).collect():
