@@ -163,3 +163,23 @@ def test_the_mean_in_event_time_does_not_depend_on_the_split(spark, tmp_path, sp
     state = (spark.read.format("statestore").option("stateVarName", "waiting").option("flattenCollectionTypes", True)
              .load(str(tmp_path / "cp")))
     assert [r["key"]["symbol"] for r in state.collect()] == ["end"]
+
+
+def test_waiting_rows_of_a_symbol_are_few_entries_of_state(spark, tmp_path):
+    """All rows of a micro-batch that wait are one entry of their symbol, and lose nothing there."""
+    rows = [("A", T0 + dt.timedelta(minutes=(7 * i) % 60), i if i % 5 else None, None if i % 7 == 0 else float(i)) for i in range(60)]
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        spark.createDataFrame(rows, DDL).coalesce(1).write.parquet(str(tmp_path / "in"))
+        out = SE.stream_ema_in_time(spark.readStream.schema(DDL).parquet(str(tmp_path / "in")), 5, "1 day")
+        finish(SI.to_parquet(out, str(tmp_path / "out"), str(tmp_path / "cp")))
+        state = (spark.read.format("statestore").option("stateVarName", "waiting").option("flattenCollectionTypes", True)
+                 .load(str(tmp_path / "cp"))).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert len(state) == 1
+    kept = state[0]["list_element"]
+    assert sorted(kept["event_id"], key=str) == sorted((r[2] for r in rows), key=str)
+    assert sorted(kept["value"], key=str) == sorted((r[3] for r in rows), key=str)
