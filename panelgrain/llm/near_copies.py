@@ -1,4 +1,4 @@
-"""Near copies of whole texts: wide SimHash fingerprints, a grid over bit counts, exact check.
+"""Near copies of whole texts: wide SimHash fingerprints, a grid over bit counts, exact check, exact rest.
 
 Fingerprints of 512 bits over shingles of five words are cut into 256 segments of two bits, whose bit
 counts embed them: the Manhattan distance of two such vectors never exceeds the fingerprints'
@@ -8,6 +8,11 @@ the bits, and nearly all of them share a cell; unrelated ones differ in half.  I
 whole fingerprints are compared, each text is linked to its nearest one and to a spanning forest of
 those within ``radius`` bits, and every link is then checked on the two sets of shingles.
 
+Fingerprints bound no similarity, so some pairs of 0.8 never meet there.  ``missed_links`` meets them all:
+two sets of that similarity share a shingle among the first fifth of each, in any order that is the same for
+all; rare ones come first.  Only texts that are not in one group yet are compared, and their links are checked
+alike, so the result is that of all pairs.
+
 This is the wide sibling of ``simhash``, whose 64 bits and radius 3 are complete for three bits but
 meet few texts of similarity 0.8.
 
@@ -19,10 +24,11 @@ all its ids are null); every row gets a result, repeated rows too; an empty tabl
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import chunks, mix, settled, with_text, worker_memo
@@ -45,12 +51,51 @@ def wide(hashes: np.ndarray) -> bytes:
     return np.packbits(2 * ones > len(hashes)).tobytes()
 
 
-def _marks(size: int):
+#: Counts of shingles by the first bits of their hashes: they only order them, whatever falls together.
+COUNT_BITS = 18
+
+
+def _counted(size: int):
     def run(batches):
+        total = np.zeros(1 << COUNT_BITS, np.int64)
         for batch in chunks(batches):
-            marks = [wide(_shingle_hashes(t, size)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            for text in batch.column("text").cast(pa.binary()).to_pylist():
+                slot = np.unique(_shingle_hashes(text, size)) >> np.uint64(64 - COUNT_BITS)
+                np.add.at(total, slot.astype(np.int64), 1)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["slot", "n"])
+    return run
+
+
+def shingle_counts(texts: DataFrame, size: int) -> np.ndarray:
+    """Texts by the first bits of their shingles' hashes; of fixed size, whatever their number."""
+    sums = texts.select("text").mapInArrow(_counted(size), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << COUNT_BITS, np.uint32)
+    out[sums.column("slot").to_numpy()] = np.minimum(sums.column("n").to_numpy(), 2 ** 32 - 1)
+    return out
+
+
+def prefix(hashes: np.ndarray, counts: np.ndarray, share: float) -> tuple[np.ndarray, int]:
+    """The rarest shingles of a text, of which each text of similarity ``share`` holds one among its own, and the size of its set."""
+    hashes = np.unique(hashes)
+    n = len(hashes)
+    order = np.lexsort((hashes, counts[(hashes >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]))
+    return hashes[order[:n - math.ceil(share * n - 1e-9) + 1]], n
+
+
+def _marks(size: int, share: float, counts: np.ndarray):
+    def run(batches):
+        for batch in chunks(batches):
+            marks, first = [], []
+            for text in batch.column("text").cast(pa.binary()).to_pylist():
+                hashes = _shingle_hashes(text, size)
+                marks.append(wide(hashes)), first.append(prefix(hashes, counts, share))
+            bounds = np.concatenate([[0], np.cumsum([len(p) for p, _ in first])]).astype(np.int32)
+            values = np.concatenate([p for p, _ in first]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(marks, pa.binary())], names=["doc_id", "text_hash", "mark"])
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(marks, pa.binary()),
+                 pa.array([n for _, n in first], pa.int32()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))],
+                names=["doc_id", "text_hash", "mark", "n", "prefix"])
     return run
 
 
@@ -165,13 +210,13 @@ def _links(radius: int):
 def candidate_links(marks: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """(u, v): links of ``marks`` (text_hash, mark) that share a cell and differ in at most ``radius`` bits.
 
-    Cells are counted first.  A cell of more than ``block`` rows is dealt into blocks by hash, and each
+    Cells are counted first; there are 32 x 3^8 of them at most.  A cell of more than ``block`` rows is dealt into blocks by hash, and each
     row goes to every pair that its block is part of, so that all pairs are compared, in bounded tasks.
     """
     rows = marks.mapInArrow(_cells, "band int, cell int, node long, mark binary")
     counts = rows.groupBy("band", "cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    met = (rows.join(counts, ["band", "cell"]).withColumn("blocks", F.ceil(F.col("n") / F.lit(block)).cast("int")).withColumn("own", own)
+    met = (rows.join(F.broadcast(counts), ["band", "cell"]).withColumn("blocks", F.ceil(F.col("n") / F.lit(block)).cast("int")).withColumn("own", own)
            .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
            .select("band", "cell", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "node", "mark",
                    F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side")))
@@ -197,21 +242,63 @@ def _checked(size: int, share: float):
     return run
 
 
+#: Texts up to whose number their hashes are broadcast to the texts; more are joined by a shuffle.
+BROADCAST = 1 << 20
+
+
+def confirmed(texts: DataFrame, links: DataFrame, size: int, share: float) -> DataFrame:
+    """The links whose texts (text_hash, text) have ``share`` of their shingles in common."""
+    ends = settled(links.select(F.explode(F.array("u", "v")).alias("text_hash")).distinct())
+    near = F.broadcast(ends) if ends.count() <= BROADCAST else ends
+    # The text of each linked hash once.
+    linked = settled(texts.join(near, "text_hash", "left_semi").groupBy("text_hash").agg(F.min("text").alias("text")))
+    sides = [linked.select(F.col("text_hash").alias(c), F.col("text").alias(f"text_{c}")) for c in "uv"]
+    both = links.join(sides[0], "u").join(sides[1], "v").select("u", "v", "text_u", "text_v")
+    return both.mapInArrow(_checked(size, share), "u long, v long")
+
+
+def missed_links(placed: DataFrame, share: float) -> DataFrame:
+    """(u, v): all pairs of ``placed`` (text_hash, root, weight, n, prefix) with different roots that may have ``share`` of
+    their ``n`` shingles in common.
+
+    Of the roots at a shingle that of most texts (``weight``) meets the others and none of its own, so a large group
+    costs no more than its neighbours are many.
+    """
+    rows = placed.select(F.col("text_hash").alias("node"), "root", "weight", "n", F.posexplode("prefix").alias("place", "shingle"))
+    at = Window.partitionBy("shingle")
+    shared = settled(
+        rows.select("*", F.min("root").over(at).alias("low"), F.max("root").over(at).alias("high"),
+                    F.max(F.struct("weight", "root")).over(at)["root"].alias("most"))
+        .where(F.col("low") < F.col("high"))
+        .select("shingle", "node", "root", (F.col("n") - F.col("place")).alias("rest"), "n", (F.col("root") == F.col("most")).alias("most")))
+    a, b = shared.where(~F.col("most")).alias("a"), shared.alias("b")
+    # The first shingle that both hold leaves room for enough more.
+    room = F.least("a.rest", "b.rest") * (1 + share) >= share * (F.col("a.n") + F.col("b.n")) - 1e-6
+    other = F.col("b.most") | (F.col("a.root") < F.col("b.root"))
+    return (a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.root") != F.col("b.root")) & other & room)
+            .select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct())
+
+
 def near_copies(docs: DataFrame, size: int = SHINGLE, share: float = SHARE, radius: int = RADIUS) -> DataFrame:
     """(doc_id, text_hash, root, component_id) for every row of ``docs``; ``root`` names the component."""
     texts = with_text(docs).withColumn("text_hash", F.xxhash64("text"))
-    marked = settled(texts.mapInArrow(_marks(size), "doc_id long, text_hash long, mark binary"))
-    distinct = settled(marked.groupBy("text_hash").agg(F.min("doc_id").alias("least"), F.min("mark").alias("mark")))
+    marked = texts.mapInArrow(_marks(size, share, shingle_counts(texts, size)),
+                              "doc_id long, text_hash long, mark binary, n int, prefix array<long>")
+    distinct = settled(marked.groupBy("text_hash").agg(
+        F.min("doc_id").alias("least"), F.min("mark").alias("mark"), F.min("n").alias("n"), F.min("prefix").alias("prefix")))
     links = settled(candidate_links(distinct.select("text_hash", "mark"), radius).distinct())
-    # The text of each linked hash once, by its least document.
-    ends = links.select(F.explode(F.array("u", "v")).alias("text_hash")).distinct()
-    linked = (texts.join(ends, "text_hash", "left_semi").groupBy("text_hash").agg(F.min("text").alias("text")))
-    linked = settled(linked)
-    sides = [linked.select(F.col("text_hash").alias(c), F.col("text").alias(f"text_{c}")) for c in "uv"]
-    true = links.join(sides[0], "u").join(sides[1], "v").select("u", "v", "text_u", "text_v").mapInArrow(_checked(size, share), "u long, v long")
-    roots = components(true)
-    members = distinct.join(roots.withColumnRenamed("node", "text_hash"), "text_hash", "left").select(
+    roots = components(confirmed(texts, links, size, share)).withColumnRenamed("node", "text_hash")
+    weights = roots.groupBy("root").agg(F.count(F.lit(1)).alias("weight"))
+    members = distinct.select("text_hash", "least").join(roots, "text_hash", "left").select(
         "text_hash", "least", F.coalesce("root", "text_hash").alias("root"))
+    placed = distinct.join(roots.join(weights, "root"), "text_hash", "left").select(
+        "text_hash", F.coalesce("root", "text_hash").alias("root"), F.coalesce("weight", F.lit(1).cast("long")).alias("weight"), "n", "prefix")
+    # Links between groups: their roots are joined once more.
+    more = confirmed(texts, settled(missed_links(placed, share)), size, share)
+    ends = [members.select(F.col("text_hash").alias(c), F.col("root").alias(f"root_{c}")) for c in "uv"]
+    upper = components(more.join(ends[0], "u").join(ends[1], "v").select(F.col("root_u").alias("u"), F.col("root_v").alias("v")))
+    members = members.join(upper.select(F.col("node").alias("root"), F.col("root").alias("upper")), "root", "left").select(
+        "text_hash", "least", F.coalesce("upper", "root").alias("root"))
     ids = members.groupBy("root").agg(F.min("least").alias("component_id"))
     found = members.join(ids, "root").select("text_hash", "root", "component_id")
-    return marked.select("doc_id", "text_hash").join(found, "text_hash").select("doc_id", "text_hash", "root", "component_id")
+    return texts.select("doc_id", "text_hash").join(found, "text_hash").select("doc_id", "text_hash", "root", "component_id")

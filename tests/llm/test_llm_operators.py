@@ -597,6 +597,26 @@ def test_near_copies(spark, make, block, monkeypatch):
     assert near_copies.near_copies(make([])).count() == 0
 
 
+@pytest.mark.parametrize("radius", [0, near_copies.RADIUS])
+def test_no_near_copy_is_missed_whatever_the_fingerprints_say(spark, make, radius, monkeypatch):
+    """Also where few fingerprints or none meet, the groups are those of all pairs; some pairs are just at the limit."""
+    rng = random.Random(11)
+    pairs = near_corpus() + [(1000 + k, t) for k, t in enumerate(["", "  ", "a b", "A  B", "a b c d e", "f a b c d e", "one two three four five six seven eight nine",
+                                                                  "one two three four five six seven eight nine ten"])]
+    for k in range(40):  # one word of 44 to 63 exchanged: shares of 0.78 to 0.84
+        base = [f"v{rng.randrange(5000)}" for _ in range(44 + k % 20)]
+        other = list(base)
+        other[len(base) // 2] = "other"
+        pairs += [(2000 + 2 * k, " ".join(base)), (2001 + 2 * k, " ".join(other))]
+    group = near_expected([t for _, t in pairs])
+    least = {}
+    for i, t in pairs:
+        least[group[t]] = min(least.get(group[t], i), i)
+    monkeypatch.setattr(near_copies, "BROADCAST", 0 if radius else near_copies.BROADCAST)
+    got = near_copies.near_copies(make(pairs), radius=radius).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: least[group[t]] for i, t in pairs}
+
+
 def test_a_forest_connects_what_all_pairs_connect():
     rng = np.random.default_rng(3)
     for n in (2, 5, 40, 120):
