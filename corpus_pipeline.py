@@ -79,6 +79,7 @@ def run(spark, sf_dir):
     folder = f"{common.shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     docs = common.table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES[:-1]):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        with common.shuffles_released(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import os
 import sys
@@ -31,12 +32,33 @@ def shared_folder(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_released(spark: SparkSession):
+    """What is built and run inside leaves no shuffle files behind: Spark removes them when an action ends.
+
+    Else they stay until the driver happens to collect its garbage, and the steps of a long job add up.
+    """
+    before = spark.conf.get(RELEASE, None)
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(RELEASE)
+        else:
+            spark.conf.set(RELEASE, before)
+
+
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder and read from there."""
+    """``df`` written once to the shared folder and read from there; what was shuffled for it goes."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    with shuffles_released(df.sparkSession):
+        return df.select("*").checkpoint()  # planned anew: shuffles that ``df`` itself may have stay
 
 
 def with_text(docs: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, mix, settled, with_text, worker_memo
+from .common import chunks, mix, settled, shuffles_released, with_text, worker_memo
 from .components import components
 from .simhash import BLOCK, _shingle_hashes
 
@@ -69,7 +69,8 @@ def _counted(size: int):
 
 def shingle_counts(texts: DataFrame, size: int) -> np.ndarray:
     """Texts by the first bits of their shingles' hashes; of fixed size, whatever their number."""
-    sums = texts.select("text").mapInArrow(_counted(size), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    with shuffles_released(texts.sparkSession):
+        sums = texts.select("text").mapInArrow(_counted(size), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << COUNT_BITS, np.uint32)
     out[sums.column("slot").to_numpy()] = np.minimum(sums.column("n").to_numpy(), 2 ** 32 - 1)
     return out

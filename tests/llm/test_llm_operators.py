@@ -7,6 +7,7 @@ import math
 import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from panelgrain.llm import (
     byte_bpe,
+    common,
     components,
     decontamination,
     language_id,
@@ -617,6 +619,37 @@ def test_no_near_copy_is_missed_whatever_the_fingerprints_say(spark, make, radiu
     assert {r.doc_id: r.component_id for r in got} == {i: least[group[t]] for i, t in pairs}
 
 
+def shuffled_bytes(spark):
+    """Bytes of the shuffle files there are, by file."""
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [found.apply(k) for k in range(found.size())]
+    return {f.getPath(): f.length() for f in files if f.getName().startswith("shuffle_")}
+
+
+def left_since(spark, before, most=0, seconds=10):
+    """Bytes of new shuffle files, once they are ``most`` or the seconds are over: Spark removes them in the background."""
+    end = time.time() + seconds
+    while (left := sum(n for f, n in shuffled_bytes(spark).items() if f not in before)) > most and time.time() < end:
+        time.sleep(0.2)
+    return left
+
+
+def test_steps_that_are_written_keep_no_shuffle_files(spark, make):
+    """Else those of all steps of the near-copy stage lie on disk together until the driver collects its garbage."""
+    before = shuffled_bytes(spark)
+    counted_rows = spark.range(50_000).groupBy((F.col("id") % 1000).alias("k")).count()
+    kept = common.settled(counted_rows)
+    assert left_since(spark, before) == 0
+    assert spark.conf.get(common.RELEASE, None) is None
+    # What is read again is still there, and the plan of what was settled can be run anew.
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, counted_rows.collect())) == [(k, 50) for k in range(1000)]
+    before = shuffled_bytes(spark)
+    found = near_copies.near_copies(make(near_corpus()))
+    # The steps are done, the last join is not; counts of single rows stay.
+    assert left_since(spark, before, 20_000) <= 20_000
+    assert found.count() == len(near_corpus())
+
+
 def test_a_forest_connects_what_all_pairs_connect():
     rng = np.random.default_rng(3)
     for n in (2, 5, 40, 120):
