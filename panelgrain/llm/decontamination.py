@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bitmap_of, chunks, in_bitmap, mix, table, with_text
+from .common import Words, bitmap_of, chunks, in_bitmap, mix, settled, table, with_text
 
 MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 5, 6))
 #: The mask for items of fewer words than ``SHORT``; among 15 words three substitutions leave three in a row.
@@ -134,7 +134,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks=MASKS, window: int
                  share: float = SHARE, bits: int = BITS) -> DataFrame:
     """(doc_id, text_hash, item_id, first_word, last_word, window_words, equal_words, n_windows).
 
-    A document position is shuffled only if a bitmap of fixed size (2**bits bits) may hold its
+    A document position is written and shuffled only if a bitmap of fixed size (2**bits bits) may hold its
     hash; the join behind it is exact, so the bitmap saves work and decides nothing.
     """
     spark = docs.sparkSession
@@ -147,9 +147,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks=MASKS, window: int
     lengths = [r[0] for r in items.where(F.col("item_words") < SHORT).select("item_words").distinct().collect()]  # at most 15
     more = {tuple(range(n)) for n in lengths if n < top} | {SHORT_MASK for n in lengths if n >= top}
     bitmap = spark.sparkContext.broadcast(bitmap_of(items, "seed", bits))
-    found = (with_text(docs).withColumn("text_hash", F.xxhash64("text"))
-             .mapInArrow(_doc_seeds((*masks, *sorted(more - set(masks))), window, bitmap, bits),
-                         "seed long, doc_id long, text_hash long, doc_pos int, doc_left int, doc_tokens array<int>"))
+    # Written first: else each task holds a Python worker for the hashes and another for the comparison.
+    found = settled(with_text(docs).withColumn("text_hash", F.xxhash64("text"))
+                    .mapInArrow(_doc_seeds((*masks, *sorted(more - set(masks))), window, bitmap, bits),
+                                "seed long, doc_id long, text_hash long, doc_pos int, doc_left int, doc_tokens array<int>"))
     pairs = found.join(items, "seed").withColumn(
         "v", _verify(window, share)("item_left", "doc_left", "item_tokens", "doc_tokens", "span", "item_words"))
     return (pairs.where(F.col("v.size") > 0)

@@ -413,6 +413,18 @@ def test_decontamination(spark, make):
     assert decontamination.contaminated(make(pairs), bench.limit(0)).count() == 0
 
 
+def test_hits_are_compared_in_tasks_with_one_python_worker(spark, make):
+    """Hashes and comparison in one task held two workers of it; all of them stayed with the executor."""
+    bench = spark.createDataFrame([(1, " ".join(f"b{k}" for k in range(30)))], "item_id long, text string")
+    got = decontamination.contaminated(make([(1, "x " + " ".join(f"b{k}" for k in range(30))), (2, "nothing")]), bench)
+    nodes = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    compared = max(k for k, line in enumerate(nodes) if "ArrowEvalPython" in line)
+    # Below the comparison only the items are hashed, on the far side of an exchange.
+    (hashed,) = [k for k, line in enumerate(nodes) if "MapInArrow" in line]
+    assert any("Exchange" in line for line in nodes[compared:hashed])
+    assert [(r.doc_id, r.item_id, r.first_word, r.last_word) for r in got.collect()] == [(1, 1, 1, 30)]
+
+
 # --- substring dedup
 
 def test_substring_dedup(spark, make):
